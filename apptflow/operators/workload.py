@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -179,17 +179,21 @@ def user_eligibility(users: DataFrame, load: DataFrame) -> DataFrame:
     )
 
 
+def block_of(pos: str, width: int) -> Column:
+    """The first position of the block of ``width`` that holds ``pos``."""
+    return F.col(pos) - F.pmod(F.col(pos), F.lit(width))
+
+
 def ranked_by_position(df: DataFrame, pos: str, rank: str, width: int = 10_000, levels: int = 1) -> DataFrame:
-    """``df`` plus the 1-based rank of a unique, non-negative integer position.
+    """``df`` plus the 1-based rank of a unique integer position.
 
     No task sorts the whole list.  Positions fall into blocks of ``width``; rows
     are ranked inside their block and shifted by the number of rows in earlier
     blocks, which is itself a running sum over blocks of blocks.
     """
-    block = F.floor(F.col(pos) / F.lit(width)).cast("bigint")
-    blocked = df.withColumn("_block", block)
+    blocked = df.withColumn("_block", block_of(pos, width))
     sizes = blocked.groupBy("_block").agg(F.count("*").alias("_n"))
-    before = running_total_before(sizes, "_block", "_n", "_before", width, levels)
+    before = running_total_before(sizes, "_block", "_n", "_before", width, width**2, levels)
     inside = W.partitionBy("_block").orderBy(pos)
     return (
         blocked.withColumn("_in", F.row_number().over(inside))
@@ -200,23 +204,27 @@ def ranked_by_position(df: DataFrame, pos: str, rank: str, width: int = 10_000,
 
 
 def running_total_before(
-    df: DataFrame, pos: str, n: str, out: str, width: int = 10_000, levels: int = 1
+    df: DataFrame, pos: str, n: str, out: str, factor: int, width: int, levels: int
 ) -> DataFrame:
-    """``df`` plus the sum of ``n`` over smaller positions, by blocks as above."""
-    upper = f"{pos}_"
-    blocked = df.withColumn(upper, F.floor(F.col(pos) / F.lit(width)).cast("bigint"))
-    earlier = W.partitionBy(upper).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-    inside = blocked.withColumn("_own", F.coalesce(F.sum(n).over(earlier), F.lit(0)))
-    totals = blocked.groupBy(upper).agg(F.sum(n).alias("_n_up"))
+    """``pos`` and, as ``out``, the sum of ``n`` over smaller positions.
+
+    Each level is ``factor`` times smaller than the one below; the last, with one
+    row per ``width`` positions, is summed in a single window.
+    """
+    upper, up_n, up = f"{pos}_", f"{n}_", f"{out}_"
+    blocked = df.select(pos, n, block_of(pos, width).alias(upper))
+    totals = blocked.groupBy(upper).agg(F.sum(n).alias(up_n))
     if levels > 1:
-        totals = running_total_before(totals, upper, "_n_up", "_up", width, levels - 1)
+        totals = running_total_before(totals, upper, up_n, up, factor, width * factor, levels - 1)
     else:
         whole = W.orderBy(upper).rowsBetween(W.unboundedPreceding, -1)
-        totals = totals.withColumn("_up", F.coalesce(F.sum("_n_up").over(whole), F.lit(0)))
+        totals = totals.select(upper, F.coalesce(F.sum(up_n).over(whole), F.lit(0)).alias(up))
+    earlier = W.partitionBy(upper).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
+    own = F.coalesce(F.sum(n).over(earlier), F.lit(0))
     return (
-        inside.join(totals.select(upper, "_up"), upper)
-        .withColumn(out, F.col("_own") + F.col("_up"))
-        .drop(upper, "_own", "_up")
+        blocked.withColumn("_own", own)
+        .join(totals, upper)
+        .select(pos, (F.col("_own") + F.col(up)).alias(out))
     )
 
 

@@ -300,8 +300,8 @@ class Clinic:
             .selectExpr(
                 "o_orderkey + 1000000000 AS treatcode",
                 "o_custkey AS pcode",
-                f"o_orderkey % {self.doctors} AS dcode",
-                "o_orderdate AS treatdate",
+                f"(o_orderkey DIV 5) % {self.doctors} AS dcode",
+                "o_orderdate + INTERVAL '9000' DAY AS treatdate",
             )
         )
 
