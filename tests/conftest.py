@@ -15,6 +15,7 @@ def spark():
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.streaming.stateStore.providerClass": (
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
             ),

@@ -33,10 +33,10 @@ def test_poll_reads_one_day_of_a_partitioned_schedule(spark, sf, tmp_path):
     c.schedule.write.partitionBy("workdate").parquet(path)
     stored = spark.read.parquet(path)
     plan = plan_of(ap.patient_reminders(stored, c.clients, AS_OF))
-    scan = [line for line in plan.split("\n") if "FileScan" in line and "schedule" in line][0]
+    scan = [line for line in plan.split("\n") if "FileScan" in line and "onlinetype" in line][0]
     assert "PartitionFilters: [isnotnull(workdate" in scan and "2024-01-15" in scan
     new = plan_of(ap.new_appointments(stored, c.clients, AS_OF))
-    scan = [line for line in new.split("\n") if "FileScan" in line and "schedule" in line][0]
+    scan = [line for line in new.split("\n") if "FileScan" in line and "onlinetype" in line][0]
     assert "GreaterThanOrEqual(createdate" in scan and "EqualTo(onlinetype,1)" in scan
     due = plan_of(stored.where(pa.due_window(AS_OF)).select("schedid"))
     assert "PushedFilters: [Or(" in due
