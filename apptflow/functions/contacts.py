@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from apptflow.config import COUNTRY_PREFIX, MOBILE_PREFIX, PHONE_COLUMNS
 
-NOT_A_DIGIT = r"[^\p{Nd}]|[\x{10000}-\x{10FFFF}]"
+# decimal digits of any script, but only of the basic plane
+NOT_A_DIGIT = r"[\P{Nd}\x{10000}-\x{10FFFF}]+"
 
 
 def digits(raw: Column) -> Column:
@@ -22,12 +23,10 @@ def mobile_number(raw: Column, prefix: str = MOBILE_PREFIX, strict_length: bool
     A shorter number that begins with the prefix is accepted as well unless
     ``strict_length`` is set.
     """
-    d = digits(raw)
-    tail = F.when(F.char_length(d) >= 10, F.right(d, F.lit(10))).otherwise(d)
-    ok = tail.startswith(prefix)
-    if strict_length:
-        ok = ok & (F.char_length(tail) == 10)
-    return F.when(ok, tail)
+    rest = 10 - len(prefix)
+    last_ten, shorter = f"{prefix}.{{{rest}}}", f"^{prefix}.{{0,{rest - 1}}}"
+    pattern = f"({last_ten})$" if strict_length else f"({last_ten}|{shorter})$"
+    return F.nullif(F.regexp_extract(digits(raw), pattern, 1), F.lit(""))
 
 
 def contact_dimension(

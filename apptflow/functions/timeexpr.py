@@ -68,13 +68,8 @@ def send_time_text(ts: Column) -> Column:
 
 def parse_local(date_dmy: Column, hour: Column, minute: Column) -> Column:
     """``dd.mm.yyyy`` text plus hour and minute; null when it is not a moment."""
-    iso = F.regexp_replace(
-        F.when(date_dmy.rlike(r"^\d{1,2}\.\d{1,2}\.\d{4}$"), date_dmy),
-        r"^(\d+)\.(\d+)\.(\d+)$",
-        "$3-$2-$1",
-    )
-    text = F.concat(iso, F.lit(" "), hour.cast("string"), F.lit(":"), minute.cast("string"))
-    return text.try_cast("timestamp_ntz")
+    on_clock = hour.between(0, 23) & minute.between(0, 59)
+    return F.when(on_clock, start_ts(F.try_to_date(date_dmy, "d.M.yyyy"), hour, minute))
 
 
 def age_years(on: Column, birth: Column) -> Column:

@@ -22,25 +22,12 @@ def alert_ordinal(
     return label(source, thresholds, F.lit(default)).cast("bigint")
 
 
-def failure_runs(
-    events: DataFrame,
-    source_col: str,
-    ts_col: str,
-    is_failure: Column,
-    thresholds: Mapping = config.ALERT_ORDINALS,
-    default_threshold: int = config.DEFAULT_ALERT_ORDINAL,
-    tie_col: str | None = None,
-    chunk: str = "10 minutes",
+def _numbered(
+    events: DataFrame, source_col: str, ts_col: str, is_failure: Column, tie_col: str | None, chunk: str
 ) -> DataFrame:
-    """Runs of consecutive failures per source, with the moment of the alert.
+    """Events with their place inside a time chunk of their source.
 
-    ``run_id`` is the number of successes of the source before the run;
-    ``alert_at`` is the time of the failure that reaches the source's threshold
-    (null in shorter runs), so a run alerts once and a success re-arms it.
-
-    A source is never ordered as a whole.  Its time line is cut into chunks that
-    are ordered on their own; per chunk only the success count and the failures
-    after the last success are carried forward, one row per source and chunk.
+    ``piece`` counts the successes so far, ``nth`` the failures since the last.
     """
     rows = events.select(
         F.col(source_col).alias("source"),
@@ -51,29 +38,69 @@ def failure_runs(
     )
     order = ["ts", "tie"] if tie_col else ["ts"]
     in_chunk = W.partitionBy("source", "chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    numbered = rows.withColumn("piece", F.count_if(~F.col("failed")).over(in_chunk))
     in_piece = (
         W.partitionBy("source", "chunk", "piece").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     )
-    numbered = numbered.withColumn("nth", F.count_if("failed").over(in_piece))
+    return rows.withColumn("piece", F.count_if(~F.col("failed")).over(in_chunk)).withColumn(
+        "nth", F.count_if("failed").over(in_piece)
+    )
+
 
-    # one row per source and chunk: successes, and failures since the last one
+def _chunks(numbered: DataFrame, carry: DataFrame | None) -> DataFrame:
+    """One row per source and chunk: what is open before and after it.
+
+    ``carry`` (source, failures) stands for everything earlier, as a chunk
+    without a time, which sorts first.
+    """
     chunks = numbered.groupBy("source", "chunk").agg(
         F.max("piece").alias("successes"),
         F.max(F.struct("piece", "nth"))["nth"].alias("trailing"),
     )
-    before = W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    upto = W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, 0)
-    chunks = chunks.withColumn("base", F.coalesce(F.sum("successes").over(before), F.lit(0))).withColumn(
-        "stretch", F.count_if(F.col("successes") > 0).over(upto)
-    )
+    if carry is not None:
+        earlier = carry.select(
+            F.col("source").cast(chunks.schema["source"].dataType).alias("source"),
+            F.lit(None).cast(chunks.schema["chunk"].dataType).alias("chunk"),
+            F.lit(0).cast("bigint").alias("successes"),
+            F.col("failures").cast("bigint").alias("trailing"),
+        )
+        chunks = chunks.unionByName(earlier)
+    by_source = W.partitionBy("source").orderBy("chunk")
+    before = by_source.rowsBetween(W.unboundedPreceding, -1)
+    upto = by_source.rowsBetween(W.unboundedPreceding, 0)
     in_stretch = W.partitionBy("source", "stretch").orderBy("chunk").rowsBetween(W.unboundedPreceding, 0)
-    chunks = chunks.withColumn("open_after", F.sum("trailing").over(in_stretch))
-    by_chunk = W.partitionBy("source").orderBy("chunk")
-    chunks = chunks.withColumn(
-        "carried", F.coalesce(F.lag("open_after").over(by_chunk), F.lit(0))
-    ).select("source", "chunk", "base", "carried")
+    return (
+        chunks.withColumn("base", F.coalesce(F.sum("successes").over(before), F.lit(0)))
+        .withColumn("stretch", F.count_if(F.col("successes") > 0).over(upto))
+        .withColumn("open_after", F.sum("trailing").over(in_stretch))
+        .withColumn("carried", F.coalesce(F.lag("open_after").over(by_source), F.lit(0)))
+    )
 
+
+def failure_runs(
+    events: DataFrame,
+    source_col: str,
+    ts_col: str,
+    is_failure: Column,
+    thresholds: Mapping = config.ALERT_ORDINALS,
+    default_threshold: int = config.DEFAULT_ALERT_ORDINAL,
+    tie_col: str | None = None,
+    chunk: str = "10 minutes",
+    carry: DataFrame | None = None,
+) -> DataFrame:
+    """Runs of consecutive failures per source, with the moment of the alert.
+
+    ``run_id`` is the number of successes of the source before the run;
+    ``alert_at`` is the time of the failure that reaches the source's threshold
+    (null in other runs), so a run alerts once and a success re-arms it.
+    ``carry`` holds the failures open at the start (see ``open_failures``); they
+    count towards the threshold.
+
+    A source is never ordered as a whole.  Its time line is cut into chunks that
+    are ordered on their own; per chunk only the success count and the failures
+    after the last success are carried forward, one row per source and chunk.
+    """
+    numbered = _numbered(events, source_col, ts_col, is_failure, tie_col, chunk)
+    chunks = _chunks(numbered, carry).select("source", "chunk", "base", "carried")
     ordinal = alert_ordinal(F.col("source"), thresholds, default_threshold)
     total = F.when(F.col("piece") == 0, F.col("carried")).otherwise(0) + F.col("nth")
     return (
@@ -87,6 +114,21 @@ def failure_runs(
     )
 
 
+def open_failures(
+    events: DataFrame,
+    source_col: str,
+    ts_col: str,
+    is_failure: Column,
+    tie_col: str | None = None,
+    chunk: str = "10 minutes",
+    carry: DataFrame | None = None,
+) -> DataFrame:
+    """Failures since the last success per source, after ``events``."""
+    chunks = _chunks(_numbered(events, source_col, ts_col, is_failure, tie_col, chunk), carry)
+    last = F.max(F.struct("chunk", "open_after"))["open_after"]
+    return chunks.groupBy("source").agg(last.alias("failures"))
+
+
 # --- File arrivals and poll replays -----------------------------------------------
 
 

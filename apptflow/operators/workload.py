@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -59,13 +59,16 @@ def slot_grid(roster: DataFrame, schedule: DataFrame, slot_min: int = 30, visit_
         .select(*SLOT_KEY, "schedid")
         .distinct()
     )
-    return slots.join(covered, SLOT_KEY, "left").select(
-        "dcode",
-        "wdate",
-        "slot_begin",
-        (F.col("slot_begin") + step).alias("slot_end"),
-        "schedid",
-        F.when(F.col("schedid").isNull(), 1).otherwise(0).alias("isfree"),
+    # two one-sided joins, not an outer one: a slot that holds very many visits can
+    # be split between tasks, and meets the grid as one key
+    busy = covered.join(slots, SLOT_KEY, "left_semi").withColumn("isfree", F.lit(0))
+    free = (
+        slots.join(covered.select(*SLOT_KEY).distinct(), SLOT_KEY, "left_anti")
+        .withColumn("schedid", F.lit(None).cast("bigint"))
+        .withColumn("isfree", F.lit(1))
+    )
+    return busy.unionByName(free).select(
+        "dcode", "wdate", "slot_begin", (F.col("slot_begin") + step).alias("slot_end"), "schedid", "isfree"
     )
 
 
@@ -179,55 +182,30 @@ def user_eligibility(users: DataFrame, load: DataFrame) -> DataFrame:
     )
 
 
-def block_of(pos: str, width: int) -> Column:
-    """The first position of the block of ``width`` that holds ``pos``."""
-    return F.col(pos) - F.pmod(F.col(pos), F.lit(width))
-
-
-def ranked_by_position(df: DataFrame, pos: str, rank: str, width: int = 10_000, levels: int = 1) -> DataFrame:
+def ranked_by_position(df: DataFrame, pos: str, rank: str, width: int = 100_000) -> DataFrame:
     """``df`` plus the 1-based rank of a unique integer position.
 
     No task sorts the whole list.  Positions fall into blocks of ``width``; rows
     are ranked inside their block and shifted by the number of rows in earlier
-    blocks, which is itself a running sum over blocks of blocks.
+    blocks.  Only the block sizes, one row per ``width`` positions, meet in one
+    window.
     """
-    blocked = df.withColumn("_block", block_of(pos, width))
-    sizes = blocked.groupBy("_block").agg(F.count("*").alias("_n"))
-    before = running_total_before(sizes, "_block", "_n", "_before", width, width**2, levels)
+    blocked = df.withColumn("_block", F.col(pos) - F.pmod(F.col(pos), F.lit(width)))
+    earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        blocked.groupBy("_block")
+        .agg(F.count("*").alias("_n"))
+        .select("_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
     inside = W.partitionBy("_block").orderBy(pos)
     return (
         blocked.withColumn("_in", F.row_number().over(inside))
-        .join(before.select("_block", "_before"), "_block")
+        .join(offsets, "_block")
         .withColumn(rank, F.col("_in") + F.col("_before"))
         .drop("_block", "_in", "_before")
     )
 
 
-def running_total_before(
-    df: DataFrame, pos: str, n: str, out: str, factor: int, width: int, levels: int
-) -> DataFrame:
-    """``pos`` and, as ``out``, the sum of ``n`` over smaller positions.
-
-    Each level is ``factor`` times smaller than the one below; the last, with one
-    row per ``width`` positions, is summed in a single window.
-    """
-    upper, up_n, up = f"{pos}_", f"{n}_", f"{out}_"
-    blocked = df.select(pos, n, block_of(pos, width).alias(upper))
-    totals = blocked.groupBy(upper).agg(F.sum(n).alias(up_n))
-    if levels > 1:
-        totals = running_total_before(totals, upper, up_n, up, factor, width * factor, levels - 1)
-    else:
-        whole = W.orderBy(upper).rowsBetween(W.unboundedPreceding, -1)
-        totals = totals.select(upper, F.coalesce(F.sum(up_n).over(whole), F.lit(0)).alias(up))
-    earlier = W.partitionBy(upper).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-    own = F.coalesce(F.sum(n).over(earlier), F.lit(0))
-    return (
-        blocked.withColumn("_own", own)
-        .join(totals, upper)
-        .select(pos, (F.col("_own") + F.col(up)).alias(out))
-    )
-
-
 def disconnect_plan(users: DataFrame, load: DataFrame, cap: int) -> DataFrame:
     """The first ``online - cap`` releasable users in list order."""
     excess = online_users(users).agg(F.count("*").alias("n")).scalar() - F.lit(cap)

@@ -24,9 +24,12 @@ class Clinic:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._raw:  # opening a file reads its schema: do it once
+            self._raw[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._raw[name]
 
     @cached_property
     def doctors(self) -> int:

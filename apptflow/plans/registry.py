@@ -244,7 +244,8 @@ def payment_candidates(c: Clinic) -> DataFrame:
 
 
 def _due(c: Clinic) -> DataFrame:
-    cands = pa.payment_candidates(c.payment_tables, c.online_services, only=pa.due_window(AS_OF))
+    picked = pa.due_appointments(c.schedule, AS_OF)
+    cands = pa.payment_candidates(c.payment_tables, c.online_services, picked)
     return pa.payment_due_soon(cands, AS_OF)
 
 

@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from apptflow import config
-from apptflow.operators.monitoring import alert_ordinal
+from apptflow.operators.monitoring import alert_ordinal, failure_runs, open_failures
+from apptflow.sources.sinks import read_or_empty, write_run
 
 
 def running_failures(failed: np.ndarray, carried: int) -> np.ndarray:
@@ -55,7 +56,8 @@ def failure_alerts(
     A success re-arms the alert.  Rows are ordered within a micro-batch; a batch
     should hold later rows than the one before it.  A source's rows of one
     micro-batch meet in one task: bound the batch at the reader
-    (``maxFilesPerTrigger``), or use ``failure_runs`` for a backfill.
+    (``maxFilesPerTrigger``).  Where one source sends most of the rows, use
+    ``start_failure_alerts``, which splits it.
 
     Needs the RocksDB state store provider.
     """
@@ -73,3 +75,40 @@ def failure_alerts(
         outputMode="append",
         timeMode="none",
     )
+
+
+def start_failure_alerts(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    source_col: str,
+    ts_col: str,
+    is_failure: Column,
+    thresholds: Mapping = config.ALERT_ORDINALS,
+    default_threshold: int = config.DEFAULT_ALERT_ORDINAL,
+    tie_col: str | None = None,
+    period: str | None = None,
+) -> StreamingQuery:
+    """The same alerts without per-source tasks: batch jobs over micro-batches.
+
+    Writes ``path``/alerts and ``path``/open (failures open after each batch).
+    A repeated batch starts from the state before it and replaces its folders.
+    """
+    source_type = events.schema[source_col].dataType.simpleString()
+    state_schema = f"source {source_type}, failures bigint, run_id bigint"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state = read_or_empty(batch.sparkSession, f"{path}/open", state_schema)
+        earlier = state.where(F.col("run_id") < batch_id)
+        carry = earlier.where(F.col("run_id") == earlier.agg(F.max("run_id").alias("r")).scalar())
+        runs = failure_runs(
+            batch, source_col, ts_col, is_failure, thresholds, default_threshold, tie_col, carry=carry
+        )
+        alerts = runs.where(F.col("alert_at").isNotNull()).select("source", "alert_at")
+        write_run(alerts, f"{path}/alerts", batch_id)
+        still_open = open_failures(batch, source_col, ts_col, is_failure, tie_col, carry=carry)
+        write_run(still_open, f"{path}/open", batch_id)
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=period) if period else writer.trigger(availableNow=True)
+    return writer.start()

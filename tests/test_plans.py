@@ -38,13 +38,15 @@ def test_poll_reads_one_day_of_a_partitioned_schedule(spark, sf, tmp_path):
     new = plan_of(ap.new_appointments(stored, c.clients, AS_OF))
     scan = [line for line in new.split("\n") if "FileScan" in line and "onlinetype" in line][0]
     assert "GreaterThanOrEqual(createdate" in scan and "EqualTo(onlinetype,1)" in scan
-    due = plan_of(stored.where(pa.due_window(AS_OF)).select("schedid"))
-    assert "PushedFilters: [Or(" in due
+    due = plan_of(pa.due_appointments(stored, AS_OF).select("schedid"))
+    scans = [line for line in due.split("\n") if "FileScan" in line]
+    assert "GreaterThanOrEqual(createdate" in scans[0]
+    assert "PartitionFilters: [isnotnull(workdate" in scans[1]
 
 
 def test_history_is_filtered_by_broadcast_keys_before_it_moves(spark, sf):
     c = Clinic(spark, sf)
-    plan = plan_of(pa.payment_candidates(c.payment_tables, [10], only=pa.due_window(AS_OF)))
+    plan = plan_of(pa.payment_candidates(c.payment_tables, [10], pa.due_appointments(c.schedule, AS_OF)))
     # payments meet the picked keys before they are summed
     assert plan.count("LeftSemi") >= 6
 

@@ -327,10 +327,10 @@ def test_payment_windows_of_offset_branches(spark):
     )
     as_of = at(12, 0, 45)
     # the seconds of as_of count for creation, not for the start
-    assert ids(s.where(pa.due_window(as_of))) == [2, 4, 6, 8, 10]
-    assert ids(s.where(pa.due_window(NOON))) == [1, 3, 4, 6, 8, 10]
+    assert ids(pa.due_appointments(s, as_of)) == [2, 4, 6, 8, 10]
+    assert ids(pa.due_appointments(s, NOON)) == [1, 3, 4, 6, 8, 10]
     whole = pa.payment_due_soon(pa.payment_candidates(tables(spark, s), [7]), NOON)
-    narrowed = pa.payment_candidates(tables(spark, s), [7], only=pa.due_window(NOON))
+    narrowed = pa.payment_candidates(tables(spark, s), [7], pa.due_appointments(s, NOON))
     assert ids(whole) == ids(narrowed) == [1, 3, 4, 6, 8, 10]
 
 
@@ -497,7 +497,7 @@ def test_disconnect_plan_takes_the_excess_in_order(spark):
 
 def test_ranked_by_position_over_many_blocks(spark):
     df = spark.range(0, 5000, 7).withColumnRenamed("id", "pos")
-    got = wl.ranked_by_position(df, "pos", "rank", width=10, levels=2)
+    got = wl.ranked_by_position(df, "pos", "rank", width=10)
     assert got.where(F.col("rank") != F.col("pos") / 7 + 1).count() == 0 and got.count() == df.count()
 
 

@@ -12,7 +12,7 @@ from apptflow.operators import outbox as ob
 from apptflow.plans.clinic import AS_OF, Clinic
 from apptflow.sources.sinks import LEDGER_SCHEMA
 from apptflow.streaming import appointments as st
-from apptflow.streaming.failures import failure_alerts, running_failures
+from apptflow.streaming.failures import failure_alerts, running_failures, start_failure_alerts
 from apptflow.streaming.writers import start_outbox
 
 
@@ -40,13 +40,36 @@ def test_running_failures_carries_over():
     assert list(running_failures(np.array([True]), 5)) == [6]
 
 
-def test_failure_alerts_equal_batch_runs(spark, sf, tmp_path):
+def land_events(spark, sf, folder):
+    """Three files in time order, one micro-batch each."""
     events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    folder = str(tmp_path / "events")
-    # three files in time order, one micro-batch each
     for day in (1, 11, 21):
         part = events.where(F.dayofmonth("ts").between(day, day + 9 if day < 21 else 31))
         part.coalesce(1).write.mode("append").parquet(folder)
+    return events
+
+
+def test_failure_alert_job_equals_batch_runs(spark, sf, tmp_path):
+    folder, out = str(tmp_path / "events"), str(tmp_path / "out")
+    events = land_events(spark, sf, folder)
+    failed = F.col("event_type") == "error"
+    want = mo.failure_runs(events, "user_id", "ts", failed, {}, 2, tie_col="event_id").where("alert_at IS NOT NULL")
+    still = mo.open_failures(events, "user_id", "ts", failed, tie_col="event_id")
+    for checkpoint in ("cp1", "cp2"):  # the second pass repeats every batch
+        stream = st.read_stream(spark, folder, events.schema, files_per_trigger=1)
+        query = start_failure_alerts(
+            stream, out, str(tmp_path / checkpoint), "user_id", "ts", failed, {}, 2, tie_col="event_id"
+        )
+        assert query.awaitTermination(240)
+        got = spark.read.parquet(f"{out}/alerts").select("source", "alert_at")
+        assert rows(got) == rows(want.select("source", "alert_at"))
+        last = spark.read.parquet(f"{out}/open").where("run_id = 2").select("source", "failures")
+        assert rows(last) == rows(still)
+
+
+def test_failure_alerts_equal_batch_runs(spark, sf, tmp_path):
+    folder = str(tmp_path / "events")
+    events = land_events(spark, sf, folder)
     stream = st.read_stream(spark, folder, events.schema, files_per_trigger=1)
     failed = F.col("event_type") == "error"
     got = drain(failure_alerts(stream, "user_id", "ts", failed, {}, 2, tie_col="event_id"), tmp_path, "alerts")
