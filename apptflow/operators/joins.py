@@ -54,19 +54,20 @@ def left_lookup(
 ) -> DataFrame:
     """Left join on ``keys`` that does not pile null keys onto one task.
 
-    ``right`` must have no null key to offer (a null never matches).  Rows of
-    ``left`` with a null key get a second join key hashed from ``spread`` and so
-    land on many partitions; all other rows keep the constant 0.
+    Rows of ``left`` with a null key match nothing; they get a second join key
+    hashed from ``spread`` and so land on many partitions.  All other rows have 0
+    there.  So has ``right``, written as a hash modulo one: a plain literal would
+    be folded into the join condition and no longer take part in partitioning.
     """
     salt = "_null_spread"
     value = F.col(spread) if isinstance(spread, str) else spread
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    salted = left.withColumn(
-        salt, F.when(missing, F.pmod(F.xxhash64(value), F.lit(NULL_SPREAD)).cast("int") + 1).otherwise(0)
-    )
-    return salted.join(right.withColumn(salt, F.lit(0)), [*keys, salt], "left").drop(salt)
+    somewhere = F.pmod(F.xxhash64(value), F.lit(NULL_SPREAD)) + 1
+    salted = left.withColumn(salt, F.when(missing, somewhere).otherwise(0).cast("int"))
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    return salted.join(right.withColumn(salt, zero), [*keys, salt], "left").drop(salt)
 
 
 def parameter_table(spark: SparkSession, values: Mapping, key: str, value: str, schema: str) -> DataFrame:

@@ -48,8 +48,7 @@ def with_service_flag(
         .withColumn("_in_schedule", F.lit(True))
     )
     flagged = left_lookup(df, planned, [plan_key], spread=sched_key)
-    flagged = left_lookup(flagged, scheduled, [sched_key], spread=plan_key)
-    return flagged.withColumn(
+    return flagged.join(scheduled, sched_key, "left").withColumn(
         "has_service", F.col("_in_plan").isNotNull() | F.col("_in_schedule").isNotNull()
     ).drop("_in_plan", "_in_schedule")
 

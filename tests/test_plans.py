@@ -12,6 +12,7 @@ from apptflow.operators import appointments as ap
 from apptflow.operators import ledger as lg
 from apptflow.operators import monitoring as mo
 from apptflow.operators import payments as pa
+from apptflow.operators import services as sv
 from apptflow.plans.clinic import AS_OF, Clinic
 
 
@@ -64,3 +65,14 @@ def test_failure_runs_never_order_a_whole_source(spark, sf):
     # windows by source alone run on chunk summaries only, after an aggregate
     by_source = [m for m in re.findall(r"Window \[(.*)", plan) if "ts#" in m and "chunk#" not in m]
     assert not by_source
+
+
+def test_null_keys_are_spread_in_a_shuffled_join(spark, sf):
+    c = Clinic(spark, sf)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        flagged = sv.with_service_flag(c.schedule, c.plan_detail, c.sched_detail, [10])
+        assert re.search(r"hashpartitioning\(planid#\d+L?, _null_spread", plan_of(flagged))
+        assert flagged.count() == c.schedule.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
