@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptflow.operators import payments
+from apptflow.plans import runs
 
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 SURVEY_MORNING = datetime(2024, 1, 15, 11, 30, 0)
@@ -275,6 +276,43 @@ class Clinic:
             movements=self.movements,
         )
 
+    @property
+    def appointment_tables(self) -> runs.AppointmentTables:
+        return runs.AppointmentTables(
+            schedule=self.schedule,
+            clients=self.clients,
+            chairs=self.chairs,
+            rooms=self.rooms,
+            roster=self.roster,
+            doctor=self.doctor,
+            plan_detail=self.plan_detail,
+            sched_detail=self.sched_detail,
+        )
+
+    @property
+    def workload_tables(self) -> runs.WorkloadTables:
+        return runs.WorkloadTables(
+            schedule=self.schedule,
+            roster=self.roster,
+            departments=self.departments,
+            dailyplan=self.dailyplan,
+            plan_detail=self.plan_detail,
+            sched_detail=self.sched_detail,
+            doctor=self.doctor,
+        )
+
+    @property
+    def survey_tables(self) -> runs.SurveyTables:
+        return runs.SurveyTables(
+            visits=self.visits,
+            clients=self.warehouse_clients,
+            doctors=self.doctor_dim,
+            links=self.doctor_links,
+            orderdet=self.orderdet,
+            wschema=self.wschema,
+            treats=self.treats,
+        )
+
     # --- visits -----------------------------------------------------------------------
 
     @property

@@ -17,6 +17,7 @@ from apptflow.operators import payments as pa
 from apptflow.operators import services as sv
 from apptflow.operators import survey as su
 from apptflow.operators import workload as wl
+from apptflow.plans import runs
 from apptflow.plans.clinic import AS_OF, SURVEY_AFTERNOON, SURVEY_MORNING, Clinic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,32 +50,13 @@ def query(fn: Callable[[Clinic], DataFrame]) -> Query:
 # --- appointments -----------------------------------------------------------------
 
 
-def _new(c: Clinic) -> DataFrame:
-    return ap.new_appointments(c.schedule, c.clients, AS_OF)
-
-
-def _patient(c: Clinic) -> DataFrame:
-    return ap.patient_reminders(c.schedule, c.clients, AS_OF)
-
-
-def _doctor(c: Clinic) -> DataFrame:
-    return ap.doctor_reminders(
-        c.schedule,
-        c.clients,
-        c.chairs,
-        c.rooms,
-        c.roster,
-        c.doctor,
-        c.plan_detail,
-        c.sched_detail,
-        c.online_services,
-        as_of=AS_OF,
-    )
+def _by_kind(c: Clinic) -> dict[str, DataFrame]:
+    return runs.event_result_sets(c.appointment_tables, AS_OF, c.online_services)
 
 
 @query
 def new_appointments(c: Clinic) -> DataFrame:
-    return _new(c)
+    return ap.new_appointments(c.schedule, c.clients, AS_OF)
 
 
 @query
@@ -86,7 +68,7 @@ def new_appointments_strict(c: Clinic) -> DataFrame:
 
 @query
 def patient_reminders(c: Clinic) -> DataFrame:
-    return _patient(c)
+    return ap.patient_reminders(c.schedule, c.clients, AS_OF)
 
 
 @query
@@ -98,7 +80,18 @@ def patient_reminders_strict(c: Clinic) -> DataFrame:
 
 @query
 def doctor_reminders(c: Clinic) -> DataFrame:
-    return _doctor(c)
+    return ap.doctor_reminders(
+        c.schedule,
+        c.clients,
+        c.chairs,
+        c.rooms,
+        c.roster,
+        c.doctor,
+        c.plan_detail,
+        c.sched_detail,
+        c.online_services,
+        as_of=AS_OF,
+    )
 
 
 @query
@@ -156,13 +149,9 @@ QUERIES["contact_dimension"] = QUERIES.pop("contact_dimension_")
 # --- outbox and ledger ---------------------------------------------------------------
 
 
-def _by_kind(c: Clinic) -> dict[str, DataFrame]:
-    return {"new": _new(c), "reminder_patient": _patient(c), "reminder_doctor": _doctor(c)}
-
-
 @query
 def outbox_messages(c: Clinic) -> DataFrame:
-    return ob.outbox_messages(_by_kind(c), c.sent("new"))
+    return runs.appointment_run(c.appointment_tables, c.sent("new"), AS_OF, c.online_services)
 
 
 @query
@@ -243,33 +232,25 @@ def payment_candidates(c: Clinic) -> DataFrame:
     return pa.payment_candidates(c.payment_tables, c.online_services)
 
 
-def _due(c: Clinic) -> DataFrame:
+@query
+def payment_due_soon(c: Clinic) -> DataFrame:
     picked = pa.due_appointments(c.schedule, AS_OF)
     cands = pa.payment_candidates(c.payment_tables, c.online_services, picked)
     return pa.payment_due_soon(cands, AS_OF)
 
 
-@query
-def payment_due_soon(c: Clinic) -> DataFrame:
-    return _due(c)
-
-
-def _decisions(c: Clinic) -> DataFrame:
-    cands = pa.payment_candidates(c.payment_tables, c.online_services)
-    return pa.payment_decisions(cands, c.sent(pa.NEW), AS_OF)
-
-
 @query
 def payment_decisions(c: Clinic) -> DataFrame:
-    return _decisions(c).select("schedid", "kind", "decision", "amount_payable", "paid_by_client")
+    cands = pa.payment_candidates(c.payment_tables, c.online_services)
+    return pa.payment_decisions(cands, c.sent(pa.NEW), AS_OF).select("schedid", "kind", "decision", "amount_payable", "paid_by_client")
 
 
 @query
 def payment_notices(c: Clinic) -> DataFrame:
-    decided = pa.payment_decisions(_due(c), c.sent(pa.NEW), AS_OF)
-    return pa.payment_notices(decided, ROUTES, ("payments@example.org",)).select(
-        "schedid", "kind", "decision", "body", "contacts", "coverage", "recipients"
+    notices = runs.payment_run(
+        c.payment_tables, c.sent(pa.NEW), AS_OF, ROUTES, ("payments@example.org",), c.online_services
     )
+    return notices.select("schedid", "kind", "decision", "body", "contacts", "coverage", "recipients")
 
 
 # --- workload ----------------------------------------------------------------------------
@@ -286,16 +267,7 @@ def busy_intervals(c: Clinic) -> DataFrame:
 
 
 def _load(c: Clinic) -> DataFrame:
-    return wl.online_user_load(
-        wl.busy_intervals(c.roster, c.schedule, AS_OF),
-        c.departments,
-        c.dailyplan,
-        c.plan_detail,
-        c.sched_detail,
-        c.doctor,
-        c.workload_services,
-        as_of=AS_OF,
-    )
+    return runs.workload_run(c.workload_tables, AS_OF, c.workload_services)
 
 
 @query
@@ -315,7 +287,7 @@ def user_eligibility(c: Clinic) -> DataFrame:
 
 @query
 def disconnect_plan(c: Clinic) -> DataFrame:
-    return wl.disconnect_plan(c.users, _load(c), USER_CAP)
+    return runs.release_run(c.users, c.workload_tables, AS_OF, USER_CAP, c.workload_services)
 
 
 # --- survey --------------------------------------------------------------------------------
@@ -326,7 +298,8 @@ def first_visits(c: Clinic) -> DataFrame:
     return su.first_visits(c.visits, c.treats).select("schedid", "dcode", "pcode", "schedule_date")
 
 
-def _survey(c: Clinic, as_of=SURVEY_AFTERNOON) -> DataFrame:
+@query
+def survey_candidates(c: Clinic) -> DataFrame:
     return su.survey_candidates(
         c.visits,
         c.warehouse_clients,
@@ -336,15 +309,10 @@ def _survey(c: Clinic, as_of=SURVEY_AFTERNOON) -> DataFrame:
         c.wschema,
         c.treats,
         SURVEY_RULES,
-        as_of=as_of,
+        as_of=SURVEY_AFTERNOON,
     )
 
 
-@query
-def survey_candidates(c: Clinic) -> DataFrame:
-    return _survey(c)
-
-
 @query
 def survey_hours(c: Clinic) -> DataFrame:
     return c.schedule.select(
@@ -375,21 +343,23 @@ def _survey_ledger(c: Clinic) -> DataFrame:
 
 @query
 def survey_messages(c: Clinic) -> DataFrame:
-    ledger = _survey_ledger(c)
-    coded = su.survey_skip_codes(_survey(c), ledger, SURVEY_AFTERNOON)
-    return su.survey_messages(coded, ledger, BRANCH_LINKS, SURVEY_AFTERNOON)
+    messages, _ = runs.survey_run(
+        c.survey_tables, _survey_ledger(c), SURVEY_AFTERNOON, BRANCH_LINKS, SURVEY_RULES
+    )
+    return messages
 
 
 @query
 def survey_messages_recent(c: Clinic) -> DataFrame:
-    ledger = _survey_ledger(c)
-    coded = su.survey_skip_codes(_survey(c, SURVEY_MORNING), ledger, SURVEY_MORNING)
-    return su.survey_messages(coded, ledger, BRANCH_LINKS, SURVEY_MORNING, send_recent=True)
+    messages, _ = runs.survey_run(
+        c.survey_tables, _survey_ledger(c), SURVEY_MORNING, BRANCH_LINKS, SURVEY_RULES, send_recent=True
+    )
+    return messages
 
 
 @query
 def survey_checked_marks(c: Clinic) -> DataFrame:
-    coded = su.survey_skip_codes(_survey(c), _survey_ledger(c), SURVEY_AFTERNOON)
+    coded = runs.survey_coded(c.survey_tables, _survey_ledger(c), SURVEY_AFTERNOON, SURVEY_RULES)
     return su.survey_checked_marks(coded, SURVEY_AFTERNOON)
 
 
