@@ -28,6 +28,7 @@ def _numbered(
     """Events with their place inside a time chunk of their source.
 
     ``piece`` counts the successes so far, ``nth`` the failures since the last.
+    Events without a source or a time belong to no run.
     """
     rows = events.select(
         F.col(source_col).alias("source"),
@@ -35,15 +36,15 @@ def _numbered(
         *([F.col(tie_col).alias("tie")] if tie_col else []),
         F.coalesce(is_failure, F.lit(False)).alias("failed"),
         F.window(ts_col, chunk)["start"].alias("chunk"),
-    )
+    ).where(F.col("source").isNotNull() & F.col("chunk").isNotNull())
     order = ["ts", "tie"] if tie_col else ["ts"]
     in_chunk = W.partitionBy("source", "chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    in_piece = (
-        W.partitionBy("source", "chunk", "piece").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    )
-    return rows.withColumn("piece", F.count_if(~F.col("failed")).over(in_chunk)).withColumn(
-        "nth", F.count_if("failed").over(in_piece)
+    # one sort serves all three: the place of the last success gives ``nth``
+    placed = rows.withColumn("piece", F.count_if(~F.col("failed")).over(in_chunk)).withColumn(
+        "n", F.count("*").over(in_chunk)
     )
+    last_success = F.max(F.when(~F.col("failed"), F.col("n"))).over(in_chunk)
+    return placed.withColumn("nth", F.col("n") - F.coalesce(last_success, F.lit(0))).drop("n")
 
 
 def _chunks(numbered: DataFrame, carry: DataFrame | None) -> DataFrame:
@@ -104,7 +105,7 @@ def failure_runs(
     ordinal = alert_ordinal(F.col("source"), thresholds, default_threshold)
     total = F.when(F.col("piece") == 0, F.col("carried")).otherwise(0) + F.col("nth")
     return (
-        numbered.where("failed")
+        numbered.where(F.col("nth") > 0)  # failures; asks for no column the summary lacks
         .join(chunks, ["source", "chunk"])
         .groupBy("source", (F.col("base") + F.col("piece")).alias("run_id"))
         .agg(
