@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.functions.contacts import contact_dimension
+from apptflow.functions import contacts
 from apptflow.operators import appointments as ap
 from apptflow.operators import conferences as cf
 from apptflow.operators import ledger as lg
@@ -139,11 +139,8 @@ def client_ages(c: Clinic) -> DataFrame:
 
 
 @query
-def contact_dimension_(c: Clinic) -> DataFrame:
-    return contact_dimension(c.clients).select("pcode", "mobile")
-
-
-QUERIES["contact_dimension"] = QUERIES.pop("contact_dimension_")
+def contact_dimension(c: Clinic) -> DataFrame:
+    return contacts.contact_dimension(c.clients).select("pcode", "mobile")
 
 
 # --- outbox and ledger ---------------------------------------------------------------
@@ -194,11 +191,21 @@ def _results(messages: DataFrame) -> DataFrame:
 
 @query
 def send_log(c: Clinic) -> DataFrame:
-    out = ob.event_candidates({"survey": c.schedule.join(c.clients.selectExpr("pcode", "fullname AS recipient", "phone3"), "pcode")})
-    ready = contact_dimension(out).where("mobile IS NOT NULL").selectExpr(
-        "kind", "schedid", "cast(schedid AS string) AS key", "recipient", "mobile AS msisdn", "'hello ' || recipient AS text"
+    people = c.clients.selectExpr("pcode", "fullname AS recipient", "phone3")
+    cands = ob.event_candidates({"survey": c.schedule.join(people, "pcode")})
+    outbox = (
+        contacts.contact_dimension(cands)
+        .where("mobile IS NOT NULL")
+        .selectExpr(
+            "kind",
+            "schedid",
+            "cast(schedid AS string) AS key",
+            "recipient",
+            "mobile AS msisdn",
+            "'hello ' || recipient AS text",
+        )
     )
-    return lg.send_log(ready, _results(ready), AS_OF, "host", "user")
+    return lg.send_log(outbox, _results(outbox), AS_OF, "host", "user")
 
 
 @query

@@ -1,9 +1,7 @@
-"""Session defaults and the shared folder used to cut lineage."""
+"""Session defaults."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -28,21 +26,3 @@ def build_session(app: str = "apptflow", master: str | None = None, **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local (test) session may fall back to a folder of its own: on a
-    cluster a machine-local folder is lost with the machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not is_local(spark):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="apptflow-")

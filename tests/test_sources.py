@@ -9,7 +9,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from apptflow.operators.conferences import conference_snapshot, page_chain_gaps
-from apptflow.session import shared_dir
 from apptflow.sources import files, sinks, tables
 
 NOON = datetime(2024, 1, 15, 12)
@@ -87,8 +86,3 @@ def test_repeated_run_leaves_one_copy(spark, tmp_path):
         sinks.write_run(sinks.unsent_in_outbox(df, outbox, run), path, run)
     assert spark.read.parquet(path).count() == 2
     assert spark.read.parquet(path).where(F.col("run_id") == 2).count() == 0
-
-
-def test_shared_dir_is_the_configured_one(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_dir(spark) == configured or configured is None
