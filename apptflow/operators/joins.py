@@ -24,9 +24,9 @@ class Selection:
     counted once here, by partial counts over pruned columns.
     """
 
-    def __init__(self, picked: DataFrame, max_rows: int = BROADCAST_KEY_ROWS):
+    def __init__(self, picked: DataFrame, max_rows: int | None = None):
         self.picked = picked
-        self.few = picked.count() <= max_rows
+        self.few = picked.count() <= (BROADCAST_KEY_ROWS if max_rows is None else max_rows)
 
     def narrow(self, history: DataFrame, **keys: str) -> DataFrame:
         """Rows of ``history`` whose columns match picked rows.

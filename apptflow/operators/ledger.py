@@ -85,7 +85,8 @@ def send_marks(
     """Ledger rows of a run.
 
     A kind with ``retry`` is marked only after success, so a failed message is
-    tried again; any other kind (the default) is marked once it was attempted.
+    tried again: appointment events, and the patient key of a survey.  Any other
+    kind is marked once it was attempted: checked visits and announced files.
     """
     outcome = attempts.select(*LEDGER_KEY).join(results.select(*LEDGER_KEY, "ok"), LEDGER_KEY, "left")
     again = [k for k, v in retry.items() if v]

@@ -211,9 +211,11 @@ def send_log(c: Clinic) -> DataFrame:
 @query
 def send_marks(c: Clinic) -> DataFrame:
     attempts = c.schedule.selectExpr(
-        "schedid", "cast(schedid AS string) AS key", "CASE WHEN onlinetype = 1 THEN 'new' ELSE 'survey' END AS kind"
+        "schedid",
+        "cast(schedid AS string) AS key",
+        f"CASE WHEN onlinetype = 1 THEN 'new' ELSE '{su.CHECKED}' END AS kind",
     )
-    return lg.send_marks(attempts, _results(attempts), AS_OF, {"new": True, "survey": False})
+    return lg.send_marks(attempts, _results(attempts), AS_OF, {"new": True, su.CHECKED: False})
 
 
 # --- payments ---------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from apptflow.operators import joins
 from tests.compare import compare, connect
 
 
@@ -19,6 +20,19 @@ def test_query_equals_sql(spark, con, sf, name):
     assert ok, note
 
 
+@pytest.mark.parametrize(
+    "name", ["new_appointments", "doctor_reminders", "payment_due_soon", "online_user_load", "survey_candidates"]
+)
+def test_same_rows_when_too_many_to_broadcast(spark, con, sf, name, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_KEY_ROWS", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        ok, note = compare(spark, con, sf, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ok, note
+
+
 def test_every_query_has_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
 
