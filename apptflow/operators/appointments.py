@@ -57,8 +57,9 @@ def with_date_text(df: DataFrame) -> DataFrame:
 
 def _with_contacts(appointments: DataFrame, clients: DataFrame) -> DataFrame:
     contacts = clients.select("pcode", *PHONES).where(F.col("pcode").isNotNull())
-    contacts = Selection(appointments).narrow(contacts, pcode="pcode")
-    joined = left_lookup(appointments, contacts, ["pcode"], "schedid")
+    picked = Selection(appointments)
+    contacts = picked.narrow(contacts, pcode="pcode")
+    joined = left_lookup(picked.rows, contacts, ["pcode"], "schedid")
     return with_date_text(joined).select(*EVENT_COLUMNS)
 
 
@@ -121,7 +122,7 @@ def doctor_reminders(
     picked = Selection(soon)
     known = picked.narrow(clients.select("pcode"), pcode="pcode")
     listed = with_listed_service(
-        on_roster(soon, chairs, rooms, roster).join(known, "pcode", "left_semi"),
+        on_roster(picked.rows, chairs, rooms, roster).join(known, "pcode", "left_semi"),
         picked.narrow(plan_detail, did="planid"),
         picked.narrow(sched_detail, schedid="schedid"),
         services,
@@ -143,10 +144,11 @@ def _strict(
     doctor: DataFrame,
     depnums: Sequence[int],
 ) -> DataFrame:
-    seated = on_roster(picked, chairs, rooms, roster, depnums).join(
+    selection = Selection(picked)
+    seated = on_roster(selection.rows, chairs, rooms, roster, depnums).join(
         doctor.select("dcode"), "dcode", "left_semi"
     )
-    people = Selection(picked).narrow(
+    people = selection.narrow(
         clients.select("pcode", *PHONES, "fullname", "histnum"), pcode="pcode"
     )
     return with_date_text(seated.join(people, "pcode")).select(*EVENT_COLUMNS, "fullname", "histnum")

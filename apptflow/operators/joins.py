@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from apptflow.session import written_once
+
 # Keys handed to broadcast() are at most this many fixed-width rows (tens of MB).
 BROADCAST_KEY_ROWS = 500_000
 NULL_SPREAD = 256
@@ -20,13 +22,15 @@ class Selection:
     it is read, without a shuffle.  Beyond ``max_rows`` history is left as it is
     and the later join does the work by shuffle.  Both ways give the same result.
 
-    ``picked`` should be cheap to recompute (a pruned scan with filters): it is
-    counted once here, by partial counts over pruned columns.
+    The picked rows are counted (partial counts over pruned columns) and, when
+    few, written once to the shared checkpoint folder: every later use, ``rows``
+    included, reads those instead of scanning the source again, and all see the
+    same rows.
     """
 
     def __init__(self, picked: DataFrame, max_rows: int | None = None):
-        self.picked = picked
         self.few = picked.count() <= (BROADCAST_KEY_ROWS if max_rows is None else max_rows)
+        self.rows = written_once(picked) if self.few else picked
 
     def narrow(self, history: DataFrame, **keys: str) -> DataFrame:
         """Rows of ``history`` whose columns match picked rows.
@@ -35,7 +39,7 @@ class Selection:
         """
         if not self.few:
             return history
-        wanted = self.picked.select(*[F.col(mine).alias(theirs) for theirs, mine in keys.items()])
+        wanted = self.rows.select(*[F.col(mine).alias(theirs) for theirs, mine in keys.items()])
         return history.join(F.broadcast(wanted.dropna().distinct()), list(keys), "left_semi")
 
 

@@ -150,8 +150,8 @@ def payment_candidates(
     contracts and details are then read for those appointments alone.
     """
     t = tables
-    base = t.schedule if picked is None else picked
     chosen = Everything if picked is None else Selection(picked)
+    base = t.schedule if picked is None else chosen.rows
     plans = (
         t.dailyplan.where(F.col("plantype") == config.PREINVOICE_PLAN_TYPE)
         .select(F.col("did").alias("planid"), "summarub_disc")

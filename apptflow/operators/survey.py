@@ -127,7 +127,7 @@ def survey_candidates(
     history = picked.narrow(treats, dcode="dcode", pcode="pcode")
 
     return (
-        first_visits(recent, history)
+        first_visits(picked.rows, history)
         .join(lines, "treatcode")
         .join(
             people.select(

@@ -116,7 +116,7 @@ def online_user_load(
     )
     known = intervals.join(departments.select("depnum"), "depnum", "left_semi")
     picked = Selection(known)
-    planned = left_lookup(known, picked.narrow(plans, planid="planid"), ["planid"], "schedid")
+    planned = left_lookup(picked.rows, picked.narrow(plans, planid="planid"), ["planid"], "schedid")
     flagged = with_service_flag(
         planned,
         picked.narrow(plan_detail, did="planid"),

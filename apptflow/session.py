@@ -1,8 +1,10 @@
-"""Session defaults."""
+"""Session defaults and the shared folder used to cut lineage."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "apptflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,3 +28,26 @@ def build_session(app: str = "apptflow", master: str | None = None, **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def checkpoint_ready(spark: SparkSession) -> bool:
+    """Whether ``checkpoint()`` has a folder to write to.
+
+    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Only a
+    local (test) session without one gets a folder of its own: on a cluster a
+    machine-local folder is lost with the machine.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and context.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="apptflow-")
+        if folder is None:
+            return False
+        context.setCheckpointDir(folder)
+    return True
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` stored in the shared folder, or as it is where there is none."""
+    return df.checkpoint() if checkpoint_ready(df.sparkSession) else df

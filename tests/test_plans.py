@@ -33,10 +33,11 @@ def test_poll_reads_one_day_of_a_partitioned_schedule(spark, sf, tmp_path):
     c = Clinic(spark, sf)
     c.schedule.write.partitionBy("workdate").parquet(path)
     stored = spark.read.parquet(path)
-    plan = plan_of(ap.patient_reminders(stored, c.clients, AS_OF))
+    online = ap.online_appointments(stored)
+    plan = plan_of(online.where(ap.starts_within(AS_OF, 360)))
     scan = [line for line in plan.split("\n") if "FileScan" in line and "onlinetype" in line][0]
     assert "PartitionFilters: [isnotnull(workdate" in scan and "2024-01-15" in scan
-    new = plan_of(ap.new_appointments(stored, c.clients, AS_OF))
+    new = plan_of(online.where(ap.created_within(AS_OF, 600)))
     scan = [line for line in new.split("\n") if "FileScan" in line and "onlinetype" in line][0]
     assert "GreaterThanOrEqual(createdate" in scan and "EqualTo(onlinetype,1)" in scan
     due = plan_of(pa.due_appointments(stored, AS_OF).select("schedid"))
@@ -50,6 +51,8 @@ def test_history_is_filtered_by_broadcast_keys_before_it_moves(spark, sf):
     plan = plan_of(pa.payment_candidates(c.payment_tables, [10], pa.due_appointments(c.schedule, AS_OF)))
     # payments meet the picked keys before they are summed
     assert plan.count("LeftSemi") >= 6
+    # the picked rows were written once; no branch scans the schedule for them again
+    assert "Scan ExistingRDD" in plan and "createdate >=" not in plan
 
 
 def test_ledger_rank_is_limited_before_the_shuffle(spark, sf):
