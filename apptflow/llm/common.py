@@ -143,10 +143,13 @@ class Words:
         #: first word of each document, and one past the last of all
         self.first = np.searchsorted(self.start, self.ends)
         self.counts = np.diff(self.first)
+        self._hashes: np.ndarray | None = None
 
     def hashes(self) -> np.ndarray:
-        sums = prefix(self.data.astype(np.uint64) + np.uint64(1))
-        return spans(sums, self.start, self.stop)
+        if self._hashes is None:
+            sums = prefix(self.data.astype(np.uint64) + np.uint64(1))
+            self._hashes = spans(sums, self.start, self.stop)
+        return self._hashes
 
     def doc(self) -> np.ndarray:
         """The document's place in the chunk, for each word."""

@@ -7,16 +7,50 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.llm import simhash
+from apptflow.llm import decontaminate, language, packing, simhash, substrings
 from apptflow.llm.common import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_decontamination": op2_decontamination,
+    "op3_language": op3_language,
+    "op4_substrings": op4_substrings,
     "op9_simhash": op9_simhash,
 }
 
