@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.llm import decontaminate, language, packing, simhash, substrings
+from apptflow.llm import decontaminate, language, packing, simhash, substrings, toxicity
 from apptflow.llm.common import table
 
 
@@ -46,12 +46,24 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        language.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
     "op9_simhash": op9_simhash,
+    "op10_toxicity": op10_toxicity,
 }
 
 #: queries that SQL can express
