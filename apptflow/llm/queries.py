@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.llm import decontaminate, language, packing, simhash, substrings, toxicity
+from apptflow.llm import decontaminate, language, packing, quality, simhash, substrings, toxicity
 from apptflow.llm.common import table
 
 
@@ -41,6 +41,13 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    held = language.held_out("doc_id").alias("held_out")
+    return found.select("doc_id", held, "expected_grade", "tail_prob", "selected")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
@@ -62,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
+    "op7_quality": op7_quality,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
