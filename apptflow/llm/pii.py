@@ -1,0 +1,288 @@
+"""PII: keyed surrogates for detected entities, with DataFrame functions only.
+
+One pattern finds all entities. Every distinct entity gets a surrogate of its type,
+format, script and (for names) gender, made from a keyed hash. Surrogates are checked:
+no two entities of a type may share one and none may be an entity that occurs; those
+that fail are drawn again with the next attempt number. An entity has the same
+surrogate wherever it stands, so references stay consistent; names are replaced part by
+part, so "Anna Berg" and "Ms. Berg" stay one person.
+
+Texts without an entity take part in no shuffle. The others are looked up by entity
+(a hot entity is one row on the other side, and adaptive execution splits its rows)
+and put together from the pieces between their entities.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from apptflow.llm.common import stored
+
+KEY = "change-me"
+LONGER_AFTER = 24
+
+# Given names by gender and script; surnames are syllables.
+FEMALE = ["Anna", "Clara", "Elena", "Emma", "Eva", "Flora", "Greta", "Helen", "Irene", "Julia", "Laura", "Lena", "Maria", "Nora", "Olga", "Petra", "Rosa", "Sara", "Sofia", "Vera"]
+MALE = ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Henry", "Hugo", "Ivan", "Jakob", "John", "Karl", "Leo", "Martin", "Oscar", "Paul", "Peter", "Robert", "Victor"]
+FEMALE_CYRILLIC = ["Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга", "Софья"]
+MALE_CYRILLIC = ["Алексей", "Борис", "Виктор", "Глеб", "Иван", "Игорь", "Павел", "Пётр", "Сергей", "Фёдор"]
+SYLLABLES = ["bel", "cor", "dan", "fer", "gal", "hol", "kel", "lin", "mar", "nor", "pel", "ran", "sol", "tor", "ven", "wal"]
+SYLLABLES_CYRILLIC = ["бел", "вер", "гор", "дан", "зор", "кал", "лин", "мар", "нов", "пол", "рос", "сол", "тар", "фед", "хол", "чер"]
+# Titles that stand before a name and tell the gender.
+TITLES_FEMALE = ["Mrs.", "Mrs", "Ms.", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Señora", "Sra.", "Doña", "Госпожа"]
+TITLES_MALE = ["Mr.", "Mr", "Herr", "Monsieur", "Señor", "Sr.", "Don", "Господин"]
+
+
+def _any(words: list[str]) -> str:
+    return "|".join(w.replace(".", r"\.") for w in words)
+
+
+_NAME = r"\p{Lu}\p{L}*(?:['’\-]\p{Lu}\p{L}*)*"
+#: entity types in the order in which they are tried at one place; group 0 is the entity
+PATTERNS: dict[str, str] = {
+    "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
+    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
+    r"|(?i:(?<=\b(?:password|passwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?))[A-Za-z0-9_\-+/]{8,}",
+    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "card": r"(?<![\d\-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}(?: \d{3})?|\d{4}-\d{4}-\d{4}-\d{4}(?:-\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])",
+    "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,5}){1,4}(?!\d)"
+    r"|(?<![\w+])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)"
+    r"|(?<![\w+.\-])\d{3}[ .\-]\d{3}[ .\-]\d{4}(?![\d.\-])",
+    "name": rf"(?<=\b(?:{_any(TITLES_FEMALE + TITLES_MALE)})\s)(?:{_NAME})(?:[ ](?:{_NAME})){{0,2}}",
+    "given": rf"(?<![\p{{L}}])(?:{_any(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)})[ ](?:{_NAME})",
+}
+ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: texts without any of these hold no entity
+HINT = rf"[@\d=:]|(?:{_any(TITLES_FEMALE + TITLES_MALE)})\s|(?:{_any(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)})\s"
+
+
+def kind(value: Column) -> Column:
+    """The type of a found entity, from its form alone."""
+    digits = F.length(F.regexp_replace(value, r"\D", ""))
+    return (
+        F.when(value.contains("@"), "email")
+        .when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip")
+        .when(value.rlike(r"^AKIA[0-9A-Z]{16}$"), "secret")
+        .when(value.rlike(r"^\+") | value.rlike(r"^\(\d{3}\)"), "phone")
+        .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
+        .when(value.rlike(r"^\d{3}[ .\-]\d{3}[ .\-]\d{4}$"), "phone")
+        .when(value.rlike(r"^\d(?:[ \-]?\d)+$") & (digits >= 13), "card")
+        .when(value.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{12,}$"), "iban")
+        .when(value.rlike(rf"^{_NAME}(?: {_NAME})*$"), "name")
+        .otherwise("secret")
+    )
+
+
+def _digest(*parts: Column | str) -> Column:
+    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+
+
+def _nibbles(digest: Column, i: Column) -> Column:
+    """A number from 0 to 255 for place ``i``."""
+    return F.conv(F.substring(digest, F.pmod(i * 2, F.lit(60)) + 1, F.lit(2)), 16, 10).cast("int")
+
+
+def _masked(value: Column, digest: Column, keep: Column | None = None) -> Column:
+    """Each letter becomes a letter of its case and script, each digit a digit."""
+
+    def one(c: Column, i: Column) -> Column:
+        n = _nibbles(digest, i) + i * 7
+        pick = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))) + 1, F.lit(1))
+        out = (
+            F.when(c.rlike(r"[0-9]"), F.pmod(n, F.lit(10)).cast("string"))
+            .when(c.rlike(r"[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
+            .when(c.rlike(r"[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+            .otherwise(c)
+        )
+        return out if keep is None else F.when(i < keep, c).otherwise(out)
+
+    return F.array_join(F.transform(F.split(value, ""), one), "")
+
+
+def _luhn_sum(digits: Column) -> Column:
+    """Luhn sum of a digit string, the last digit counted once."""
+    size = F.length(digits)
+
+    def one(c: Column, i: Column) -> Column:
+        d = c.cast("int") * F.when((size - 1 - i) % 2 == 1, 2).otherwise(1)
+        return F.when(d > 9, d - 9).otherwise(d)
+
+    return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda a, x: a + x)
+
+
+def _card(value: Column, digest: Column) -> Column:
+    """Same grouping and first digit; a valid check digit if the number had one."""
+    masked = _masked(value, digest, keep=F.lit(1))
+    digits = F.regexp_replace(masked, r"\D", "")
+    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
+    check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10))
+    valid = F.pmod(_luhn_sum(F.regexp_replace(value, r"\D", "")), F.lit(10)) == 0
+    fixed = F.concat(F.substring(masked, F.lit(1), F.length(masked) - 1), check.cast("string"))
+    return F.when(valid, fixed).otherwise(masked)
+
+
+def _email(value: Column, digest: Column) -> Column:
+    """A masked mailbox at a masked host of a domain that is reserved for examples."""
+    box, domain = F.split(value, "@")[0], F.split(value, "@")[1]
+    top = F.coalesce(F.nullif(F.regexp_extract(domain, r"\.(com|net|org)$", 1), F.lit("")), F.lit("com"))
+    host = _masked(F.split(domain, r"\.")[0], F.reverse(digest))
+    return F.concat(_masked(box, digest), F.lit("@"), host, F.lit(".example."), top)
+
+
+def _ip(digest: Column) -> Column:
+    octets = [F.pmod(_nibbles(digest, F.lit(k)), F.lit(223 if k == 0 else 254)) + 1 for k in range(4)]
+    return F.concat_ws(".", *[o.cast("string") for o in octets])
+
+
+def _phone(value: Column, digest: Column) -> Column:
+    """Country code and separators stay; the rest is digits of the hash."""
+    code = F.length(F.regexp_extract(value, r"^\+\d{1,3}(?=[ .\-(])|^\+\d", 0))
+    return _masked(value, digest, keep=code)
+
+
+def _is_cyrillic(value: Column) -> Column:
+    return value.rlike(r"\p{IsCyrillic}")
+
+
+def _pick(words: list[str], n: Column) -> Column:
+    return F.element_at(F.lit(words), (F.pmod(n, F.lit(len(words))) + 1).cast("int"))
+
+
+def _surname(value: Column, digest: Column, attempt: Column) -> Column:
+    """Three or more syllables in the entity's script, in its upper or title case."""
+
+    def of(syllables: list[str]) -> Column:
+        steps = F.sequence(F.lit(1), F.lit(3) + attempt.cast("int"))
+        return F.array_join(F.transform(steps, lambda i: _pick(syllables, _nibbles(digest, i))), "")
+
+    made = F.when(_is_cyrillic(value), of(SYLLABLES_CYRILLIC)).otherwise(of(SYLLABLES))
+    return F.when((value == F.upper(value)) & (F.length(value) > 1), F.upper(made)).otherwise(F.initcap(made))
+
+
+def _given(value: Column, gender: Column, digest: Column, attempt: Column) -> Column:
+    """A given name of the gender and script; later attempts join two of them."""
+
+    def of(female: list[str], male: list[str]) -> Column:
+        def name(k: int) -> Column:
+            n = _nibbles(digest, F.lit(k)) * 256 + _nibbles(digest, F.lit(k + 1))
+            return F.when(gender == "f", _pick(female, n)).when(gender == "m", _pick(male, n)).otherwise(_pick(female + male, n))
+
+        return F.when(attempt < 4, name(0)).when(attempt < 12, F.concat_ws("-", name(0), name(2))).otherwise(
+            F.concat_ws("-", name(0), name(2), name(4))
+        )
+
+    return F.when(_is_cyrillic(value), of(FEMALE_CYRILLIC, MALE_CYRILLIC)).otherwise(of(FEMALE, MALE))
+
+
+def _candidate(key: str) -> Column:
+    """A surrogate for the entity in columns type, gender, value and attempt."""
+    value, attempt = F.col("value"), F.col("attempt")
+    digest = _digest(F.lit(key), F.col("type"), value, attempt.cast("string"))
+    made = (
+        F.when(F.col("type") == "email", _email(value, digest))
+        .when(F.col("type") == "ip", _ip(digest))
+        .when(F.col("type") == "card", _card(value, digest))
+        .when(F.col("type") == "phone", _phone(value, digest))
+        .when(F.col("type") == "surname", _surname(value, digest, attempt))
+        .when(F.col("type") == "given", _given(value, F.col("gender"), digest, attempt))
+        .when(F.col("type") == "iban", _masked(value, digest, keep=F.lit(2)))
+        .when(value.startswith("AKIA"), _masked(value, digest, keep=F.lit(4)))
+        .otherwise(_masked(value, digest))
+    )
+    # a format with fewer forms than there are entities of it grows longer
+    by_name = F.col("type").isin("given", "surname")
+    syllables = F.concat(*[_pick(SYLLABLES, _nibbles(digest, F.lit(k))) for k in (26, 27, 28)])
+    number = F.conv(F.substring(digest, 1, 12), 16, 10)
+    longer = F.concat(F.when(F.col("type") == "email", number).otherwise(F.lit("")), made)
+    longer = F.when(F.col("type") == "email", longer).otherwise(
+        F.concat(made, F.when(by_name, syllables).otherwise(number))
+    )
+    return F.when(attempt < LONGER_AFTER, made).otherwise(longer)
+
+
+def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
+    """(type, gender, value, surrogate) for distinct (type, gender, value).
+
+    Within a type all surrogates differ, and none is a value that occurs. Of those that
+    want the same surrogate the smallest value gets it; the others try again. What is
+    settled is written down, so each round works on the rest alone.
+    """
+    known = entities.select("type", F.col("value").alias("surrogate")).distinct()
+    settled = None
+    open_ = entities.withColumn("attempt", F.lit(0))
+    while True:
+        tried = open_.withColumn("surrogate", _candidate(key))
+        free = tried.join(known, ["type", "surrogate"], "left_anti")
+        if settled is not None:
+            free = free.join(settled.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
+        won = free.groupBy("type", "surrogate").agg(F.min(F.struct("value", "gender")).alias("w"))
+        won = stored(won.select("type", "surrogate", "w.value", "w.gender"), "surrogates")
+        settled = won if settled is None else settled.unionByName(won)
+        same = ["type", "value", "gender"]
+        rest = stored(open_.join(won.select(*same), same, "left_anti").withColumn("attempt", F.col("attempt") + 1), "open")
+        if rest.isEmpty():
+            return settled
+        open_ = rest
+
+
+def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """``docs`` with every entity in ``text`` replaced; all columns and rows stay.
+
+    A null or empty text stays as it is. Repeated rows get the same replacement. Extra
+    columns are passed on, also under names used here. The result of an empty table is
+    empty. ``n_chars``, if there is one, is not touched.
+    """
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col("row.text").cast("string")
+    may = F.coalesce(text.rlike(HINT), F.lit(False))
+    found = F.when(may, F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1)))
+    marked = wrapped.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
+    hit = F.size("found") > 0
+    fields = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    untouched = marked.where(~hit).select(*fields)
+
+    # texts with entities, once: split at the entities, told apart by a hash
+    before = F.regexp_replace(text, f"({ENTITY})", "\u0001")
+    titled = F.transform(
+        F.sequence(F.lit(0), F.size("found") - 1), lambda i: F.regexp_extract(F.col("pieces")[i], r"(\S+)\s$", 1)
+    )
+    own = marked.where(hit & ~text.contains("\u0001")).withColumn("pieces", F.split(before, "\u0001"))
+    odd = marked.where(hit & text.contains("\u0001")).withColumn("pieces", F.split(text, f"(?:{ENTITY})"))
+    own = own.unionByName(odd).withColumn("titles", titled)
+    own = own.withColumn("text_key", F.sha2(text, 256))
+    rest = [F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    own = stored(own.select("found", "pieces", "titles", "text_key", *rest), "pii")
+
+    uses = own.select("text_key", F.posexplode(F.arrays_zip("found", "titles")).alias("pos", "e"))
+    uses = uses.select("text_key", "pos", F.col("e.found").alias("entity"), F.col("e.titles").alias("title")).distinct()
+    uses = uses.withColumn("kind", kind(F.col("entity")))
+    # names part by part; everything else is one part
+    words = F.split("entity", " ")
+    first_given = F.element_at(words, 1).isin(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC) | (F.size(words) > 1)
+    parts = F.when(F.col("kind") == "name", words).otherwise(F.array("entity"))
+    uses = uses.select("text_key", "pos", "kind", "title", F.posexplode(parts).alias("part", "value"), first_given.alias("has_given"))
+    is_given = (F.col("part") == 0) & F.col("has_given")
+    uses = uses.withColumn(
+        "type", F.when(F.col("kind") == "name", F.when(is_given, "given").otherwise("surname")).otherwise(F.col("kind"))
+    )
+    by_name = F.when(F.col("value").isin(FEMALE + FEMALE_CYRILLIC), "f").when(F.col("value").isin(MALE + MALE_CYRILLIC), "m")
+    by_title = F.when(F.col("title").isin(TITLES_FEMALE), "f").when(F.col("title").isin(TITLES_MALE), "m")
+    gender = F.when(F.col("type") == "given", F.coalesce(by_name, by_title, F.lit("")))
+    uses = stored(uses.withColumn("gender", F.coalesce(gender, F.lit(""))).drop("kind", "title", "has_given"), "uses")
+
+    same = ["type", "gender", "value"]
+    made = surrogates(uses.select(*same).distinct(), key)
+    placed = uses.join(made, same)
+    # the parts of a text's entities in order, then the entities in order
+    placed = placed.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "surrogate"))).alias("s"))
+    entity = F.transform(
+        F.sequence(F.lit(0), F.size("pieces") - 2),
+        lambda i: F.array_join(F.transform(F.filter("s", lambda x: x["pos"] == i), lambda x: x["surrogate"]), " "),
+    )
+    filled = own.join(placed, "text_key").withColumn("new", entity)
+    glued = F.array_join(F.zip_with("pieces", F.concat("new", F.array(F.lit(""))), lambda p, e: F.concat(p, e)), "")
+    fields = [(glued if c == "text" else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)]
+    return untouched.unionByName(filled.select(*fields))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.llm import decontaminate, language, packing, quality, simhash, substrings, toxicity
+from apptflow.llm import decontaminate, language, packing, pii, quality, simhash, substrings, toxicity
 from apptflow.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held, "expected_grade", "tail_prob", "selected")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.anonymize(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
     "op7_quality": op7_quality,
+    "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
 }
