@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.llm import decontaminate, language, packing, pii, quality, simhash, substrings, toxicity
+from apptflow.llm import decontaminate, embeddings, language, packing, pii, quality, simhash, substrings, toxicity
 from apptflow.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
+    "op5_embeddings": op5_embeddings,
     "op7_quality": op7_quality,
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,
