@@ -200,3 +200,26 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_th"),
     )
     return rows.mapInArrow(batch, "doc_id long, _th long, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model, min_score: float = 0.4) -> DataFrame:
+    """The rows of ``docs`` in one of the model's languages, all columns unchanged.
+
+    Texts without a letter go, and those that no language explains with a share of
+    ``min_score``. A model without a language rejects nothing that has a letter.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def batch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = sent.value
+        for whole in parts:
+            for part in chunks(whole):
+                texts = plain(part.column("text")).cast(pa.large_string()).to_pylist()
+                if own.langs:
+                    lang, score = own.predict(texts)
+                    keep = [g != UNKNOWN and s >= min_score for g, s in zip(lang, score, strict=True)]
+                else:
+                    keep = [bool(_LETTERS.search(t)) for t in texts]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(batch, docs.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from apptflow.llm import decontaminate, embeddings, language, packing, pii, quality, simhash, substrings, toxicity
+from apptflow.llm import decontaminate, embeddings, extract, language, packing, pii, quality, simhash, substrings, toxicity
 from apptflow.llm.common import table
 
 
@@ -46,6 +46,10 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
     "op5_embeddings": op5_embeddings,
+    "op6_extract": op6_extract,
     "op7_quality": op7_quality,
     "op8_pii": op8_pii,
     "op9_simhash": op9_simhash,

@@ -253,5 +253,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` for each group of near copies, all columns unchanged.
+
+    The document with the smallest doc_id stays; of rows that share it, the smallest by
+    text and then by the other columns. Rows without an id cannot stand for a group and
+    go.
+    """
+    found = near_duplicates(docs, shingle, max_bits)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    named = docs.join(first, docs["doc_id"].cast("long") == F.col("_id"), "left_semi")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    named = named.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *rest)).alias("_row"))
+    return named.select(
+        *[F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    )
+
+
 def hex_digits(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
