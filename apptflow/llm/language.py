@@ -24,11 +24,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from apptflow.llm.common import chunks, plain
 
-#: labelled rows per language that the model is fitted on, and characters of them
+#: labelled rows per language that the model is fitted on
 SAMPLE_ROWS = 3000
 MAX_WORDS = 60_000
 MAX_GRAMS = 200_000
@@ -153,22 +152,24 @@ def held_out(doc_id: Column | str) -> Column:
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fits on at most ``sample_rows`` rows per language, those with the lowest hash."""
+    """Fits on about ``sample_rows`` rows per language, those with the lowest hash.
+
+    Never on more than twice as many in all. Languages are few, as labels of a model.
+    """
     rows = docs.where("lang is not null and text is not null").where(
         ~F.coalesce(held_out("doc_id"), F.lit(True))
     )
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit("language"))
-    # a plain share of all rows first, so that the ranking below sees few of them
     counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)), -20.0)
     share = F.lit(0.0)
     for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 3.0 * sample_rows / n))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_rows / n))).otherwise(share)
     part = F.pmod(order, F.lit(1 << 30)) / float(1 << 30)
-    few = rows.select("text", "lang", order.alias("_o"), part.alias("_p")).where(F.col("_p") < share)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_o", "text"))
-    sample = few.withColumn("_r", rank).where(F.col("_r") <= sample_rows).select("text", "lang")
+    sample = rows.select("text", "lang", order.alias("_o"), part.alias("_p")).where(F.col("_p") < share)
+    # a firm bound, should many rows share an id
+    sample = sample.orderBy("_o", "text").limit(2 * sample_rows * len(counts)).select("text", "lang")
     got = sample.toArrow()
     texts = got.column("text").to_pylist()
     return fit(texts, got.column("lang").to_pylist())
