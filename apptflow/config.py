@@ -47,6 +47,7 @@ SURVEY_HOURS = (11, 21)
 SURVEY_DELAY_H = 3
 SURVEY_EVENING_HOUR = 18
 FILE_AGE_MIN = 120
+LEDGER_DAYS = 2  # marks older than this concern nothing that a poll picks
 LEDGER_KEEP = 10
 ALERT_ORDINALS = {
     "conference": 1001,

@@ -18,7 +18,7 @@ from apptflow.config import (
 from apptflow.functions import timeexpr as t
 from apptflow.functions.text import is_free
 from apptflow.functions.timeexpr import date_text, day, ntz, shift_seconds, start_ts
-from apptflow.operators.joins import Selection, left_lookup
+from apptflow.operators.joins import Selection, left_lookup, smallest_per_key
 from apptflow.operators.services import ServiceList, with_listed_service
 
 PHONES = ("phone1", "phone2", "phone3")
@@ -55,11 +55,15 @@ def with_date_text(df: DataFrame) -> DataFrame:
     return df.withColumn("data", date_text(F.col("workdate")))
 
 
-def _with_contacts(appointments: DataFrame, clients: DataFrame) -> DataFrame:
+def contacts_of(picked: Selection, clients: DataFrame) -> DataFrame:
+    """Phones of the picked appointments' patients."""
     contacts = clients.select("pcode", *PHONES).where(F.col("pcode").isNotNull())
-    picked = Selection(appointments)
-    contacts = picked.narrow(contacts, pcode="pcode")
-    joined = left_lookup(picked.rows, contacts, ["pcode"], "schedid")
+    return picked.narrow(contacts, pcode="pcode")
+
+
+def with_contacts(appointments: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Appointments with their patient's phones; unknown patients have none."""
+    joined = left_lookup(appointments, contacts, ["pcode"], "schedid")
     return with_date_text(joined).select(*EVENT_COLUMNS)
 
 
@@ -67,16 +71,16 @@ def new_appointments(
     schedule: DataFrame, clients: DataFrame, as_of: datetime, lookback_s: float = NEW_LOOKBACK_S
 ) -> DataFrame:
     """Online bookings made in the lookback window, with the patient's phones."""
-    recent = online_appointments(schedule).where(created_within(as_of, lookback_s))
-    return _with_contacts(recent, clients)
+    picked = Selection(online_appointments(schedule).where(created_within(as_of, lookback_s)))
+    return with_contacts(picked.rows, contacts_of(picked, clients))
 
 
 def patient_reminders(
     schedule: DataFrame, clients: DataFrame, as_of: datetime, lead_s: float = REMINDER_LEAD_S
 ) -> DataFrame:
     """Online visits about to start, with the patient's phones."""
-    soon = online_appointments(schedule).where(starts_within(as_of, lead_s))
-    return _with_contacts(soon, clients)
+    picked = Selection(online_appointments(schedule).where(starts_within(as_of, lead_s)))
+    return with_contacts(picked.rows, contacts_of(picked, clients))
 
 
 def on_roster(
@@ -118,21 +122,53 @@ def doctor_reminders(
 
     The booking channel does not matter here, unlike for patients.
     """
-    soon = free_appointments(schedule).where(starts_within(as_of, lead_s))
-    picked = Selection(soon)
+    picked = Selection(free_appointments(schedule).where(starts_within(as_of, lead_s)))
     known = picked.narrow(clients.select("pcode"), pcode="pcode")
+    return doctors_of(
+        picked, picked.rows, known, chairs, rooms, roster, doctor, plan_detail, sched_detail, services
+    )
+
+
+def doctors_of(
+    picked: Selection,
+    appointments: DataFrame,
+    known: DataFrame,
+    chairs: DataFrame,
+    rooms: DataFrame,
+    roster: DataFrame,
+    doctor: DataFrame,
+    plan_detail: DataFrame,
+    sched_detail: DataFrame,
+    services: ServiceList,
+) -> DataFrame:
+    """The doctor's phone for ``appointments``, a part of the picked rows.
+
+    Appointments need a listed service, a place on the roster and a patient among
+    ``known``.  Of several phones of a doctor the smallest counts.
+    """
     listed = with_listed_service(
-        on_roster(picked.rows, chairs, rooms, roster).join(known, "pcode", "left_semi"),
+        on_roster(appointments, chairs, rooms, roster).join(known, "pcode", "left_semi"),
         picked.narrow(plan_detail, did="planid"),
         picked.narrow(sched_detail, schedid="schedid"),
         services,
     )
     phones = doctor.select("dcode", "phoneint")
-    return (
-        with_date_text(listed.join(phones, "dcode"))
-        .select("schedid", "data", "bhour", "bmin", "phoneint")
-        .dropDuplicates(["schedid"])
-    )
+    rows = with_date_text(listed.join(phones, "dcode")).select("schedid", "data", "bhour", "bmin", "phoneint")
+    return smallest_per_key(rows, ["schedid"])
+
+
+def poll_selection(
+    schedule: DataFrame,
+    as_of: datetime,
+    lookback_s: float = NEW_LOOKBACK_S,
+    lead_s: float = REMINDER_LEAD_S,
+) -> Selection:
+    """What one poll looks at, in one scan: flags ``is_new``, ``is_soon``, ``is_online``."""
+    online = F.coalesce(F.col("onlinetype") == 1, F.lit(False))
+    new = online & F.coalesce(created_within(as_of, lookback_s), F.lit(False))
+    soon = F.coalesce(starts_within(as_of, lead_s), F.lit(False))
+    flagged = free_appointments(schedule).withColumns({"is_new": new, "is_soon": soon, "is_online": online})
+    return Selection(flagged.where(F.col("is_new") | F.col("is_soon")))
 
 
 def _strict(

@@ -44,7 +44,9 @@ USER_TYPE = (
     "status: int, is_active: int>"
 )
 USER_PAGE = f"struct<next_page_id: bigint, users: array<{USER_TYPE}>>"
-PAGE_SIZE = 200
+# a user's position: the page, then the place on it; pages may have any size
+PAGE_BITS = 32
+POSITIONS_PER_BLOCK = 500 << PAGE_BITS
 
 
 def conferences(pages: DataFrame) -> DataFrame:
@@ -77,11 +79,33 @@ def snapshot_completeness(pages: DataFrame) -> DataFrame:
 
 
 def user_snapshot(pages: DataFrame) -> DataFrame:
-    """Users with their position in the list the service returns."""
-    parsed = pages.select("page_id", F.from_json("body", USER_PAGE).alias("p"))
+    """Users with their position in the list the service returns.
+
+    A page without a number has no place in the list: it fails the job.
+    """
+    number = F.coalesce(
+        F.col("page_id"), F.raise_error("a user page without a number").cast("bigint")
+    )
+    parsed = pages.select(number.alias("page_id"), F.from_json("body", USER_PAGE).alias("p"))
     return parsed.select("page_id", F.posexplode("p.users").alias("n", "u")).select(
-        (F.col("page_id") * PAGE_SIZE + F.col("n")).alias("list_pos"), "u.*"
+        (F.shiftleft(F.col("page_id").cast("bigint"), PAGE_BITS) + F.col("n")).alias("list_pos"), "u.*"
+    )
+
+
+def user_snapshot_completeness(pages: DataFrame, first_page: int = 0) -> DataFrame:
+    """One row: pages landed, whether the first one is missing, pages unreadable,
+    pages some other page points to that are missing, and pages that end the chain."""
+    p = pages.select("page_id", F.from_json("body", USER_PAGE).alias("p"))
+    own = p.agg(
+        F.count("*").alias("pages"),
+        (F.count_if(F.col("page_id") == first_page) == 0).alias("first_missing"),
+        F.count_if(F.col("page_id").isNull() | F.col("p.next_page_id").isNull() | F.col("p.users").isNull()).alias(
+            "unreadable"
+        ),
+        F.count_if(F.col("p.next_page_id") == -1).alias("ends"),
     )
+    gaps = page_chain_gaps(pages).agg(F.count_distinct("missing_page").alias("n")).scalar()
+    return own.withColumn("missing", F.coalesce(gaps, F.lit(0)))
 
 
 def page_chain_gaps(pages: DataFrame) -> DataFrame:

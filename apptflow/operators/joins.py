@@ -9,38 +9,26 @@ from pyspark.sql import functions as F
 
 from apptflow.session import written_once
 
-# Keys handed to broadcast() are at most this many fixed-width rows (tens of MB).
-BROADCAST_KEY_ROWS = 500_000
-NULL_SPREAD = 256
-
-
 class Selection:
     """The rows a run picked, used to read only matching history.
 
-    A poll selects minutes of appointments out of years of history.  When the
-    picked rows are few, their keys are broadcast and history is filtered where
-    it is read, without a shuffle.  Beyond ``max_rows`` history is left as it is
-    and the later join does the work by shuffle.  Both ways give the same result.
-
-    The picked rows are counted (partial counts over pruned columns) and, when
-    few, written once to the shared checkpoint folder: every later use, ``rows``
-    included, reads those instead of scanning the source again, and all see the
-    same rows.
+    A poll selects minutes of appointments out of years of history.  The picked rows
+    are written once to the shared folder: every later use, ``rows`` included, reads
+    those instead of scanning the source again.  History is semi-joined with their keys
+    before it meets any aggregate.  Spark knows the size of the written rows: few keys
+    it sends to where history is read, many it joins by shuffle.
     """
 
-    def __init__(self, picked: DataFrame, max_rows: int | None = None):
-        self.few = picked.count() <= (BROADCAST_KEY_ROWS if max_rows is None else max_rows)
-        self.rows = written_once(picked) if self.few else picked
+    def __init__(self, picked: DataFrame):
+        self.rows = written_once(picked, "picked")
 
     def narrow(self, history: DataFrame, **keys: str) -> DataFrame:
         """Rows of ``history`` whose columns match picked rows.
 
         Keys are given as ``history_column="picked_column"``.
         """
-        if not self.few:
-            return history
         wanted = self.rows.select(*[F.col(mine).alias(theirs) for theirs, mine in keys.items()])
-        return history.join(F.broadcast(wanted.dropna().distinct()), list(keys), "left_semi")
+        return history.join(wanted.dropna(), list(keys), "left_semi")
 
 
 class Everything:
@@ -66,7 +54,21 @@ def left_lookup(
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    somewhere = F.pmod(F.xxhash64(value), F.lit(NULL_SPREAD)) + 1
+    spread_over = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    somewhere = F.pmod(F.xxhash64(value), F.lit(spread_over)) + 1
     salted = left.withColumn(salt, F.when(missing, somewhere).otherwise(0).cast("int"))
     zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
     return salted.join(right.withColumn(salt, zero), [*keys, salt], "left").drop(salt)
+
+
+def smallest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, the smallest by all other columns.
+
+    An aggregate rather than a window: duplicates collapse before the shuffle, and
+    which row stays does not depend on the order of tasks.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    chosen = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+    return chosen.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from apptflow.config import LEDGER_KEEP
 from apptflow.functions.timeexpr import ntz
+from apptflow.session import written_once
 
 LEDGER_KEY = ["kind", "key"]
 
@@ -22,17 +23,30 @@ LEDGER_KEY = ["kind", "key"]
 def unsent_notifications(cands: DataFrame, ledger: DataFrame, since: datetime | None = None) -> DataFrame:
     """Candidates not in the ledger.
 
-    ``since`` limits the ledger to the days that can still matter; on a ledger
-    partitioned by day that prunes the scan.
+    The candidates are written once, and the ledger is narrowed to their keys where it
+    is read: a few candidates do not move a ledger of years.  ``since`` limits it to
+    the days that can still matter as well (see ``since_day``).
     """
     if since is not None:
-        ledger = ledger.where(F.col("sent_at") >= ntz(since))
-    return cands.join(ledger.select(*LEDGER_KEY), LEDGER_KEY, "left_anti")
+        ledger = since_day(ledger, since)
+    few = written_once(cands, "candidates")
+    known = ledger.select(*LEDGER_KEY).join(few.select(*LEDGER_KEY), LEDGER_KEY, "left_semi")
+    return few.join(known, LEDGER_KEY, "left_anti")
+
+
+def since_day(ledger: DataFrame, since: datetime) -> DataFrame:
+    """Marks from ``since`` on; where there is a day column, earlier folders are skipped."""
+    if "sent_day" in ledger.columns:
+        ledger = ledger.where(F.col("sent_day") >= F.lit(since.date()))
+    return ledger.where(F.col("sent_at") >= ntz(since))
 
 
 def of_day(ledger: DataFrame, as_of: datetime) -> DataFrame:
     """Marks of the current day only: survey marks are forgotten overnight."""
-    return ledger.where(F.to_date("sent_at") == F.lit(as_of.date()))
+    today = F.lit(as_of.date())
+    if "sent_day" in ledger.columns:
+        ledger = ledger.where(F.col("sent_day") == today)
+    return ledger.where(F.to_date("sent_at") == today)
 
 
 def keys_of(ledger: DataFrame, kind: str, name: str, dtype: str = "bigint") -> DataFrame:

@@ -149,8 +149,11 @@ def arrival_digest(
     oldest = as_of - timedelta(minutes=max_age_min)
     fresh = files.where(F.col("created").between(ntz(oldest), ntz(as_of)))
     known = ledger.select(F.col("key").alias("file"))
+    window = F.window("created", cadence)
+    # a file created at a tick is seen by that tick; this run is the latest tick
+    tick = F.when(window["start"] == F.col("created"), F.col("created")).otherwise(window["end"])
     lines = fresh.join(known, "file", "left_anti").select(
-        F.window("created", cadence)["end"].alias("digest_at"), "file", "created"
+        F.least(tick, ntz(as_of)).alias("digest_at"), "file", "created"
     )
     sizes = lines.groupBy("digest_at").agg(F.count("*").alias("n"))
     return lines.join(sizes, "digest_at")
@@ -177,6 +180,7 @@ def delivery_states(
         .withColumn("state_code", delivery_code(F.col("_content")))
         .withColumn("state", label(F.col("state_code"), states, "error"))
         .withColumn("delivered_at", delivery_time(F.col("_content")))
+        .withColumn("detail", F.when(F.col("state") == "error", F.col("_content")))
         .drop("_content")
     )
 
@@ -185,9 +189,9 @@ def delivery_report(reports: DataFrame, states: Mapping[str, str] = config.DELIV
     """The latest state per message (``smsid``, ``reported_at``, ``content``)."""
     parsed = delivery_states(reports, states)
     last = parsed.groupBy("smsid").agg(
-        F.max(F.struct("reported_at", "state_code", "state", "delivered_at")).alias("r")
+        F.max(F.struct("reported_at", "state_code", "state", "delivered_at", "detail")).alias("r")
     )
-    return last.select("smsid", "r.state_code", "r.state", "r.delivered_at")
+    return last.select("smsid", "r.state_code", "r.state", "r.delivered_at", "r.detail")
 
 
 def delivery_rates(reports: DataFrame, states: Mapping[str, str] = config.DELIVERY_STATES) -> DataFrame:

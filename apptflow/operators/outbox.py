@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from apptflow.config import TEMPLATES
 from apptflow.functions.contacts import contact_dimension, msisdn
 from apptflow.functions.timeexpr import datetime_text, parse_local, send_time_text, time_text
+from apptflow.operators.joins import smallest_per_key
 from apptflow.operators.ledger import LEDGER_KEY, unsent_notifications
 
 CANDIDATE_COLUMNS = {
@@ -79,13 +81,8 @@ def render(kind: Column, start_at: Column, templates: Mapping[str, str]) -> Colu
 
 
 def first_per_key(messages: DataFrame) -> DataFrame:
-    """One message per kind and key, the smallest when a key has several.
-
-    An aggregate rather than a window: duplicates collapse before the shuffle.
-    """
-    rest = [c for c in messages.columns if c not in LEDGER_KEY]
-    chosen = messages.groupBy(*LEDGER_KEY).agg(F.min(F.struct(*rest)).alias("m"))
-    return chosen.select(*LEDGER_KEY, *[F.col(f"m.{c}").alias(c) for c in rest])
+    """One message per kind and key, the smallest when a key has several."""
+    return smallest_per_key(messages, LEDGER_KEY)
 
 
 def outbox_messages(
@@ -93,6 +90,7 @@ def outbox_messages(
     ledger: DataFrame,
     templates: Mapping[str, str] = TEMPLATES,
     send_at: Column | None = None,
+    since: datetime | None = None,
 ) -> DataFrame:
     """Sendable, not yet notified candidates as messages.
 
@@ -109,4 +107,4 @@ def outbox_messages(
         render(F.col("kind"), F.col("start_at"), templates).alias("text"),
         delayed.alias("send_time"),
     )
-    return first_per_key(unsent_notifications(messages, ledger))
+    return first_per_key(unsent_notifications(messages, ledger, since))

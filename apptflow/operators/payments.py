@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from apptflow import config
 from apptflow.functions.text import blank_to_null, label
 from apptflow.functions.timeexpr import minute_floor, ntz, shift_minutes, start_ts, time_text
-from apptflow.operators.joins import Everything, Selection, left_lookup
+from apptflow.operators.joins import Everything, Selection, left_lookup, smallest_per_key
 from apptflow.operators.ledger import unsent_notifications
 from apptflow.operators.services import ServiceList, with_listed_service
 
@@ -93,7 +93,12 @@ def valid_agreements(
         F.col("bdate").cast("date").alias("from_day"),
         F.coalesce("datecancel", "fdate").cast("date").alias("to_day"),
     )
-    valid = days.join(selection.narrow(live, pcode="pcode"), "pcode").where(
+    # contracts that end before a patient's first day or begin after the last one
+    # never meet the days
+    reach = days.groupBy("pcode").agg(F.min("workdate").alias("first_day"), F.max("workdate").alias("last_day"))
+    live = selection.narrow(live, pcode="pcode").join(reach, "pcode")
+    live = live.where((F.col("from_day") <= F.col("last_day")) & (F.col("to_day") >= F.col("first_day")))
+    valid = days.join(live.drop("first_day", "last_day"), "pcode").where(
         F.col("workdate").between(F.col("from_day"), F.col("to_day"))
     )
     lists = (
@@ -166,11 +171,13 @@ def payment_candidates(
         services,
         plan_key="did",
     )
+    # one department per appointment: a roster row repeated elsewhere adds no candidate
+    seats = chosen.narrow(t.roster.select("schedident", "depnum"), schedident="schedident")
+    seats = smallest_per_key(seats.join(t.departments.select("depnum", "depname"), "depnum"), ["schedident"])
     s = (
         s.join(t.filials.select(F.col("filid").alias("filial"), "shortname"), "filial")
         .join(t.doctor.select("dcode", "dname"), "dcode")
-        .join(chosen.narrow(t.roster.select("schedident", "depnum"), schedident="schedident"), "schedident")
-        .join(t.departments.select("depnum", "depname"), "depnum")
+        .join(seats, "schedident")
     )
     people = t.clients.select(
         "pcode", "fullname", "histnum", "bdate", "phone1", "phone2", "phone3", "webpaytype", "webaccesstype"
@@ -255,7 +262,7 @@ def payment_due_soon(
     Candidates built with ``picked=due_appointments(...)`` pass unchanged.
     """
     due = created_window(as_of, branch_offsets) | start_window(as_of, branch_offsets)
-    return cands.where(due).dropDuplicates(["schedid"])
+    return smallest_per_key(cands.where(due), ["schedid"])
 
 
 # --- Decisions ------------------------------------------------------------------
@@ -263,7 +270,9 @@ def payment_due_soon(
 SOON, NEW = "payment_soon", "payment_new"
 
 
-def payment_decisions(cands: DataFrame, ledger: DataFrame, as_of: datetime) -> DataFrame:
+def payment_decisions(
+    cands: DataFrame, ledger: DataFrame, as_of: datetime, since: datetime | None = None
+) -> DataFrame:
     """Adds ``decision``; keeps rows that need a notice not given before.
 
     The two events have separate ledgers: a visit reported as new may be
@@ -287,7 +296,7 @@ def payment_decisions(cands: DataFrame, ledger: DataFrame, as_of: datetime) -> D
         .withColumn("kind", F.when(F.col("decision") == "starts_soon", SOON).otherwise(NEW))
         .withColumn("key", F.col("schedid").cast("string"))
     )
-    return unsent_notifications(due, ledger)
+    return unsent_notifications(due, ledger, since)
 
 
 def payment_notices(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from apptflow import config
 from apptflow.functions.text import blank_to_null, contains_any, is_free, label
 from apptflow.functions.timeexpr import age_years, ntz
-from apptflow.operators.joins import Selection
+from apptflow.operators.joins import Selection, left_lookup
 from apptflow.operators.ledger import keys_of, of_day, unsent_notifications
 from apptflow.operators.services import name_exclusions
 
@@ -59,7 +59,7 @@ def first_visits(visits: DataFrame, treats: DataFrame) -> DataFrame:
     earlier = F.coalesce(F.col("_first") < on, F.lit(False))
     uncoded = F.coalesce(F.col("_first_uncoded") < on, F.lit(False))
     return (
-        visits.join(earliest, ["dcode", "pcode"], "left")
+        left_lookup(visits, earliest, ["dcode", "pcode"], "schedid")
         .where(~earlier | uncoded)
         .select(*visits.columns)
     )
@@ -177,9 +177,9 @@ def skip_code(visit: Column, as_of: datetime) -> Column:
 def survey_skip_codes(cands: DataFrame, ledger: DataFrame, as_of: datetime) -> DataFrame:
     """Adds ``skip_code`` and ``checked`` (dealt with in an earlier run today)."""
     checked = keys_of(of_day(ledger, as_of), CHECKED, "schedid").withColumn("_checked", F.lit(True))
+    coded = cands.withColumn("skip_code", skip_code(F.col("schedule_date"), as_of))
     return (
-        cands.withColumn("skip_code", skip_code(F.col("schedule_date"), as_of))
-        .join(checked, "schedid", "left")
+        left_lookup(coded, checked, ["schedid"], "schedule_date")
         .withColumn("checked", F.coalesce("_checked", F.lit(False)))
         .drop("_checked")
     )
@@ -237,10 +237,36 @@ def survey_messages(
     return unsent_notifications(messages, of_day(ledger, as_of))
 
 
-def survey_checked_marks(coded: DataFrame, as_of: datetime) -> DataFrame:
-    """Ledger rows for visits this run dealt with: all but those that wait."""
+def survey_checked_marks(
+    coded: DataFrame,
+    messages: DataFrame,
+    results: DataFrame,
+    as_of: datetime,
+    send_recent: bool = False,
+) -> DataFrame:
+    """Ledger rows for visits this run dealt with.
+
+    ``messages`` are the run's requests (with ``schedid``) and ``results`` what became
+    of them (``kind``, ``key``, ``ok``).  Marked are visits that the rules skip for
+    good, the visit each request was about, visits without a phone, and all visits of
+    a patient who was asked with success, in this run or before it today.  After a
+    failure the patient's other open visits stay unmarked: the next run offers the
+    next of them.  Visits that only wait (code 3) are marked if they were sent.
+    """
+    phone = F.coalesce(*[blank_to_null(F.col(c)) for c in ("phone", "phone2", "phone3")])
+    outcome = results.where(F.col("kind") == SENT).select("key", "ok")
+    asked = messages.select("key", F.col("schedid").alias("_tried")).join(outcome, "key", "left")
+    asked = asked.groupBy(F.col("key").try_cast("bigint").alias("pcode")).agg(
+        F.min("_tried").alias("_tried"), F.bool_or(F.coalesce("ok", F.lit(False))).alias("_ok")
+    )
+    visits = left_lookup(coded.withColumn("_phone", phone), asked, ["pcode"], "schedid")
+    dealt_with = (
+        F.col("_tried").isNull() | F.col("_ok") | F.col("_phone").isNull() | (F.col("schedid") == F.col("_tried"))
+    )
+    sendable = F.col("skip_code").isin([0, 3] if send_recent else [0])
+    mark = F.when(sendable, dealt_with).otherwise(F.col("skip_code") != 3)
     return (
-        coded.where(~F.col("checked") & (F.col("skip_code") != 3))
+        visits.where(~F.col("checked") & mark)
         .select(F.lit(CHECKED).alias("kind"), F.col("schedid").cast("string").alias("key"))
         .distinct()
         .withColumn("sent_at", ntz(as_of))

@@ -13,6 +13,7 @@ from apptflow.functions.text import label
 from apptflow.functions.timeexpr import ntz, shift_minutes, shift_seconds, start_ts
 from apptflow.operators.joins import Selection, left_lookup
 from apptflow.operators.services import ServiceList, with_service_flag
+from apptflow.session import written_once
 
 SLOT_KEY = ["dcode", "wdate", "slot_begin"]
 
@@ -162,9 +163,9 @@ def user_eligibility(users: DataFrame, load: DataFrame) -> DataFrame:
 
     Planning without any load row is refused: it would release everybody.
     """
-    per_user = load.select(F.lower("userid").alias("_user"), "last_pac_day", "last_pac_2hours").withColumn(
-        "_known", F.lit(True)
-    )
+    # one row per doctor, used twice: for the join and for the guard
+    load = written_once(load.select(F.lower("userid").alias("_user"), "last_pac_day", "last_pac_2hours"), "load")
+    per_user = load.withColumn("_known", F.lit(True))
     loads = load.agg(F.count("*").alias("n")).scalar()
     guard = F.when(loads == 0, F.raise_error("empty workload table")).otherwise(F.lit(True)).cast("boolean")
     reason = (
@@ -183,21 +184,23 @@ def user_eligibility(users: DataFrame, load: DataFrame) -> DataFrame:
 
 
 def ranked_by_position(df: DataFrame, pos: str, rank: str, width: int = 100_000) -> DataFrame:
-    """``df`` plus the 1-based rank of a unique integer position.
+    """``df`` plus the 1-based rank of a unique integer position; null comes last.
 
     No task sorts the whole list.  Positions fall into blocks of ``width``; rows
     are ranked inside their block and shifted by the number of rows in earlier
     blocks.  Only the block sizes, one row per ``width`` positions, meet in one
     window.
     """
-    blocked = df.withColumn("_block", F.col(pos) - F.pmod(F.col(pos), F.lit(width)))
+    last = F.lit((1 << 63) - 1)
+    block = F.col(pos).cast("bigint") - F.pmod(F.col(pos).cast("bigint"), F.lit(width).cast("bigint"))
+    blocked = df.withColumn("_block", F.coalesce(block, last))
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         blocked.groupBy("_block")
         .agg(F.count("*").alias("_n"))
         .select("_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    inside = W.partitionBy("_block").orderBy(pos)
+    inside = W.partitionBy("_block").orderBy(F.col(pos).asc_nulls_last())
     return (
         blocked.withColumn("_in", F.row_number().over(inside))
         .join(offsets, "_block")
@@ -206,9 +209,13 @@ def ranked_by_position(df: DataFrame, pos: str, rank: str, width: int = 100_000)
     )
 
 
-def disconnect_plan(users: DataFrame, load: DataFrame, cap: int) -> DataFrame:
-    """The first ``online - cap`` releasable users in list order."""
+def disconnect_plan(users: DataFrame, load: DataFrame, cap: int, width: int = 100_000) -> DataFrame:
+    """The first ``online - cap`` releasable users in list order.
+
+    ``width`` is the span of positions ranked together; users from ``user_snapshot``
+    take ``conferences.POSITIONS_PER_BLOCK``.
+    """
     excess = online_users(users).agg(F.count("*").alias("n")).scalar() - F.lit(cap)
-    eligible = user_eligibility(users, load).where(F.col("reason") != "keep")
-    ranked = ranked_by_position(eligible, "list_pos", "plan_rank")
+    eligible = written_once(user_eligibility(users, load).where(F.col("reason") != "keep"), "eligible")
+    ranked = ranked_by_position(eligible, "list_pos", "plan_rank", width)
     return ranked.where(F.col("plan_rank") <= excess)

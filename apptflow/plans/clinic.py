@@ -19,6 +19,7 @@ from apptflow.plans import runs
 AS_OF = datetime(2024, 1, 15, 12, 0, 0)
 SURVEY_MORNING = datetime(2024, 1, 15, 11, 30, 0)
 SURVEY_AFTERNOON = datetime(2024, 1, 15, 16, 30, 0)
+USERS_PER_PAGE = 40
 
 
 class Clinic:
@@ -142,7 +143,7 @@ class Clinic:
 
     @property
     def chairs(self) -> DataFrame:
-        return self.schedule.select("chid").distinct().selectExpr("chid", "chid % 3 AS rid")
+        return self.spark.range(7).selectExpr("id AS chid", "id % 3 AS rid")
 
     @property
     def rooms(self) -> DataFrame:
@@ -405,9 +406,9 @@ class Clinic:
 
     @property
     def user_pages(self) -> DataFrame:
-        """Pages of 200 users, each naming the next one; -1 ends the chain."""
+        """Pages of 40 users, each naming the next one; -1 ends the chain."""
         users = self.users.selectExpr(
-            "list_pos DIV 200 AS page_id",
+            f"list_pos DIV {USERS_PER_PAGE} AS page_id",
             "named_struct('n', list_pos, 'id', userid, 'uid', userid || '@example.org', 'status', status) AS u",
         )
         last = users.agg(F.max("page_id").alias("p")).scalar()

@@ -368,8 +368,12 @@ def survey_messages_recent(c: Clinic) -> DataFrame:
 
 @query
 def survey_checked_marks(c: Clinic) -> DataFrame:
-    coded = runs.survey_coded(c.survey_tables, _survey_ledger(c), SURVEY_AFTERNOON, SURVEY_RULES)
-    return su.survey_checked_marks(coded, SURVEY_AFTERNOON)
+    """Marks after a pass in which the request about every third visit failed."""
+    messages, coded = runs.survey_run(
+        c.survey_tables, _survey_ledger(c), SURVEY_AFTERNOON, BRANCH_LINKS, SURVEY_RULES
+    )
+    results = messages.selectExpr("kind", "key", "schedid % 3 <> 0 AS ok")
+    return su.survey_checked_marks(coded, messages, results, SURVEY_AFTERNOON)
 
 
 # --- monitoring and snapshots -------------------------------------------------------------------
@@ -420,3 +424,19 @@ def user_snapshot(c: Clinic) -> DataFrame:
 def page_chain_gaps(c: Clinic) -> DataFrame:
     """The chain with one page that never arrived."""
     return cf.page_chain_gaps(c.user_pages.where("page_id <> 2"))
+
+
+@query
+def user_snapshot_completeness(c: Clinic) -> DataFrame:
+    """The first page and another one never arrived, one is not readable."""
+    landed = c.user_pages.where("page_id NOT IN (0, 2)").selectExpr(
+        "page_id", "CASE WHEN page_id = 1 THEN 'oops' ELSE body END AS body"
+    )
+    return cf.user_snapshot_completeness(landed)
+
+
+@query
+def disconnect_plan_from_pages(c: Clinic) -> DataFrame:
+    """The release plan for users as they are listed page by page."""
+    users = cf.user_snapshot(c.user_pages).withColumn("userid", F.col("id"))
+    return wl.disconnect_plan(users, _load(c), USER_CAP, cf.POSITIONS_PER_BLOCK)

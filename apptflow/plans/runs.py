@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 
@@ -15,9 +15,15 @@ from apptflow.operators import payments as pa
 from apptflow.operators import survey as su
 from apptflow.operators import workload as wl
 from apptflow.operators.services import ServiceList
+from apptflow.session import written_once
 from apptflow.sources.sinks import append_ledger, write_run
 
 
+def _since(as_of: datetime) -> datetime:
+    """Marks before this cannot concern what a run picks."""
+    return as_of - timedelta(days=config.LEDGER_DAYS)
+
+
 @dataclass(frozen=True)
 class AppointmentTables:
     schedule: DataFrame
@@ -33,13 +39,19 @@ class AppointmentTables:
 def event_result_sets(
     t: AppointmentTables, as_of: datetime, services: ServiceList = config.ONLINE_SERVICES
 ) -> dict[str, DataFrame]:
-    """New bookings, patient reminders and doctor reminders of one poll."""
+    """New bookings, patient reminders and doctor reminders of one poll.
+
+    One scan of the schedule and one of the clients serve all three.
+    """
+    picked = ap.poll_selection(t.schedule, as_of)
+    contacts = written_once(ap.contacts_of(picked, t.clients), "contacts")
     return {
-        "new": ap.new_appointments(t.schedule, t.clients, as_of),
-        "reminder_patient": ap.patient_reminders(t.schedule, t.clients, as_of),
-        "reminder_doctor": ap.doctor_reminders(
-            t.schedule,
-            t.clients,
+        "new": ap.with_contacts(picked.rows.where("is_new"), contacts),
+        "reminder_patient": ap.with_contacts(picked.rows.where("is_soon AND is_online"), contacts),
+        "reminder_doctor": ap.doctors_of(
+            picked,
+            picked.rows.where("is_soon"),
+            contacts.select("pcode"),
             t.chairs,
             t.rooms,
             t.roster,
@@ -47,7 +59,6 @@ def event_result_sets(
             t.plan_detail,
             t.sched_detail,
             services,
-            as_of=as_of,
         ),
     }
 
@@ -60,7 +71,7 @@ def appointment_run(
     templates: Mapping[str, str] = config.TEMPLATES,
 ) -> DataFrame:
     """The outbox of one poll of the schedule."""
-    return ob.outbox_messages(event_result_sets(t, as_of, services), ledger, templates)
+    return ob.outbox_messages(event_result_sets(t, as_of, services), ledger, templates, since=_since(as_of))
 
 
 def payment_run(
@@ -74,7 +85,8 @@ def payment_run(
     """Notices about visits that are new or start soon and are not paid."""
     picked = pa.due_appointments(t.schedule, as_of)
     due = pa.payment_due_soon(pa.payment_candidates(t, services, picked), as_of)
-    return pa.payment_notices(pa.payment_decisions(due, ledger, as_of), routes, base_recipients)
+    decisions = pa.payment_decisions(due, ledger, as_of, _since(as_of))
+    return pa.payment_notices(decisions, routes, base_recipients)
 
 
 @dataclass(frozen=True)
@@ -106,12 +118,13 @@ def survey_run(
     rules: su.SurveyRules = su.SurveyRules(),
     send_recent: bool = False,
 ) -> tuple[DataFrame, DataFrame] | None:
-    """Messages and ledger marks of one run; nothing outside sending hours."""
+    """Messages of one run and the coded visits they come from; nothing outside
+    sending hours.  The marks follow from both and the send results, see
+    ``survey.survey_checked_marks``."""
     if not su.survey_hours(as_of):
         return None
-    coded = survey_coded(t, ledger, as_of, rules)
-    messages = su.survey_messages(coded, ledger, branch_links, as_of, send_recent)
-    return messages, su.survey_checked_marks(coded, as_of)
+    coded = written_once(survey_coded(t, ledger, as_of, rules), "coded")
+    return su.survey_messages(coded, ledger, branch_links, as_of, send_recent), coded
 
 
 @dataclass(frozen=True)
@@ -152,12 +165,23 @@ def release_run(
     return wl.disconnect_plan(users, workload_run(t, as_of, services), cap)
 
 
-def store_run(messages: DataFrame, outbox: str, run: int, marks: DataFrame | None = None, ledger: str | None = None) -> None:
-    """Writes a run's messages (a repeated run replaces them), then its marks.
-
-    Messages come first: a job lost in between repeats the run and writes the
-    same folder again, while marks without messages would silence it.
+def store_run(
+    messages: DataFrame,
+    outbox: str,
+    run: int,
+    marks: Callable[[DataFrame], DataFrame] | None = None,
+    ledger: str | None = None,
+) -> None:
+    """Writes a run's messages, then its marks; a repeated run replaces both.
+
+    ``marks`` makes the ledger rows from the messages as they were written, so both
+    speak of the same rows.  Messages come first: a job lost in between repeats the run
+    and writes the same folder again, while marks without messages would silence it.
+    Build and store a run inside ``session.run_scope``, which removes what it stored on
+    the way.
     """
+    spark = messages.sparkSession
     write_run(messages, outbox, run)
     if marks is not None and ledger is not None:
-        append_ledger(marks, ledger)
+        stored = spark.read.schema(messages.schema).parquet(f"{outbox}/run_id={run}")
+        append_ledger(marks(stored), ledger, run)

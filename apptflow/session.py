@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +52,47 @@ def checkpoint_ready(spark: SparkSession) -> bool:
     return True
 
 
-def written_once(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared folder, or as it is where there is none."""
-    return df.checkpoint() if checkpoint_ready(df.sparkSession) else df
+_scopes = threading.local()
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what ``written_once`` stored inside, in this thread.
+
+    Wrap a run that ends with its results written: a poll every minute would
+    otherwise leave its files until the driver ends.
+    """
+    outer, _scopes.folders = getattr(_scopes, "folders", None), []
+    try:
+        yield
+    finally:
+        for folder in _scopes.folders:
+            fs, path = _located(spark, folder)
+            fs.delete(path, True)
+            fs.cancelDeleteOnExit(path)
+        _scopes.folders = outer
+
+
+def written_once(df: DataFrame, name: str = "rows") -> DataFrame:
+    """``df`` stored as a table in the shared folder and read back.
+
+    Later uses read those rows instead of computing them again, all see the same
+    ones, and the planner knows their size.  The files go at the end of a ``run_scope``
+    around it, or when the driver ends.  Without a shared folder this fails: the
+    rows would be computed anew, and perhaps differently, at each use.
+    """
+    spark = df.sparkSession
+    if not checkpoint_ready(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    fs, path = _located(spark, folder)
+    fs.deleteOnExit(path)
+    if getattr(_scopes, "folders", None) is not None:
+        _scopes.folders.append(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def _located(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

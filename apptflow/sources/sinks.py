@@ -9,7 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from apptflow.operators.joins import smallest_per_key
 from apptflow.operators.ledger import LEDGER_KEY
+from apptflow.session import written_once
 
 LEDGER_SCHEMA = "kind string, key string, sent_at timestamp_ntz"
 
@@ -28,35 +30,47 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The ledger; ``since`` skips the folders of earlier days."""
+    """The ledger with its day column; ``since`` skips the folders of earlier days."""
     ledger = read_or_empty(spark, path, LEDGER_SCHEMA + ", sent_day date")
     if since is not None:
         ledger = ledger.where(F.col("sent_day") >= F.lit(since.date()))
-    return ledger.drop("sent_day")
+    return ledger
 
 
-def append_ledger(marks: DataFrame, path: str) -> None:
-    """Adds marks, one folder per day."""
-    marks.withColumn("sent_day", F.to_date("sent_at")).write.mode("append").partitionBy("sent_day").parquet(path)
+def append_ledger(marks: DataFrame, path: str, run: str | int) -> None:
+    """A run's marks in a folder of its own, one folder per day in it.
+
+    A repeated run replaces its folder, also if it has no marks this time.
+    """
+    days = marks.select(*LEDGER_KEY, "sent_at", F.to_date("sent_at").alias("sent_day"))
+    days.write.mode("overwrite").partitionBy("sent_day").parquet(f"{path}/run_id={run}")
 
 
 def write_run(df: DataFrame, path: str, run: str | int, run_col: str = "run_id") -> None:
     """Writes one run's rows to its own folder and replaces it when repeated.
 
-    A run that is restarted after a lost driver therefore leaves one copy.
+    A run that is restarted after a lost driver therefore leaves one copy, and one
+    that yields nothing this time leaves nothing of the time before.
     """
-    (
-        df.withColumn(run_col, F.lit(run))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(run_col)
-        .parquet(path)
-    )
+    df.write.mode("overwrite").parquet(f"{path}/{run_col}={run}")
 
 
 def unsent_in_outbox(
-    messages: DataFrame, outbox: DataFrame, run: int, keys: Sequence[str] = LEDGER_KEY, run_col: str = "run_id"
+    messages: DataFrame,
+    outbox: DataFrame,
+    run: int,
+    keys: Sequence[str] = LEDGER_KEY,
+    run_col: str = "run_id",
+    horizon: int | None = None,
 ) -> DataFrame:
-    """Messages no earlier run has written; the run's own rows do not count."""
-    earlier = outbox.where(F.col(run_col) < run).select(*keys)
-    return messages.join(earlier, list(keys), "left_anti").dropDuplicates(list(keys))
+    """Messages no earlier run has written; the run's own rows do not count.
+
+    ``horizon`` limits the look back to so many runs, whose folders alone are read.
+    Of several messages for a key the smallest stays.
+    """
+    earlier = outbox.where(F.col(run_col) < run)
+    if horizon is not None:
+        earlier = earlier.where(F.col(run_col) >= run - horizon)
+    few = written_once(smallest_per_key(messages, list(keys)), "messages")
+    known = earlier.select(*keys).join(few.select(*keys), list(keys), "left_semi")
+    return few.join(known, list(keys), "left_anti")

@@ -56,14 +56,16 @@ def poll_counts(stream: DataFrame, ts_col: str, by: Column, lookback: str, perio
 
 
 def file_arrivals(spark: SparkSession, folder: str, max_age_min: int = FILE_AGE_MIN) -> DataFrame:
-    """New files of a folder; the source remembers what it has seen, contents are
-    not read, and files older than ``max_age_min`` are not listed again."""
+    """New files of a folder; the source remembers what it has seen and contents are
+    not read.  Files older than ``max_age_min`` when a batch starts are left out, in the
+    first batch too; ``maxFileAge`` only spares the source from listing them again."""
     files = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("maxFileAge", f"{max_age_min}m")
         .load(folder)
     )
-    return files.select(
+    oldest = F.current_timestamp() - F.make_dt_interval(mins=F.lit(max_age_min))
+    return files.where(F.col("modificationTime") >= oldest).select(
         F.col("path").alias("file"), F.col("modificationTime").cast("timestamp_ntz").alias("created")
     )

@@ -1,82 +1,18 @@
-"""Consecutive-failure alerts with keyed state."""
+"""Consecutive-failure alerts with the state of a batch in a table."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from typing import Any
+from collections.abc import Mapping
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from apptflow import config
-from apptflow.operators.monitoring import alert_ordinal, failure_runs, open_failures
+from apptflow.operators.monitoring import failure_runs, open_failures
 from apptflow.sources.sinks import read_or_empty, write_run
 
 
-def running_failures(failed: np.ndarray, carried: int) -> np.ndarray:
-    """Consecutive failures up to each row, after ``carried`` earlier ones."""
-    n = np.arange(1, len(failed) + 1)
-    last_success = np.maximum.accumulate(np.where(failed, 0, n))
-    return n - last_success + np.where(last_success == 0, carried, 0)
-
-
-class FailureRun(StatefulProcessor):
-    """State per source: failures since the last success."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "failures long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["ts", "tie"], kind="stable")
-        carried = self.run.get()[0] if self.run.exists() else 0
-        counts = running_failures(batch["failed"].to_numpy(bool), carried)
-        self.run.update((int(counts[-1]),))
-        hit = (counts == batch["ordinal"].to_numpy()) & batch["failed"].to_numpy(bool)
-        if hit.any():
-            yield pd.DataFrame({"source": key[0], "failures": counts[hit], "alert_at": batch["ts"].to_numpy()[hit]})
-
-    def close(self) -> None:
-        pass
-
-
-def failure_alerts(
-    events: DataFrame,
-    source_col: str,
-    ts_col: str,
-    is_failure: Column,
-    thresholds: Mapping = config.ALERT_ORDINALS,
-    default_threshold: int = config.DEFAULT_ALERT_ORDINAL,
-    tie_col: str | None = None,
-) -> DataFrame:
-    """One row when a source's run of failures reaches its threshold.
-
-    A success re-arms the alert.  Rows are ordered within a micro-batch; a batch
-    should hold later rows than the one before it.  A source's rows of one
-    micro-batch meet in one task: bound the batch at the reader
-    (``maxFilesPerTrigger``).  Where one source sends most of the rows, use
-    ``start_failure_alerts``, which splits it.
-
-    Needs the RocksDB state store provider.
-    """
-    tie = F.col(tie_col).cast("bigint") if tie_col else F.lit(0).cast("bigint")
-    rows = events.select(
-        F.col(source_col).cast("string").alias("source"),
-        F.col(ts_col).alias("ts"),
-        tie.alias("tie"),
-        F.coalesce(is_failure, F.lit(False)).alias("failed"),
-        alert_ordinal(F.col(source_col), thresholds, default_threshold).alias("ordinal"),
-    )
-    return rows.groupBy("source").transformWithStateInPandas(
-        statefulProcessor=FailureRun(),
-        outputStructType="source string, failures long, alert_at timestamp_ntz",
-        outputMode="append",
-        timeMode="none",
-    )
-
-
 def start_failure_alerts(
     events: DataFrame,
     path: str,
@@ -89,18 +25,18 @@ def start_failure_alerts(
     tie_col: str | None = None,
     period: str | None = None,
 ) -> StreamingQuery:
-    """The same alerts without per-source tasks: batch jobs over micro-batches.
+    """One row when a source's run of failures reaches its threshold.
 
-    Writes ``path``/alerts and ``path``/open (failures open after each batch).
+    A success re-arms the alert.  Each micro-batch runs the batch job, so no source is
+    one task; the failures open before it come from the batch before it, the only
+    state that is read.  A batch should hold later rows than the one before.  Writes ``path``/alerts and ``path``/open (failures open after each batch).
     A repeated batch starts from the state before it and replaces its folders.
     """
     source_type = events.schema[source_col].dataType.simpleString()
-    state_schema = f"source {source_type}, failures bigint, run_id bigint"
+    state_schema = f"source {source_type}, failures bigint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        state = read_or_empty(batch.sparkSession, f"{path}/open", state_schema)
-        earlier = state.where(F.col("run_id") < batch_id)
-        carry = earlier.where(F.col("run_id") == earlier.agg(F.max("run_id").alias("r")).scalar())
+        carry = read_or_empty(batch.sparkSession, f"{path}/open/run_id={batch_id - 1}", state_schema)
         runs = failure_runs(
             batch, source_col, ts_col, is_failure, thresholds, default_threshold, tie_col, carry=carry
         )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from apptflow.session import run_scope
 from apptflow.sources.sinks import read_or_empty, unsent_in_outbox, write_run
 
 OUTBOX_SCHEMA = (
@@ -14,16 +15,20 @@ OUTBOX_SCHEMA = (
 )
 
 
-def outbox_batch(path: str, schema: str = OUTBOX_SCHEMA) -> Callable[[DataFrame, int], None]:
+def outbox_batch(
+    path: str, schema: str = OUTBOX_SCHEMA, horizon: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: new keys only, one folder per batch.
 
     A repeated batch replaces its folder, and keys it wrote the first time are
-    not mistaken for keys of earlier batches.
+    not mistaken for keys of earlier batches.  ``horizon`` is the number of batches in
+    which a key can come again; older folders are then not read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        outbox = read_or_empty(batch.sparkSession, path, schema)
-        write_run(unsent_in_outbox(batch, outbox, batch_id), path, batch_id)
+        with run_scope(batch.sparkSession):
+            outbox = read_or_empty(batch.sparkSession, path, schema)
+            write_run(unsent_in_outbox(batch, outbox, batch_id, horizon=horizon), path, batch_id)
 
     return write
 
@@ -34,8 +39,9 @@ def start_outbox(
     checkpoint: str,
     period: str | None = None,
     schema: str = OUTBOX_SCHEMA,
+    horizon: int | None = None,
 ) -> StreamingQuery:
     """Starts a poll every ``period``, or one pass over what is there now."""
-    writer = messages.writeStream.foreachBatch(outbox_batch(path, schema)).option("checkpointLocation", checkpoint)
+    writer = messages.writeStream.foreachBatch(outbox_batch(path, schema, horizon)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=period) if period else writer.trigger(availableNow=True)
     return writer.start()

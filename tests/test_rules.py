@@ -18,7 +18,7 @@ from apptflow.operators import payments as pa
 from apptflow.operators import services as sv
 from apptflow.operators import survey as su
 from apptflow.operators import workload as wl
-from apptflow.operators.joins import Selection, left_lookup
+from apptflow.operators.joins import Selection, left_lookup, smallest_per_key
 
 NOON = datetime(2024, 1, 15, 12)
 SCHEDULE = (
@@ -141,11 +141,11 @@ def test_service_flag_same_for_list_and_table(spark):
         assert {r.schedid: r.has_service for r in got.collect()} == {1: True, 2: True, 3: False}
 
 
-def test_selection_narrows_or_leaves_alone(spark):
+def test_selection_narrows(spark):
     few = spark.createDataFrame([(1,), (None,), (1,)], "a long")
     big = spark.createDataFrame([(1, "x"), (2, "y")], "k long, v string")
     assert [r.v for r in Selection(few).narrow(big, k="a").collect()] == ["x"]
-    assert Selection(few, max_rows=2).narrow(big, k="a") is big
+    assert Selection(few.limit(0)).narrow(big, k="a").count() == 0
 
 
 def test_left_lookup_keeps_null_keys(spark):
@@ -453,8 +453,18 @@ def test_survey_messages_one_per_patient_and_link_choice(spark):
     assert got[3].text.endswith("review: L6")
     recent = {r.pcode for r in su.survey_messages(df, sent, {}, NOON, send_recent=True).collect()}
     assert recent == {1, 2, 3, 5, 6}
-    marks = {int(r.key) for r in su.survey_checked_marks(df, NOON).collect()}
-    assert marks == {1, 2, 4, 5, 6, 7, 9, 10}
+    messages = su.survey_messages(df, sent, {}, NOON)
+
+    def marked(ok, recent=False):
+        asked = su.survey_messages(df, sent, {}, NOON, send_recent=True) if recent else messages
+        results = asked.selectExpr("kind", "key", f"{ok} AS ok")
+        return {int(r.key) for r in su.survey_checked_marks(df, asked, results, NOON, recent).collect()}
+
+    assert marked("true") == {1, 2, 4, 5, 6, 7, 9, 10}
+    # after a failure only the visit that was tried: the next one is offered later
+    assert marked("false") == marked("cast(null AS boolean)") == {1, 2, 4, 5, 6, 7, 9}
+    # a recent visit that is sent is marked
+    assert 8 not in marked("true") and 8 in marked("true", recent=True)
 
 
 def test_first_visits_and_uncoded_treatments(spark):
@@ -530,7 +540,9 @@ def test_arrival_digest_lines(spark):
         "file string, created timestamp_ntz",
     )
     got = mo.arrival_digest(files, ledger(spark, ("file", "e", NOON)), NOON)
-    assert sorted((r.file, r.digest_at.strftime("%H:%M"), r.n) for r in got.collect()) == [("a", "10:10", 1), ("c", "12:00", 2), ("d", "12:00", 2)]
+    assert sorted((r.file, r.digest_at.strftime("%H:%M"), r.n) for r in got.collect()) == [("a", "10:00", 1), ("c", "12:00", 2), ("d", "12:00", 2)]
+    early = mo.arrival_digest(files, ledger(spark), datetime(2024, 1, 15, 11, 56)).collect()
+    assert max(r.digest_at for r in early) == datetime(2024, 1, 15, 11, 56)
 
 
 @pytest.mark.parametrize(
@@ -578,7 +590,7 @@ def test_user_pages_never_carry_a_password(spark):
     body = '{"next_page_id": 3, "users": [{"id": "a", "password": "p", "status": 1, "groups": [{"id": "g"}]}]}'
     pages = spark.createDataFrame([(1, body), (3, '{"next_page_id": -1, "users": []}')], "page_id long, body string")
     users = cf.user_snapshot(pages)
-    assert "password" not in users.columns and users.first().list_pos == 200
+    assert "password" not in users.columns and users.first().list_pos == 1 << 32
     assert cf.page_chain_gaps(pages).count() == 0
     gap = cf.page_chain_gaps(pages.where("page_id = 1")).first()
     assert (gap.missing_page, gap.from_page) == (3, 1)
@@ -587,3 +599,59 @@ def test_user_pages_never_carry_a_password(spark):
 def test_run_counts(spark):
     a = spark.createDataFrame([("x",), ("x",), ("y",)], "kind string")
     assert {(r.kind, r.n) for r in lg.run_counts(a, a.limit(0)).collect()} == {("x", 2), ("y", 1)}
+
+
+def user_page(n, next_page, first):
+    import json
+
+    users = [{"id": f"u{first + i}", "status": 1} for i in range(n)]
+    return json.dumps({"next_page_id": next_page, "users": users})
+
+
+def test_user_pages_of_any_size_keep_their_order(spark):
+    pages = [(0, user_page(250, 1, 0)), (1, user_page(50, 2, 250)), (2, user_page(10, -1, 300))]
+    users = cf.user_snapshot(spark.createDataFrame(pages, "page_id long, body string"))
+    users = users.withColumn("userid", F.col("id"))
+    load = spark.createDataFrame([("nobody", 1, 1)], "userid string, last_pac_day long, last_pac_2hours long")
+    got = wl.disconnect_plan(users, load, 0, cf.POSITIONS_PER_BLOCK).orderBy("plan_rank").collect()
+    assert [r.userid for r in got] == [f"u{i}" for i in range(310)]
+    assert [r.plan_rank for r in got] == list(range(1, 311))
+
+
+def test_a_page_without_a_number_fails(spark):
+    pages = spark.createDataFrame([(None, user_page(1, -1, 0))], "page_id long, body string")
+    with pytest.raises(Exception, match="without a number"):
+        cf.user_snapshot(pages).collect()
+
+
+def test_a_null_position_comes_last(spark):
+    df = spark.createDataFrame([(5, "a"), (None, "b"), (3, "c")], "pos long, v string")
+    got = wl.ranked_by_position(df, "pos", "rank", width=2).orderBy("rank").collect()
+    assert [(r.v, r.rank) for r in got] == [("c", 1), ("a", 2), ("b", 3)]
+
+
+def test_user_snapshot_completeness(spark):
+    def seen(rows):
+        return tuple(cf.user_snapshot_completeness(spark.createDataFrame(rows, "page_id long, body string")).first())
+
+    whole = [(0, user_page(2, 1, 0)), (1, user_page(2, -1, 2))]
+    assert seen(whole) == (2, False, 0, 1, 0)
+    assert seen(whole[:1]) == (1, False, 0, 0, 1)
+    assert seen(whole[1:]) == (1, True, 0, 1, 0)
+    assert seen([*whole, (None, user_page(1, 5, 9)), (7, "broken")]) == (4, False, 2, 1, 1)
+
+
+def test_the_smallest_row_of_a_key_stays(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (2, None), (2, "x")], "k long, v string")
+    for n in (1, 4):
+        got = smallest_per_key(df.repartition(n), ["k"]).collect()
+        assert sorted((r.k, r.v) for r in got) == [(1, "a"), (2, None)]
+
+
+def test_delivery_error_keeps_its_text(spark):
+    reports = spark.createDataFrame(
+        [(1, NOON, "junk\r\n"), (1, datetime(2024, 1, 15, 11), "3 202401151100"), (2, NOON, "3 202401151200")],
+        "smsid long, reported_at timestamp_ntz, content string",
+    )
+    got = {r.smsid: (r.state, r.detail) for r in mo.delivery_report(reports).collect()}
+    assert got == {1: ("error", "junk"), 2: ("delivered", None)}

@@ -70,7 +70,7 @@ def test_ledger_table_by_day(spark, tmp_path):
     assert sinks.read_ledger(spark, path).count() == 0
     for d in (14, 15):
         marks = spark.createDataFrame([("new", str(d), datetime(2024, 1, d, 9))], LEDGER)
-        sinks.append_ledger(marks, path)
+        sinks.append_ledger(marks, path, d)
     assert sinks.read_ledger(spark, path).count() == 2
     today = sinks.read_ledger(spark, path, since=NOON)
     assert [r.key for r in today.collect()] == ["15"]
@@ -78,6 +78,16 @@ def test_ledger_table_by_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(sent_day" in plan
 
 
+def test_an_empty_repeat_leaves_nothing(spark, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    df = spark.createDataFrame([("k", "1", NOON)], LEDGER)
+    for rows, left in ((df, 1), (df.limit(0), 0), (df, 1)):
+        sinks.write_run(rows, out, 1)
+        sinks.append_ledger(rows, ledger, 1)
+        assert spark.read.schema(LEDGER + ", run_id int").parquet(out).count() == left
+        assert sinks.read_ledger(spark, ledger).count() == left
+
+
 def test_repeated_run_leaves_one_copy(spark, tmp_path):
     path = str(tmp_path / "out")
     df = spark.createDataFrame([("k", "1"), ("k", "2")], "kind string, key string")

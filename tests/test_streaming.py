@@ -1,8 +1,9 @@
 from __future__ import annotations
 
+import os
+import time
 from datetime import datetime
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from apptflow.operators import appointments as ap
@@ -11,7 +12,7 @@ from apptflow.operators import outbox as ob
 from apptflow.plans.clinic import AS_OF, Clinic
 from apptflow.sources.sinks import LEDGER_SCHEMA
 from apptflow.streaming import appointments as st
-from apptflow.streaming.failures import failure_alerts, running_failures, start_failure_alerts
+from apptflow.streaming.failures import start_failure_alerts
 from apptflow.streaming.writers import start_outbox
 
 
@@ -32,13 +33,6 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_running_failures_carries_over():
-    f = np.array([True, True, False, True, True])
-    assert list(running_failures(f, 2)) == [3, 4, 0, 1, 2]
-    assert list(running_failures(np.array([False]), 5)) == [0]
-    assert list(running_failures(np.array([True]), 5)) == [6]
-
-
 def land_events(spark, sf, folder):
     """Three files in time order, one micro-batch each."""
     events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "user_id", "event_type")
@@ -66,17 +60,6 @@ def test_failure_alert_job_equals_batch_runs(spark, sf, tmp_path):
         assert rows(last) == rows(still)
 
 
-def test_failure_alerts_equal_batch_runs(spark, sf, tmp_path):
-    folder = str(tmp_path / "events")
-    events = land_events(spark, sf, folder)
-    stream = st.read_stream(spark, folder, events.schema, files_per_trigger=1)
-    failed = F.col("event_type") == "error"
-    got = drain(failure_alerts(stream, "user_id", "ts", failed, {}, 2, tie_col="event_id"), tmp_path, "alerts")
-    want = mo.failure_runs(events, "user_id", "ts", failed, {}, 2, tie_col="event_id").where("alert_at IS NOT NULL")
-    assert rows(got.select("source", "alert_at")) == rows(want.select(F.col("source").cast("string"), "alert_at"))
-    assert got.count() > 10
-
-
 def test_new_appointments_stream_equals_batch(spark, sf, tmp_path):
     c = Clinic(spark, sf)
     folder = str(tmp_path / "schedule")
@@ -141,6 +124,9 @@ def test_file_arrivals(spark, tmp_path):
     folder.mkdir()
     (folder / "a.txt").write_text("x")
     (folder / "b.txt").write_text("y")
+    (folder / "old.txt").write_text("z")
+    long_ago = time.time() - 10 * 86400
+    os.utime(folder / "old.txt", (long_ago, long_ago))
     got = drain(st.file_arrivals(spark, str(folder)), tmp_path, "files")
     assert sorted(r.file.rsplit("/", 1)[1] for r in got.collect()) == ["a.txt", "b.txt"]
 
