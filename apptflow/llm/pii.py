@@ -38,25 +38,35 @@ def _any(words: list[str]) -> str:
     return "|".join(w.replace(".", r"\.") for w in words)
 
 
-_NAME = r"\p{Lu}\p{L}*(?:['’\-]\p{Lu}\p{L}*)*"
-#: entity types in the order in which they are tried at one place; group 0 is the entity
-PATTERNS: dict[str, str] = {
-    "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-    r"|(?i:(?<=\b(?:password|passwd|token|secret|api_key|apikey)\s{0,2}[=:]\s{0,2}[\"']?))[A-Za-z0-9_\-+/]{8,}",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![\d\-])(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}(?: \d{3})?|\d{4}-\d{4}-\d{4}-\d{4}(?:-\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\d\-])",
-    "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,5}){1,4}(?!\d)"
-    r"|(?<![\w+])\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d)"
-    r"|(?<![\w+.\-])\d{3}[ .\-]\d{3}[ .\-]\d{4}(?![\d.\-])",
-    "name": rf"(?<=\b(?:{_any(TITLES_FEMALE + TITLES_MALE)})\s)(?:{_NAME})(?:[ ](?:{_NAME})){{0,2}}",
-    "given": rf"(?<![\p{{L}}])(?:{_any(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)})[ ](?:{_NAME})",
-}
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_NAME = r"\p{Lu}\p{L}*+(?:['’\-]\p{Lu}\p{L}*+)*+"
+_GIVEN = FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC
+_OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+# Each branch starts with a test of one character, so that most places of a text fail
+# at once.
+ENTITY = "|".join(
+    [
+        # mailboxes, from the start of a run of their characters
+        r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
+        # keys, accounts and names, from a capital at the start of a word
+        r"(?<![\p{L}\d])(?=\p{Lu})(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
+        r"|[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+        rf"|(?:{_any(TITLES_FEMALE + TITLES_MALE)})\s(?:{_NAME})(?:[ ](?:{_NAME})){{0,2}}"
+        rf"|(?:{_any(_GIVEN)})[ ](?:{_NAME}))",
+        # secrets behind their key word
+        r"(?<![A-Za-z0-9])(?=[PTSApatsk])(?i:password|passwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_\-+/]{8,}+",
+        # numbers: addresses, cards, social security and telephone
+        r"(?<![\d.])(?=\d)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\d|\.\d)",
+        r"(?<![\d\-])(?=\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}(?: \d{3})?|\d{4}-\d{4}-\d{4}-\d{4}(?:-\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{5}"
+        r"|\d{3}-\d{2}-\d{4})(?![\d\-])",
+        r"(?<![\w+])(?=[+(])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,5}){1,4}(?!\d)"
+        r"|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d))",
+        r"(?<![\w+.\-])(?=\d)\d{3}[ .\-]\d{3}[ .\-]\d{4}(?![\d.\-])",
+    ]
+)
 #: texts without any of these hold no entity
-HINT = rf"[@\d=:]|(?:{_any(TITLES_FEMALE + TITLES_MALE)})\s|(?:{_any(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC)})\s"
+HINT = (
+    rf"[@\d=:]|(?<![\p{{L}}\d])(?=\p{{Lu}})(?:{_any(TITLES_FEMALE + TITLES_MALE)}|{_any(_GIVEN)})\s"
+)
 
 
 def kind(value: Column) -> Column:
@@ -66,13 +76,13 @@ def kind(value: Column) -> Column:
         F.when(value.contains("@"), "email")
         .when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip")
         .when(value.rlike(r"^AKIA[0-9A-Z]{16}$"), "secret")
+        .when(value.rlike(r"^(?i:password|passwd|token|secret|api_?key)\s{0,2}[=:]"), "secret")
         .when(value.rlike(r"^\+") | value.rlike(r"^\(\d{3}\)"), "phone")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(value.rlike(r"^\d{3}[ .\-]\d{3}[ .\-]\d{4}$"), "phone")
         .when(value.rlike(r"^\d(?:[ \-]?\d)+$") & (digits >= 13), "card")
         .when(value.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{12,}$"), "iban")
-        .when(value.rlike(rf"^{_NAME}(?: {_NAME})*$"), "name")
-        .otherwise("secret")
+        .otherwise("name")
     )
 
 
@@ -85,16 +95,24 @@ def _nibbles(digest: Column, i: Column) -> Column:
     return F.conv(F.substring(digest, F.pmod(i * 2, F.lit(60)) + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _masked(value: Column, digest: Column, keep: Column | None = None) -> Column:
-    """Each letter becomes a letter of its case and script, each digit a digit."""
+def _masked(
+    value: Column, digest: Column, keep: Column | None = None, hexadecimal: Column | None = None
+) -> Column:
+    """Each letter becomes a letter of its case, each digit a digit, from ``keep`` on.
+
+    Where ``hexadecimal`` holds, letters stay within a-f.
+    """
+
+    def pick(letters: str, n: Column) -> Column:
+        size = F.lit(len(letters)) if hexadecimal is None else F.when(hexadecimal, 6).otherwise(len(letters))
+        return F.substring(F.lit(letters), F.pmod(n, size) + 1, F.lit(1))
 
     def one(c: Column, i: Column) -> Column:
         n = _nibbles(digest, i) + i * 7
-        pick = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))) + 1, F.lit(1))
         out = (
             F.when(c.rlike(r"[0-9]"), F.pmod(n, F.lit(10)).cast("string"))
-            .when(c.rlike(r"[a-z]"), pick("abcdefghijklmnopqrstuvwxyz"))
-            .when(c.rlike(r"[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+            .when(c.rlike(r"[a-z]"), pick("abcdefghijklmnopqrstuvwxyz", n))
+            .when(c.rlike(r"[A-Z]"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
             .otherwise(c)
         )
         return out if keep is None else F.when(i < keep, c).otherwise(out)
@@ -189,7 +207,7 @@ def _candidate(key: str) -> Column:
         .when(F.col("type") == "surname", _surname(value, digest, attempt))
         .when(F.col("type") == "given", _given(value, F.col("gender"), digest, attempt))
         .when(F.col("type") == "iban", _masked(value, digest, keep=F.lit(2)))
-        .when(value.startswith("AKIA"), _masked(value, digest, keep=F.lit(4)))
+        .when(F.col("type") == "secret", _masked(value, digest, _lead(value), _is_hex(value)))
         .otherwise(_masked(value, digest))
     )
     # a format with fewer forms than there are entities of it grows longer
@@ -203,6 +221,16 @@ def _candidate(key: str) -> Column:
     return F.when(attempt < LONGER_AFTER, made).otherwise(longer)
 
 
+def _lead(value: Column) -> Column:
+    """Length of a secret's key word with its sign and quote, or of an access key's mark."""
+    return F.length(F.regexp_extract(value, r"^(?:AKIA|[A-Za-z_]+\s{0,2}[=:]\s{0,2}[\"']?)", 0))
+
+
+def _is_hex(value: Column) -> Column:
+    secret = F.regexp_replace(value, r"^[A-Za-z_]+\s{0,2}[=:]\s{0,2}[\"']?", "")
+    return secret.rlike(r"^(?:[0-9a-f]+|[0-9A-F]+)$")
+
+
 def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(type, gender, value, surrogate) for distinct (type, gender, value).
 
@@ -235,35 +263,34 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     columns are passed on, also under names used here. The result of an empty table is
     empty. ``n_chars``, if there is one, is not touched.
     """
-    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    text = F.col("row.text").cast("string")
+    text = F.col("text").cast("string")
     may = F.coalesce(text.rlike(HINT), F.lit(False))
-    found = F.when(may, F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1)))
-    marked = wrapped.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
-    hit = F.size("found") > 0
-    fields = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    untouched = marked.where(~hit).select(*fields)
-
-    # texts with entities, once: split at the entities, told apart by a hash
-    before = F.regexp_replace(text, f"({ENTITY})", "\u0001")
-    titled = F.transform(
-        F.sequence(F.lit(0), F.size("found") - 1), lambda i: F.regexp_extract(F.col("pieces")[i], r"(\S+)\s$", 1)
+    untouched = docs.where(~may)
+
+    # texts that may hold an entity, cut at the entities once; told apart by a hash
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
+    own = docs.where(may).select(
+        F.regexp_extract_all(text, F.lit(f"({ENTITY})"), F.lit(1)).alias("found"),
+        F.split(text, f"(?:{ENTITY})").alias("pieces"),
+        F.sha2(text, 256).alias("text_key"),
+        *rest,
     )
-    own = marked.where(hit & ~text.contains("\u0001")).withColumn("pieces", F.split(before, "\u0001"))
-    odd = marked.where(hit & text.contains("\u0001")).withColumn("pieces", F.split(text, f"(?:{ENTITY})"))
-    own = own.unionByName(odd).withColumn("titles", titled)
-    own = own.withColumn("text_key", F.sha2(text, 256))
-    rest = [F.col(f"row.`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"]
-    own = stored(own.select("found", "pieces", "titles", "text_key", *rest), "pii")
-
-    uses = own.select("text_key", F.posexplode(F.arrays_zip("found", "titles")).alias("pos", "e"))
-    uses = uses.select("text_key", "pos", F.col("e.found").alias("entity"), F.col("e.titles").alias("title")).distinct()
+    own = stored(own, "pii")
+
+    uses = own.select("text_key", F.posexplode("found").alias("pos", "entity")).distinct()
     uses = uses.withColumn("kind", kind(F.col("entity")))
-    # names part by part; everything else is one part
-    words = F.split("entity", " ")
-    first_given = F.element_at(words, 1).isin(FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC) | (F.size(words) > 1)
-    parts = F.when(F.col("kind") == "name", words).otherwise(F.array("entity"))
-    uses = uses.select("text_key", "pos", "kind", "title", F.posexplode(parts).alias("part", "value"), first_given.alias("has_given"))
+    # names part by part, behind their title; everything else is one part
+    titles = TITLES_FEMALE + TITLES_MALE
+    words = F.split("entity", r"\s")
+    title = F.when((F.col("kind") == "name") & words[0].isin(titles), words[0])
+    uses = uses.withColumn("title", title)
+    named = F.when(F.col("title").isNotNull(), F.slice(words, 2, F.size(words))).otherwise(words)
+    parts = F.when(F.col("kind") == "name", named).otherwise(F.array("entity"))
+    uses = uses.withColumn("parts", parts)
+    has_given = F.col("parts")[0].isin(_GIVEN) | (F.size("parts") > 1)
+    uses = uses.select(
+        "text_key", "pos", "kind", "title", has_given.alias("has_given"), F.posexplode("parts").alias("part", "value")
+    )
     is_given = (F.col("part") == 0) & F.col("has_given")
     uses = uses.withColumn(
         "type", F.when(F.col("kind") == "name", F.when(is_given, "given").otherwise("surname")).otherwise(F.col("kind"))
@@ -271,18 +298,21 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     by_name = F.when(F.col("value").isin(FEMALE + FEMALE_CYRILLIC), "f").when(F.col("value").isin(MALE + MALE_CYRILLIC), "m")
     by_title = F.when(F.col("title").isin(TITLES_FEMALE), "f").when(F.col("title").isin(TITLES_MALE), "m")
     gender = F.when(F.col("type") == "given", F.coalesce(by_name, by_title, F.lit("")))
-    uses = stored(uses.withColumn("gender", F.coalesce(gender, F.lit(""))).drop("kind", "title", "has_given"), "uses")
+    uses = stored(uses.withColumn("gender", F.coalesce(gender, F.lit(""))).drop("kind", "has_given"), "uses")
 
     same = ["type", "gender", "value"]
     made = surrogates(uses.select(*same).distinct(), key)
     placed = uses.join(made, same)
     # the parts of a text's entities in order, then the entities in order
-    placed = placed.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "surrogate"))).alias("s"))
+    part = F.struct("pos", "part", F.concat_ws(" ", F.when(F.col("part") == 0, F.col("title")), "surrogate").alias("s"))
+    placed = placed.groupBy("text_key").agg(F.array_sort(F.collect_list(part)).alias("s"))
     entity = F.transform(
-        F.sequence(F.lit(0), F.size("pieces") - 2),
-        lambda i: F.array_join(F.transform(F.filter("s", lambda x: x["pos"] == i), lambda x: x["surrogate"]), " "),
+        F.sequence(F.lit(0), F.size("found") - 1),
+        lambda i: F.array_join(F.transform(F.filter("s", lambda x: x["pos"] == i), lambda x: x["s"]), " "),
     )
-    filled = own.join(placed, "text_key").withColumn("new", entity)
-    glued = F.array_join(F.zip_with("pieces", F.concat("new", F.array(F.lit(""))), lambda p, e: F.concat(p, e)), "")
-    fields = [(glued if c == "text" else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)]
-    return untouched.unionByName(filled.select(*fields))
+    fields = [F.col("text") if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    clean = own.where(F.size("found") == 0).withColumn("text", F.col("pieces")[0]).select(*fields)
+    filled = own.where(F.size("found") > 0).join(placed, "text_key").withColumn("new", entity)
+    glued = F.zip_with("pieces", F.concat("new", F.array(F.lit(""))), lambda p, e: F.concat(p, e))
+    filled = filled.withColumn("text", F.array_join(glued, "")).select(*fields)
+    return untouched.unionByName(clean).unionByName(filled)
