@@ -197,8 +197,14 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machi
     long = np.array([len(w) >= 3 for w in words])
     odds = np.log((bad + 0.3) / n_bad) - np.log((good + 0.3) / n_good)
 
-    # the first choice of words: those far more common in toxic texts
-    value = np.where((bad >= 3) & long, odds, -9.0)
+    # the first choice of words: those more common in toxic texts than chance explains,
+    # given how many words are looked at (log-likelihood ratio)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        g = bad * np.log(bad / (in_text * n_bad / len(y))) + np.where(
+            good > 0, good * np.log(good / (in_text * n_good / len(y))), 0.0
+        )
+    sure = (2 * np.nan_to_num(g) > 2 * np.log(max(2, len(words)))) & (odds > 1.5) & long
+    value = np.where(sure, odds, -9.0)
     clean = [i for i in np.lexsort((np.arange(len(words)), -good)).tolist() if good[i] and long[i]]
     machine = None
     hard: list[int] = []
