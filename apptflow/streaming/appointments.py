@@ -6,10 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from apptflow.config import FILE_AGE_MIN
-from apptflow.operators.appointments import EVENT_COLUMNS, PHONES, online_appointments, with_date_text
+from apptflow.operators.appointments import (
+    EVENT_COLUMNS,
+    PHONES,
+    contacts_of,
+    online_appointments,
+    with_contacts,
+    with_date_text,
+)
+from apptflow.operators.joins import Selection
+from apptflow.session import run_scope
 from apptflow.sources.files import FILE_SCHEMA
+from apptflow.sources.sinks import write_run
 
 
 def read_stream(
@@ -33,12 +44,41 @@ def new_appointment_stream(schedule: DataFrame, clients: DataFrame, lookback: st
     looks back that far would miss them.  State is kept for the lookback only;
     the ledger stays the lasting guard against a second message.
     """
-    timed = with_event_time(online_appointments(schedule), "createdate", lookback)
-    fresh = timed.dropDuplicatesWithinWatermark(["schedid"])
-    joined = fresh.join(clients.select("pcode", *PHONES), "pcode", "left")
+    joined = fresh_bookings(schedule, lookback).join(clients.select("pcode", *PHONES), "pcode", "left")
     return with_date_text(joined).select("createdate", *EVENT_COLUMNS)
 
 
+def fresh_bookings(schedule: DataFrame, lookback: str = "10 minutes") -> DataFrame:
+    """Online bookings as they arrive, each once within ``lookback``."""
+    timed = with_event_time(online_appointments(schedule), "createdate", lookback)
+    return timed.dropDuplicatesWithinWatermark(["schedid"])
+
+
+def start_new_appointments(
+    schedule: DataFrame,
+    clients: DataFrame,
+    path: str,
+    checkpoint: str,
+    lookback: str = "10 minutes",
+    period: str | None = None,
+) -> StreamingQuery:
+    """Writes new bookings with their phones, one folder per batch.
+
+    Clients are narrowed to each batch's patients where they are read, so a batch of
+    minutes does not shuffle all clients; bookings without a patient are spread.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with run_scope(batch.sparkSession):
+            picked = Selection(batch.drop("event_time"))
+            write_run(with_contacts(picked.rows, contacts_of(picked, clients)), path, batch_id)
+
+    writer = fresh_bookings(schedule, lookback).writeStream.foreachBatch(write)
+    writer = writer.option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=period) if period else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def once_per_day(stream: DataFrame, keys: Sequence[str], ts_col: str, late: str = "1 day") -> DataFrame:
     """First row per key and calendar day; a day's keys are forgotten after it."""
     timed = with_event_time(stream.withColumn("day", F.to_date(ts_col)), ts_col, late)

@@ -72,6 +72,20 @@ def test_new_appointments_stream_equals_batch(spark, sf, tmp_path):
     assert got.count() > 0
 
 
+def test_new_appointments_job_equals_batch(spark, sf, tmp_path):
+    c = Clinic(spark, sf)
+    folder, out = str(tmp_path / "schedule"), str(tmp_path / "out")
+    picked = c.schedule.where(ap.created_within(AS_OF, 3600))
+    picked.unionByName(picked).coalesce(1).write.parquet(folder)
+    want = ap.new_appointments(c.schedule, c.clients, AS_OF, 3600)
+    for checkpoint in ("cp1", "cp2"):  # the second pass repeats the batch
+        stream = st.read_stream(spark, folder, picked.schema)
+        query = st.start_new_appointments(stream, c.clients, out, str(tmp_path / checkpoint), "2 hours")
+        assert query.awaitTermination(180)
+        got = spark.read.parquet(out).select(*want.columns)
+        assert rows(got) == rows(want) and got.count() > 0
+
+
 def test_late_bookings_are_dropped(spark, tmp_path):
     schema = "schedid long, pcode long, createdate timestamp_ntz, emid long, onlinetype int, workdate date, bhour int, bmin int"
     day = datetime(2024, 1, 15).date()
