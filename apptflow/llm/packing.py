@@ -26,7 +26,7 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: chunks of text whose ids a Python worker remembers, and the longest it remembers
-MEMO_WORDS = 600_000
+MEMO_WORDS = 1_200_000
 MEMO_BYTES = 48
 #: a length's pieces are ranked in so many independent parts
 RANK_PARTS = 256
@@ -56,11 +56,13 @@ class Tokens:
         if len(memo) > MEMO_WORDS:
             memo.clear()
         new = list({w for p in parts for w in p if w not in memo})
-        memo |= dict(zip(new, self._ids(new), strict=True))
+        cut = [_base(w) for w in new]
+        bases = list({b for b, _ in cut if b not in memo} | {e for _, e in cut if e not in memo})
+        memo |= dict(zip(bases, self._ids(bases), strict=True))
+        memo |= {w: memo[b] + memo[e] for w, (b, e) in zip(new, cut, strict=True)}
         out = [b"".join(map(memo.__getitem__, p)) for p in parts]
-        for w in new:
-            if len(w) > MEMO_BYTES:
-                del memo[w]
+        for w in {w for w in (*new, *bases) if len(w) > MEMO_BYTES}:
+            del memo[w]
         return out
 
     def _ids(self, words: list[str]) -> list[bytes]:
@@ -78,6 +80,16 @@ class Tokens:
         return out
 
 
+def _base(word: str) -> tuple[str, str]:
+    """Parts with the ids of the word; the tokenizer folds case and parts such signs."""
+    if not word.isascii():
+        return word, ""
+    word = word.lower()
+    if word[-1:] in (".", ",") and word[:-1].isalpha():
+        return word[:-1], word[-1]
+    return word, ""
+
+
 _tokens: dict[str, Tokens] = {}
 
 
