@@ -195,10 +195,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        # written down, so that the join can split a node with very many neighbours
+        least = stored(least.select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large.where("u != v").distinct(), "edges")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         sums = pairs.agg(

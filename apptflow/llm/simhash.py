@@ -248,7 +248,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     classes = distinct.join(groups, "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
     )
-    ids = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    classes = stored(classes, "classes")
+    ids = stored(classes.groupBy("component").agg(F.min("first_id").alias("component_id")), "ids")
     classes = classes.join(ids, "component").select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
