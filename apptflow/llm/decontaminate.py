@@ -220,7 +220,8 @@ def overlaps(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GR
     windows = windows.select("doc_id", "_th", "size", "w.*").distinct()
     known = bench.select("size", "item_id", F.explode("windows").alias("window")).distinct()
     known = stored(known, "windows")
-    found = windows.join(known.select("size", "window").distinct(), ["size", "window"], "left_semi")
+    distinct = stored(known.select("size", "window").distinct(), "distinct")
+    found = windows.join(distinct, ["size", "window"], "left_semi")
     found = stored(found, "found")
 
     document = ["doc_id", "_th"]
