@@ -38,7 +38,7 @@ def _any(words: list[str]) -> str:
     return "|".join(w.replace(".", r"\.") for w in words)
 
 
-_NAME = r"\p{Lu}\p{L}*+(?:['’\-]\p{Lu}\p{L}*+)*+"
+_NAME = r"\p{Lu}\p{L}*+(?:['’\-]\p{Lu}\p{L}*+){0,9}+"
 _GIVEN = FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Each branch starts with a test of one character, so that most places of a text fail
@@ -46,7 +46,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 ENTITY = "|".join(
     [
         # mailboxes, from the start of a run of their characters
-        r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
+        r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){0,126}\.[A-Za-z]{2,}",
         # keys, accounts and names, from a capital at the start of a word
         r"(?<![\p{L}\d])(?=\p{Lu})(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
         r"|[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
