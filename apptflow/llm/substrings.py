@@ -196,12 +196,14 @@ def parse(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFram
 
     # anchors that occur in two documents at least; all others are new text
     shared = every.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = shared.where("low < high").select("anchor")
+    # written down: a join with what was just summed by the same key could not be split
+    shared = stored(shared.where("low < high").select("anchor"), "anchors")
     common = stored(every.join(shared, "anchor", "left_semi"), "shared")
 
     # the first document of each block; blocks that others share an anchor with
     first = stored(common.groupBy("anchor", "block").agg(F.min("doc_id").alias("low")), "first")
     mixed = first.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
+    mixed = stored(mixed, "mixed")
     boundary = first.join(mixed, "anchor", "left_semi")
 
     # windows at boundaries, from the first document of each block
@@ -211,7 +213,7 @@ def parse(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFram
     todo = todo.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("anchor", "block", "at", "n")).alias("todo"))
     looked = docs.join(todo, ["doc_id", "_th"]).select("doc_id", "text", "todo")
     inner = stored(_window_hashes(looked, span), "inner")
-    oldest = inner.groupBy("anchor", "window").agg(F.min("low").alias("oldest"))
+    oldest = stored(inner.groupBy("anchor", "window").agg(F.min("low").alias("oldest")), "oldest")
     late = inner.join(oldest, ["anchor", "window"]).where("oldest < low")
     late = late.groupBy("anchor", "block").agg(F.collect_set("place").alias("places"))
     first = stored(first.join(late, ["anchor", "block"], "left"), "classes")
