@@ -19,6 +19,7 @@ cluster.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,14 @@ CENTRES = 512
 OVERLAP = 2
 #: vectors per cluster that the number of centres aims at, and in one block at most
 CLUSTER_ROWS = 700
-SHARD_ROWS = 4096
+SHARD_ROWS = 2048
 DEGREE = 24
 CANDIDATES = 48
 ALPHA = 1.2
 BEAM = 32
 FAR = 4
+#: vectors whose neighbours are looked up at once
+FRONT = 512
 MEDOIDS = 8
 #: vectors that one task assigns to clusters
 ASSIGN_ROWS = 20_000
@@ -91,9 +94,23 @@ def _medoids(x: np.ndarray, most: int) -> np.ndarray:
     return np.unique(np.argmax(x @ means.T, axis=0))
 
 
+@dataclass
+class Graph:
+    """Neighbour lists end to end; a node may have any number of them."""
+
+    ends: np.ndarray
+    others: np.ndarray
+
+    def near(self, query: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The neighbours of each node, with its query."""
+        size = self.ends[node + 1] - self.ends[node]
+        shift = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return np.repeat(query, size), self.others[np.repeat(self.ends[node], size) + shift]
+
+
 def _search(
     x: np.ndarray,
-    graph: np.ndarray,
+    graph: Graph,
     queries: np.ndarray,
     own: np.ndarray | None,
     threshold: float,
@@ -111,7 +128,6 @@ def _search(
     for at in range(0, len(queries), 256):
         q = queries[at : at + 256]
         b = len(q)
-        row = np.arange(b)[:, None]
         seen = np.zeros((b, n), bool)
         value = np.full((b, beam), -9, np.float32)
         node = np.full((b, beam), -1, np.int64)
@@ -121,7 +137,7 @@ def _search(
             node[:, len(medoids)] = np.where(np.isin(mine, medoids), -1, mine)
         fresh = node >= 0
         r, k = np.nonzero(fresh)
-        value[r, k] = np.einsum("ij,ij->i", q[r], x[node[r, k]])
+        value[r, k] = _dots(q, x, r, node[r, k])
         seen[r, node[r, k]] = True
         hit = np.zeros((b, n), bool)
         hit[r, node[r, k]] = value[r, k] >= low
@@ -132,14 +148,13 @@ def _search(
             if not on.any():
                 break
             np.put_along_axis(fresh, pick, False, 1)
-            source = np.where(on, np.take_along_axis(node, pick, 1), 0)
-            step = np.where(on[:, :, None], graph[source], -1).reshape(b, -1)
-            ok = (step >= 0) & ~seen[row, step]
-            r, k = np.nonzero(ok)
-            pair = np.unique(r * n + step[r, k])
+            r, k = np.nonzero(on)
+            r, v = graph.near(r, np.take_along_axis(node, pick, 1)[r, k])
+            ok = ~seen[r, v]
+            pair = np.unique(r[ok] * n + v[ok])
             r, v = pair // n, pair % n
             seen[r, v] = True
-            sim = np.einsum("ij,ij->i", q[r], x[v])
+            sim = _dots(q, x, r, v)
             hit[r, v] = sim >= low
             # the best of the beam and the new ones stay
             count = np.bincount(r, minlength=b)
@@ -155,19 +170,21 @@ def _search(
             keep = np.argsort(-value, axis=1, kind="stable")[:, :beam]
             value, node, fresh = (np.take_along_axis(z, keep, 1) for z in (value, node, fresh))
         # range expansion: from every vector in range to its neighbours, until none is new
-        front = np.nonzero(hit)
-        while len(front[0]):
-            step = graph[front[1]]
-            r = np.repeat(front[0], step.shape[1])
-            v = step.ravel().astype(np.int64)
-            ok = (v >= 0) & ~seen[r, v]
+        waiting = [np.nonzero(hit)]
+        while waiting:
+            front = waiting.pop()
+            if len(front[0]) > FRONT:
+                waiting.append((front[0][FRONT:], front[1][FRONT:]))
+            r, v = graph.near(front[0][:FRONT], front[1][:FRONT])
+            ok = ~seen[r, v]
             pair = np.unique(r[ok] * n + v[ok])
             r, v = pair // n, pair % n
             seen[r, v] = True
-            good = np.einsum("ij,ij->i", q[r], x[v]) >= low
+            good = _dots(q, x, r, v) >= low
             r, v = r[good], v[good]
             hit[r, v] = True
-            front = (r, v)
+            if len(r):
+                waiting.append((r, v))
         r, v = np.nonzero(hit)
         found_q.append(r + at)
         found_v.append(v)
@@ -175,6 +192,15 @@ def _search(
     return np.concatenate(found_q or [none]), np.concatenate(found_v or [none])
 
 
+def _dots(q: np.ndarray, x: np.ndarray, r: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Products of paired rows, some at a time."""
+    out = np.empty(len(r), np.float32)
+    for at in range(0, len(r), 1 << 15):
+        own = slice(at, at + (1 << 15))
+        out[own] = np.einsum("ij,ij->i", q[r[own]], x[v[own]])
+    return out
+
+
 def _cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of paired rows, in double precision."""
     a, b = a.astype(float), b.astype(float)
@@ -227,6 +253,7 @@ def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), v.alias("v")
     )
     nodes = rows.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    nodes = stored(nodes, "nodes")
     rows = rows.join(nodes, ["label", "v"])
     return rows.select("vec_id", "node", "copies"), nodes.select(
         "node", "label", F.size("v").alias("dim"), "v", "copies"
@@ -385,7 +412,7 @@ def near_links(
     return tasks.groupBy("label", "dim", "shard", "bi", "bj").applyInArrow(link, schema)
 
 
-def _inner_graph(near: pa.Array, ids: np.ndarray, index: np.ndarray) -> np.ndarray:
+def _inner_graph(near: pa.Array, ids: np.ndarray, index: np.ndarray) -> Graph:
     """The united lists among the rows ``index``, both ways, as places in ``index``."""
     place = np.full(len(ids), -1)
     place[index] = np.arange(len(index))
@@ -397,10 +424,7 @@ def _inner_graph(near: pa.Array, ids: np.ndarray, index: np.ndarray) -> np.ndarr
     u, v = place[u[inside]], place[at[inside]]
     pair = np.unique(np.concatenate([u * len(index) + v, v * len(index) + u]))
     u, v = pair // len(index), pair % len(index)
-    count = np.bincount(u, minlength=len(index))
-    graph = np.full((len(index), max(1, int(count.max()))), -1, np.int64)
-    graph[u, np.arange(len(u)) - np.repeat(np.cumsum(count) - count, count)] = v
-    return graph
+    return Graph(np.concatenate([[0], np.cumsum(np.bincount(u, minlength=len(index)))]), v)
 
 
 # ----------------------------------------------------------------------- operator
@@ -458,7 +482,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
     an empty table gives an empty result.
     """
     rows, nodes = nodes_of(vectors)
-    nodes = stored(nodes, "nodes")
     overlap, beam = options.pop("overlap", OVERLAP), options.pop("beam", BEAM)
     for _ in range(3):
         found = stored(near_links(nodes, threshold, overlap, beam, **options), "links")
