@@ -297,11 +297,13 @@ def near_links(
     cluster_rows: int = CLUSTER_ROWS,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """(node, links, root): per node and task, its new links and a node they lead to.
+    """(node, links, root, copies, others, weights): what each task found of a node.
 
-    ``links`` counts vectors of other nodes (copies included). A pair that meets in two
-    shards is counted in the first of them only. ``root`` is the smallest node of the
-    task that the found links connect the node to.
+    ``links`` counts vectors of other nodes (copies included) over pairs that no other
+    task can find. A pair that meets in several shards may be found in any of them: its
+    smaller node lists the other one in ``others``, with the copies in ``weights``;
+    ``link_counts`` counts each once. ``root`` is the smallest node of the task that the
+    found links connect the node to.
     """
     centres = _fit_centres(nodes, sample_rows, cluster_rows, CENTRES)
     sizes = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / ASSIGN_ROWS).cast("int").alias("parts"))
@@ -383,17 +385,8 @@ def near_links(
         ]
         exact = np.concatenate(exact or [np.zeros(0, bool)])
         a, b = a[exact], b[exact]
-        # counted in the first shard that both are in
-        lists = group.column("shards").to_pylist()
-        width = max(map(len, lists))
-        table = np.array([s + [-1] * (width - len(s)) for s in lists])
-        first = np.full(len(a), 1 << 30)
-        for i in range(width):
-            for j in range(width):
-                same = (table[a, i] == table[b, j]) & (table[a, i] >= 0)
-                first = np.where(same, np.minimum(first, table[a, i]), first)
-        mine = first == group.column("shard")[0].as_py()
-        links = np.bincount(a[mine], copies[b[mine]], len(ids)) + np.bincount(b[mine], copies[a[mine]], len(ids))
+        several = _meetings(group.column("shards").to_pylist(), a, b) > 1
+        links, others, weights = _tallied(a, b, several, ids, copies)
         root = np.arange(len(ids))
         while len(a):
             low = np.minimum(root[a], root[b])
@@ -404,14 +397,72 @@ def near_links(
             if (new == root).all():
                 break
             root = new
-        some = np.flatnonzero((links > 0) | (root != np.arange(len(ids))))
-        return pa.table({"node": ids[some], "links": links[some].astype(np.int64), "root": ids[root[some]]})
+        listed = np.array([len(o) > 0 for o in others])
+        some = np.flatnonzero((links > 0) | listed | (root != np.arange(len(ids))))
+        return pa.table(
+            {
+                "node": ids[some],
+                "links": links[some],
+                "root": ids[root[some]],
+                "copies": copies[some],
+                "others": pa.array([others[i] for i in some], many),
+                "weights": pa.array([weights[i] for i in some], many),
+            }
+        )
 
-    schema = "node long, links long, root long"
-    empty = pa.table({c: pa.array([], pa.int64()) for c in ("node", "links", "root")})
+    schema = "node long, links long, root long, copies long, others array<long>, weights array<long>"
+    many = pa.list_(pa.int64())
+    empty = pa.table(
+        {
+            **{c: pa.array([], pa.int64()) for c in ("node", "links", "root", "copies")},
+            **{c: pa.array([], many) for c in ("others", "weights")},
+        }
+    )
     return tasks.groupBy("label", "dim", "shard", "bi", "bj").applyInArrow(link, schema)
 
 
+def _meetings(lists: list[list[int]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many shards the nodes of each pair meet."""
+    width = max(map(len, lists))
+    table = np.array([s + [-1] * (width - len(s)) for s in lists])
+    count = np.zeros(len(a), np.int64)
+    for i in range(width):
+        for j in range(width):
+            count += (table[a, i] == table[b, j]) & (table[a, i] >= 0)
+    return count
+
+
+def _tallied(
+    a: np.ndarray, b: np.ndarray, several: np.ndarray, ids: np.ndarray, copies: np.ndarray
+) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Links of the pairs found here alone; the others per smaller node, and their copies.
+
+    Pairs are sorted by ``a``, the smaller place.
+    """
+    one, n = ~several, len(ids)
+    links = np.bincount(a[one], copies[b[one]], n) + np.bincount(b[one], copies[a[one]], n)
+    cut = np.cumsum(np.bincount(a[several], minlength=n))[:-1]
+    others = np.split(ids[b[several]], cut)
+    return links.astype(np.int64), others, np.split(copies[b[several]], cut)
+
+
+def link_counts(found: DataFrame) -> DataFrame:
+    """(node, links) of what ``near_links`` found; a pair counts once, whoever found it."""
+    pair = F.explode(F.arrays_zip("others", "weights")).alias("p")
+    pairs = found.select("node", "copies", pair).select(
+        "node", "copies", F.col("p.others").alias("other"), F.col("p.weights").alias("weight")
+    )
+    pairs = pairs.groupBy("node", "other").agg(F.min("copies").alias("copies"), F.min("weight").alias("weight"))
+    ends = F.explode(
+        F.array(
+            F.struct("node", F.col("weight").alias("links")),
+            F.struct(F.col("other").alias("node"), F.col("copies").alias("links")),
+        )
+    ).alias("e")
+    rows = found.where("links > 0").select("node", "links").unionByName(pairs.select(ends).select("e.*"))
+    return rows.groupBy("node").agg(F.sum("links").alias("links"))
+
+
 def _inner_graph(near: pa.Array, ids: np.ndarray, index: np.ndarray) -> Graph:
     """The united lists among the rows ``index``, both ways, as places in ``index``."""
     place = np.full(len(ids), -1)
@@ -466,8 +517,7 @@ def audit_recall(nodes: DataFrame, found: DataFrame, threshold: float = THRESHOL
     """Share of brute-force links that were found, over ``queries`` nodes chosen by hash."""
     asked = nodes.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(queries).collect()
     true = {r.node: r.links for r in brute_links(nodes, asked, threshold).collect()}
-    have = found.where(F.col("node").isin(list(true))).groupBy("node").agg(F.sum("links").alias("links"))
-    got = {r.node: r.links for r in have.collect()}
+    got = {r.node: r.links for r in found.where(F.col("node").isin(list(true))).collect()}
     want = sum(true.values())
     return sum(min(n, got.get(k, 0)) for k, n in true.items()) / want if want else 1.0
 
@@ -485,11 +535,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
     overlap, beam = options.pop("overlap", OVERLAP), options.pop("beam", BEAM)
     for _ in range(3):
         found = stored(near_links(nodes, threshold, overlap, beam, **options), "links")
-        if audit_recall(nodes, found, threshold) >= AUDIT_RECALL:
+        links = stored(link_counts(found), "counts")
+        if audit_recall(nodes, links, threshold) >= AUDIT_RECALL:
             break
         overlap, beam = overlap + 1, beam * 2
     groups = components(found.select("node", "root"), "node", "root")
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
     result = rows.join(links, "node", "left").join(groups, "node", "left")
     result = result.select(
         "vec_id",

@@ -176,6 +176,24 @@ def test_embedding_links_reach_recall(spark, shard_rows):
     assert all(copy[i] <= i for i in copy)
 
 
+def test_a_link_counts_once_whichever_shard_finds_it(spark):
+    """Nodes 10 and 20 meet in shards 1 and 4, 10 and 30 in shard 4 only; 20 stands for 3 copies."""
+    shards, ids, copies = [[1, 4], [1, 4], [2, 4]], np.array([10, 20, 30]), np.array([1, 3, 1])
+    a, b = np.array([0, 0]), np.array([1, 2])
+    several = embeddings._meetings(shards, a, b) > 1
+    assert several.tolist() == [True, False]
+    links, others, weights = embeddings._tallied(a, b, several, ids, copies)
+    later = [
+        (int(i), int(n), 10, int(c), o.tolist(), w.tolist())
+        for i, n, c, o, w in zip(ids, links, copies, others, weights, strict=True)
+    ]
+    first = [(10, 0, 10, 1, [20], [3])]
+    schema = "node long, links long, root long, copies long, others array<long>, weights array<long>"
+    for rows in (later, later + first):  # found in the later shard only, then in both
+        found = embeddings.link_counts(spark.createDataFrame(rows, schema)).collect()
+        assert {r.node: r.links for r in found} == {10: 4, 20: 1, 30: 1}
+
+
 def test_embeddings_of_an_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embeddings.near_duplicates(none).collect() == []
