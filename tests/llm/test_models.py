@@ -194,6 +194,24 @@ def test_a_link_counts_once_whichever_shard_finds_it(spark):
         assert {r.node: r.links for r in found} == {10: 4, 20: 1, 30: 1}
 
 
+def test_audit_asks_until_it_sees_links_and_a_short_run_fails(spark, monkeypatch):
+    """One near pair among 1,500 vectors: the first block of the audit sees none of it."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 24))
+    x[1499] = x[1498] + 0.001
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    _, nodes = embeddings.nodes_of(frame)
+    none = spark.createDataFrame([], "node long, links long")
+    seen = embeddings.audit(nodes, none)
+    assert (seen.asked, seen.true, seen.found) == (1500, 2, 0)
+    exact = embeddings.link_counts(embeddings.near_links(nodes, exact=True))
+    assert embeddings.audit(nodes, exact).recall == 1.0
+    monkeypatch.setattr(embeddings, "link_counts", lambda found: none)
+    with pytest.raises(RuntimeError, match="0 of 2 audited links"):
+        embeddings.near_duplicates(frame)
+
+
 def test_embeddings_of_an_empty_table(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embeddings.near_duplicates(none).collect() == []
