@@ -203,11 +203,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(batch, "doc_id long, _th long, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model, min_score: float = 0.4) -> DataFrame:
+def accepted(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
     """The rows of ``docs`` in one of the model's languages, all columns unchanged.
 
-    Texts without a letter go, and those that no language explains with a share of
-    ``min_score``. A model without a language rejects nothing that has a letter.
+    Texts without a letter go, as they are ``und`` for ``predict`` too, and those that no
+    language explains with a share of ``min_score``, if one is given. A model without a language rejects nothing that has a letter.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -21,7 +21,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents in a language that the labelled ones have."""
+    """Keeps the documents that have a letter, so a language of the labelled ones (not ``und``)."""
     docs = docs.select(*COLUMNS)
     return language.accepted(docs, language.train(docs))
 

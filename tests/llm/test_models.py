@@ -59,6 +59,15 @@ def test_language_of_odd_rows(make_docs):
     assert language.predict(make_docs([]), model).collect() == []
 
 
+def test_the_stage_rejects_only_what_has_no_language(make_docs):
+    """A text whose words several languages share has flat shares, but a language."""
+    langs = ["de", "en", "fr", "it"]
+    model = language.fit([f"radio {w}" for w in ("und", "and", "et", "e")] * 3, langs * 3)
+    docs = make_docs([(1, "radio"), (2, "42"), (3, "radio und and et")])
+    assert max(r.score for r in language.predict(docs, model).where("doc_id = 1").collect()) < 0.4
+    assert {r.doc_id for r in language.accepted(docs, model).collect()} == {1, 3}
+
+
 # ------------------------------------------------------------- quality and toxicity
 
 
