@@ -53,7 +53,7 @@ def fingerprint(words: list[bytes], shingle: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): one row per input row; fp as a signed 64-bit value."""
+    """(doc_id, _th, fp): one row per input row; fp as a signed 64-bit value."""
 
     def batch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
@@ -65,10 +65,11 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
                     fingerprint(raw[a:b].split(), shingle) for a, b in zip(cut, cut[1:], strict=False)
                 ]
                 fp = pa.array(np.array(fps, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), fp], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("_th"), fp], ["doc_id", "_th", "fp"]
+                )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInArrow(batch, "doc_id long, fp long")
+    return keyed(docs).mapInArrow(batch, "doc_id long, _th long, fp long")
 
 
 # ----------------------------------------------------------------- trie self-join
@@ -232,6 +233,18 @@ def trie_links(distinct: DataFrame, max_bits: int = MAX_BITS, node_rows: int = N
     return grouped.mapInArrow(joined, "f long, g long")
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _th, fp) for every row, and (fp, first_id, component) for every fingerprint."""
+    fps = stored(fingerprints(docs, shingle), "simhash")
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    links = trie_links(distinct.select("fp"), max_bits)
+    groups = components(links, "f", "g").withColumnRenamed("node", "fp")
+    classes = distinct.join(groups, "fp", "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component")
+    )
+    return fps, stored(classes, "classes")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fp (long) and component_id for every row of ``docs``.
 
@@ -241,14 +254,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     then the smallest one that is not null (null if there is none). An empty table
     gives an empty result. Other columns are ignored.
     """
-    fps = stored(fingerprints(docs, shingle), "simhash")
-    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    links = trie_links(distinct.select("fp"), max_bits)
-    groups = components(links, "f", "g").withColumnRenamed("node", "fp")
-    classes = distinct.join(groups, "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component")
-    )
-    classes = stored(classes, "classes")
+    fps, classes = _grouped(docs, shingle, max_bits)
     ids = stored(classes.groupBy("component").agg(F.min("first_id").alias("component_id")), "ids")
     classes = classes.join(ids, "component").select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
@@ -257,18 +263,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
 def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` for each group of near copies, all columns unchanged.
 
-    The document with the smallest doc_id stays; of rows that share it, the smallest by
-    text and then by the other columns. Rows without an id cannot stand for a group and
-    go.
+    The document with the smallest doc_id stays, one without an id only if none has one;
+    of rows that share it, the smallest by a hash of the text and then by the columns.
+    Groups are those of ``near_duplicates``, so rows that share an id but not a group each
+    stand for their own.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(first, docs["doc_id"].cast("long") == F.col("_id"), "left_semi")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    named = named.groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *rest)).alias("_row"))
-    return named.select(
-        *[F.col("doc_id") if c == "doc_id" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
-    )
+    fps, classes = _grouped(docs, shingle, max_bits)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th")
+    # per fingerprint first, stored, so that the join can split a hot one
+    best = stored(fps.groupBy("fp").agg(F.min(row).alias("row")), "best")
+    best = best.join(classes, "fp").groupBy("component").agg(F.min("row").alias("row"))
+    best = stored(best.select(F.col("row.doc_id").alias("_id"), F.col("row._th").alias("_hash")), "first")
+    own_id = F.col("doc_id").cast("long")
+    own_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(F.struct(*columns).alias("_row"), own_id.alias("_own"), own_hash.alias("_th"))
+    same = rows["_own"].eqNullSafe(best["_id"]) & (rows["_th"] == best["_hash"])
+    named = rows.join(best, same, "left_semi").groupBy("_own", "_th").agg(F.min("_row").alias("_row"))
+    return named.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def hex_digits(fp):

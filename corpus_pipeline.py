@@ -27,7 +27,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the smallest doc_id."""
+    """Keeps one document of each group of near copies, that with the smallest doc_id if any."""
     return simhash.representatives(docs.select(*COLUMNS))
 
 

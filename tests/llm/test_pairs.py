@@ -189,6 +189,16 @@ def test_trie_links_equal_brute_force(spark, node_rows):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_each_group_keeps_one_row_whatever_its_ids_are(make_docs):
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(40)) for x in "abcde")
+    docs = make_docs([(None, a), (None, a), (None, b), (7, c), (7, d), (7, d), (3, d), (None, c), (9, e)])
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert got == sorted([(None, a), (None, b), (7, c), (3, d), (9, e)], key=repr)
+
+
 def test_simhash_of_an_empty_table(make_docs):
     assert simhash.near_duplicates(make_docs([])).collect() == []
 
