@@ -5,7 +5,8 @@ format, script and (for names) gender, made from a keyed hash. Surrogates are ch
 no two entities of a type may share one and none may be an entity that occurs; those
 that fail are drawn again with the next attempt number. An entity has the same
 surrogate wherever it stands, so references stay consistent; names are replaced part by
-part, so "Anna Berg" and "Ms. Berg" stay one person.
+part, so "Anna Berg" and "Ms. Berg" stay one person, and a part of a name found in a text
+is replaced wherever it stands as a word in that text ("Berg left").
 
 Texts without an entity take part in no shuffle. The others are looked up by entity
 (a hot entity is one row on the other side, and adaptive execution splits its rows)
@@ -22,16 +23,53 @@ from apptflow.llm.common import stored
 KEY = "change-me"
 LONGER_AFTER = 24
 
-# Given names by gender and script; surnames are syllables.
+# Given names of surrogates by gender and script; surnames are syllables.
 FEMALE = ["Anna", "Clara", "Elena", "Emma", "Eva", "Flora", "Greta", "Helen", "Irene", "Julia", "Laura", "Lena", "Maria", "Nora", "Olga", "Petra", "Rosa", "Sara", "Sofia", "Vera"]
 MALE = ["Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Henry", "Hugo", "Ivan", "Jakob", "John", "Karl", "Leo", "Martin", "Oscar", "Paul", "Peter", "Robert", "Victor"]
 FEMALE_CYRILLIC = ["Анна", "Вера", "Галина", "Дарья", "Елена", "Ирина", "Мария", "Нина", "Ольга", "Софья"]
 MALE_CYRILLIC = ["Алексей", "Борис", "Виктор", "Глеб", "Иван", "Игорь", "Павел", "Пётр", "Сергей", "Фёдор"]
 SYLLABLES = ["bel", "cor", "dan", "fer", "gal", "hol", "kel", "lin", "mar", "nor", "pel", "ran", "sol", "tor", "ven", "wal"]
 SYLLABLES_CYRILLIC = ["бел", "вер", "гор", "дан", "зор", "кал", "лин", "мар", "нов", "пол", "рос", "сол", "тар", "фед", "хол", "чер"]
-# Titles that stand before a name and tell the gender.
-TITLES_FEMALE = ["Mrs.", "Mrs", "Ms.", "Ms", "Miss", "Frau", "Mme", "Mlle", "Madame", "Señora", "Sra.", "Doña", "Госпожа"]
-TITLES_MALE = ["Mr.", "Mr", "Herr", "Monsieur", "Señor", "Sr.", "Don", "Господин"]
+# Given names that are found, by gender; names that are also common words or
+# places (May, Hope, Paris) are left out, those of either gender have no gender.
+KNOWN_FEMALE = sorted({*FEMALE, *FEMALE_CYRILLIC, *(
+    "Abigail Adele Agnes Alice Alicia Alina Amanda Amelia Amelie Amy Ana Andrea Angela Angelika Anita Ann Anne Annette Annika "
+    "Antonia Astrid Audrey Aurelie Barbara Beatrice Beatriz Bertha Betty Birgit Brenda Brigitte Camille Carla Carmen Carol Carolina Caroline "
+    "Caterina Catherine Cecilia Celine Charlotte Chiara Chloe Christina Christine Claire Claudia Cornelia Cristina Cynthia Daniela "
+    "Deborah Denise Diana Donna Doris Dorothy Edith Eleanor Elisa Elisabeth Elise Elizabeth Ella Ellen Elsa Emilia Emily Erika "
+    "Esther Eugenie Evelyn Fatima Fiona Francesca Franziska Frieda Gabriela Gabriele Gerda Gisela Giulia Gloria Hanna Hannah "
+    "Heather Heidi Heike Helena Helga Hilda Ines Inge Ingrid Isabel Isabella Isabelle Jacqueline Jana Jane Janet Jennifer Jessica Joan "
+    "Johanna Josefine Joyce Juana Judith Julie Juliette Karen Karin Katharina Katherine Kathleen Katja Katrin Kelly Kimberly "
+    "Klara Kristina Lara Lea Leah Leonie Linda Lisa Louise Lucia Lucie Lucy Luisa Luise Lydia Madeleine Magdalena Manon "
+    "Margaret Margarita Margot Marie Marina Marion Marlene Marta Martha Martina Mary Mathilde Megan Melanie Melissa Mia Michelle Michele "
+    "Monica Monika Monique Nadia Nancy Natalie Nathalie Natalia Nicole Nina Olivia Pamela Patricia Paula Pauline Pilar Rachel Rebecca "
+    "Regina Renate Rita Ruth Sabine Sabrina Samantha Sandra Sarah Sharon Shirley Silvia Simone Sonja Sophia Sophie Stefanie "
+    "Stephanie Susan Susanne Sylvia Sylvie Tamara Tanja Tatiana Teresa Theresa Ursula Valentina Valerie Vanessa Veronica "
+    "Veronika Victoria Virginie Yvonne Zoe Александра Анастасия Валентина Екатерина Евгения Ксения Людмила Лариса Надежда "
+    "Наталья Светлана Татьяна Юлия"
+).split()})
+KNOWN_MALE = sorted({*MALE, *MALE_CYRILLIC, *(
+    "Aaron Adrian Alain Alan Albert Alberto Alejandro Alessandro Alex Alexander Alexandre Alfred Ali Alvaro Anders Andreas Andrew "
+    "Antoine Anton Antonio Anthony Arnold Arthur Axel Ben Benedikt Benjamin Benoit Bernard Bernd Bernhard Boris Brandon Brian "
+    "Carlos Cesar Charles Christian Christoph Christophe Christopher Claude Claus Daniel Dennis Didier Diego Dieter Dirk Dmitri "
+    "Dominik Donald Douglas Edgar Eduardo Edward Enrique Eric Erich Erik Ernst Eugen Fabian Fernando Florian Francesco Francis "
+    "Francisco Francois Franz Fred Frederick Friedrich Fritz Gabriel Gary George Georges Gerald Gerard Gerhard Gilles Giovanni "
+    "Giuseppe Gregor Gregory Guido Guillaume Gunther Gustav Hans Harald Harold Heinrich Heinz Helmut Henri Herbert Hermann "
+    "Horst Hubert Ian Ignacio Igor Jacob Jacques James Jan Jason Javier Jean Jeffrey Jens Jeremy Jerome Jerry Jesus Joachim Joe "
+    "Joel Johann Johannes Jonas Jonathan Jorge Jose Joseph Joshua Juan Julian Julien Jens Justin Kai Kenneth Kevin Klaus Konrad "
+    "Kurt Larry Lars Laurent Lawrence Leon Leonardo Liam Louis Luca Lucas Ludwig Luigi Luis Lukas Manfred Manuel Marc Marcel "
+    "Marco Mario Marius Marcus Markus Mathieu Matteo Matthew Matthias Max Maximilian Michael Michel Miguel Mohamed Mohammed "
+    "Moritz Nathan Nicholas Nicolas Niels Nikolai Noah Norbert Olaf Oliver Olivier Otto Pablo Pascal Patrick Paolo Pedro Philip "
+    "Philipp Philippe Pierre Rafael Rainer Ralf Ralph Ramon Raymond Ricardo Richard Roberto Roger Roland Rolf Roman Ronald Rudolf "
+    "Ryan Samuel Scott Sebastian Sergei Sergio Simon Stefan Stephan Stephen Steven Sven Theo Theodor Thierry Thomas Tim Timothy "
+    "Tobias Tom Tomas Udo Ulrich Uwe Vincent Vladimir Walter Werner Wilhelm William Wolfgang Xavier Yves Александр Андрей "
+    "Антон Василий Владимир Дмитрий Евгений Константин Максим Михаил Николай Олег Роман Юрий"
+).split()})
+KNOWN_EITHER = ["Jamie", "Kim", "Morgan", "Robin", "Sasha", "Саша", "Taylor", "Toni"]
+# Titles that stand before a name, those that tell the gender and others.
+TITLES_FEMALE = ["Mrs.", "Mrs", "Ms.", "Ms", "Miss", "Frau", "Mme.", "Mme", "Mlle", "Madame", "Mademoiselle", "Señora", "Señorita", "Sra.", "Srta.", "Dra.", "Doña", "Lady", "Dame", "Fräulein", "Signora", "Госпожа"]
+TITLES_MALE = ["Mr.", "Mr", "Herr", "Herrn", "Monsieur", "Señor", "Sr.", "Don", "Sir", "Lord", "Signor", "Господин"]
+TITLES = ["Dr.", "Dr", "Prof.", "Prof", "Professor", "Professeur", "Profesor", "Doctor", "Doktor", "Docteur", "Mx.", "Mx", "Rev.", "Доктор", "Профессор"]
 
 
 def _any(words: list[str]) -> str:
@@ -39,7 +77,19 @@ def _any(words: list[str]) -> str:
 
 
 _NAME = r"\p{Lu}\p{L}*+(?:['’\-]\p{Lu}\p{L}*+){0,9}+"
-_GIVEN = FEMALE + MALE + FEMALE_CYRILLIC + MALE_CYRILLIC
+_GIVEN = KNOWN_FEMALE + KNOWN_MALE + KNOWN_EITHER
+_TITLED = TITLES_FEMALE + TITLES_MALE + TITLES
+_INITIALS = r"(?:\p{Lu}\.[ ]){0,3}"
+#: keys that a mark at their start tells
+_MARKED = r"gh[pousr]_|github_pat_|glpat-|sk-|[sr]k_(?:live|test)_|xox[abprs]-"
+
+
+def _by_letter(words: list[str]) -> str:
+    """The words as a pattern that tries only those of one first letter."""
+    firsts = sorted({w[0] for w in words})
+    return "|".join(f"{a}(?:{_any([w[1:] for w in words if w[0] == a])})" for a in firsts)
+
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 # Each branch starts with a test of one character, so that most places of a text fail
 # at once.
@@ -50,22 +100,27 @@ ENTITY = "|".join(
         # keys, accounts and names, from a capital at the start of a word
         r"(?<![\p{L}\d])(?=\p{Lu})(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
         r"|[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-        rf"|(?:{_any(TITLES_FEMALE + TITLES_MALE)})\s(?:{_NAME})(?:[ ](?:{_NAME})){{0,2}}"
-        rf"|(?:{_any(_GIVEN)})[ ](?:{_NAME}))",
+        rf"|(?:(?:{_by_letter(_TITLED)})\s){{1,3}}{_INITIALS}(?:{_NAME})(?:[ ](?:{_NAME})){{0,2}}"
+        rf"|(?:{_by_letter(_GIVEN)})[ ]{_INITIALS}(?:{_NAME}))",
         # secrets behind their key word
         r"(?<![A-Za-z0-9])(?=[PTSApatsk])(?i:password|passwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_\-+/]{8,}+",
+        # keys with a mark at their start
+        rf"(?<![A-Za-z0-9])(?=[gsrx])(?:{_MARKED})[A-Za-z0-9_\-]{{16,}}+",
         # numbers: addresses, cards, social security and telephone
         r"(?<![\d.])(?=\d)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\d|\.\d)",
         r"(?<![\d\-])(?=\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}(?: \d{3})?|\d{4}-\d{4}-\d{4}-\d{4}(?:-\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{5}"
         r"|\d{3}-\d{2}-\d{4})(?![\d\-])",
         r"(?<![\w+])(?=[+(])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,5}){1,4}(?!\d)"
         r"|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d))",
-        r"(?<![\w+.\-])(?=\d)\d{3}[ .\-]\d{3}[ .\-]\d{4}(?![\d.\-])",
+        # dialled in the country, with its 1 or 0 or without
+        r"(?<![\w+.\-])(?=\d)(?:(?:1[ .\-])?\d{3}[ .\-]\d{3}[ .\-]\d{4}|1[ .\-]?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}"
+        r"|0\d(?:[ .\-]\d{2}){4}|0\d{2,4}[ /\-]\d{5,8})(?!\d|[.\-]\d)",
     ]
 )
 #: texts without any of these hold no entity
 HINT = (
-    rf"[@\d=:]|(?<![\p{{L}}\d])(?=\p{{Lu}})(?:{_any(TITLES_FEMALE + TITLES_MALE)}|{_any(_GIVEN)})\s"
+    rf"[@\d=:]|(?<![A-Za-z0-9])(?=[gsrx])(?:{_MARKED})"
+    rf"|(?<![\p{{L}}\d])(?=\p{{Lu}})(?:{_by_letter(_TITLED + _GIVEN)})\s"
 )
 
 
@@ -77,9 +132,11 @@ def kind(value: Column) -> Column:
         .when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip")
         .when(value.rlike(r"^AKIA[0-9A-Z]{16}$"), "secret")
         .when(value.rlike(r"^(?i:password|passwd|token|secret|api_?key)\s{0,2}[=:]"), "secret")
+        .when(value.rlike(rf"^(?:{_MARKED})"), "secret")
         .when(value.rlike(r"^\+") | value.rlike(r"^\(\d{3}\)"), "phone")
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-        .when(value.rlike(r"^\d{3}[ .\-]\d{3}[ .\-]\d{4}$"), "phone")
+        .when(value.rlike(r"^(?:1[ .\-])?\d{3}[ .\-]\d{3}[ .\-]\d{4}$|^1[ .\-]?\("), "phone")
+        .when(value.rlike(r"^0\d(?:[ .\-]\d{2}){4}$|^0\d{2,4}[ /\-]\d{5,8}$"), "phone")
         .when(value.rlike(r"^\d(?:[ \-]?\d)+$") & (digits >= 13), "card")
         .when(value.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{12,}$"), "iban")
         .otherwise("name")
@@ -156,8 +213,9 @@ def _ip(digest: Column) -> Column:
 
 
 def _phone(value: Column, digest: Column) -> Column:
-    """Country code and separators stay; the rest is digits of the hash."""
-    code = F.length(F.regexp_extract(value, r"^\+\d{1,3}(?=[ .\-(])|^\+\d", 0))
+    """Country code or leading 1 or 0 and separators stay; the rest is digits of the hash."""
+    led = r"^\+\d{1,3}(?=[ .\-(])|^\+\d|^1(?=[ .\-(])|^0(?=\d(?:[ .\-]\d{2}){4}$|\d{2,4}[ /\-]\d{5,8}$)"
+    code = F.length(F.regexp_extract(value, led, 0))
     return _masked(value, digest, keep=code)
 
 
@@ -223,7 +281,7 @@ def _candidate(key: str) -> Column:
 
 def _lead(value: Column) -> Column:
     """Length of a secret's key word with its sign and quote, or of an access key's mark."""
-    return F.length(F.regexp_extract(value, r"^(?:AKIA|[A-Za-z_]+\s{0,2}[=:]\s{0,2}[\"']?)", 0))
+    return F.length(F.regexp_extract(value, rf"^(?:AKIA|{_MARKED}|[A-Za-z_]+\s{{0,2}}[=:]\s{{0,2}}[\"']?)", 0))
 
 
 def _is_hex(value: Column) -> Column:
@@ -256,6 +314,19 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         open_ = rest
 
 
+def _renamed(piece: Column, by_part: Column) -> Column:
+    """``piece`` with each whole word that ``by_part`` has replaced, also within hyphens."""
+    word = rf"(?<![\p{{L}}\d])(?:{_NAME})(?![\p{{L}}\d])"
+
+    def one(w: Column) -> Column:
+        inner = F.transform(F.split(w, r"(?<=['’\-])|(?=['’\-])"), lambda x: F.coalesce(by_part[x], x))
+        return F.coalesce(by_part[w], F.array_join(inner, ""))
+
+    new = F.transform(F.regexp_extract_all(piece, F.lit(f"({word})"), F.lit(1)), one)
+    glued = F.zip_with(F.split(piece, word, -1), F.concat(new, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.array_join(glued, "")
+
+
 def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced; all columns and rows stay.
 
@@ -280,11 +351,10 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     uses = own.select("text_key", F.posexplode("found").alias("pos", "entity")).distinct()
     uses = uses.withColumn("kind", kind(F.col("entity")))
     # names part by part, behind their title; everything else is one part
-    titles = TITLES_FEMALE + TITLES_MALE
-    words = F.split("entity", r"\s")
-    title = F.when((F.col("kind") == "name") & words[0].isin(titles), words[0])
-    uses = uses.withColumn("title", title)
-    named = F.when(F.col("title").isNotNull(), F.slice(words, 2, F.size(words))).otherwise(words)
+    title = F.regexp_extract("entity", rf"^(?:(?:{_by_letter(_TITLED)})\s)+", 0)
+    uses = uses.withColumn("title", F.when((F.col("kind") == "name") & (title != ""), title))
+    behind = F.substring(F.col("entity"), F.coalesce(F.length("title"), F.lit(0)) + 1, F.length("entity"))
+    named = F.split(behind, r"\s")
     parts = F.when(F.col("kind") == "name", named).otherwise(F.array("entity"))
     uses = uses.withColumn("parts", parts)
     has_given = F.col("parts")[0].isin(_GIVEN) | (F.size("parts") > 1)
@@ -295,8 +365,10 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     uses = uses.withColumn(
         "type", F.when(F.col("kind") == "name", F.when(is_given, "given").otherwise("surname")).otherwise(F.col("kind"))
     )
-    by_name = F.when(F.col("value").isin(FEMALE + FEMALE_CYRILLIC), "f").when(F.col("value").isin(MALE + MALE_CYRILLIC), "m")
-    by_title = F.when(F.col("title").isin(TITLES_FEMALE), "f").when(F.col("title").isin(TITLES_MALE), "m")
+    by_name = F.when(F.col("value").isin(KNOWN_FEMALE), "f").when(F.col("value").isin(KNOWN_MALE), "m")
+    by_title = F.when(F.col("title").rlike(rf"^(?:{_any(TITLES_FEMALE)})\s"), "f").when(
+        F.col("title").rlike(rf"^(?:{_any(TITLES_MALE)})\s"), "m"
+    )
     gender = F.when(F.col("type") == "given", F.coalesce(by_name, by_title, F.lit("")))
     uses = stored(uses.withColumn("gender", F.coalesce(gender, F.lit(""))).drop("kind", "has_given"), "uses")
 
@@ -304,8 +376,15 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     made = surrogates(uses.select(*same).distinct(), key)
     placed = uses.join(made, same)
     # the parts of a text's entities in order, then the entities in order
-    part = F.struct("pos", "part", F.concat_ws(" ", F.when(F.col("part") == 0, F.col("title")), "surrogate").alias("s"))
-    placed = placed.groupBy("text_key").agg(F.array_sort(F.collect_list(part)).alias("s"))
+    part = F.struct("pos", "part", F.concat_ws("", F.when(F.col("part") == 0, F.col("title")), "surrogate").alias("s"))
+    # parts of names, one surrogate each, for where they stand alone
+    name = F.when(
+        F.col("type").isin("given", "surname") & F.col("value").rlike(r"^\p{L}[\p{L}'’\-]+$"),
+        F.struct("value", "type", "gender", "surrogate"),
+    )
+    placed = placed.groupBy("text_key").agg(
+        F.array_sort(F.collect_list(part)).alias("s"), F.array_sort(F.collect_set(name)).alias("names")
+    )
     entity = F.transform(
         F.sequence(F.lit(0), F.size("found") - 1),
         lambda i: F.array_join(F.transform(F.filter("s", lambda x: x["pos"] == i), lambda x: x["s"]), " "),
@@ -313,6 +392,13 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     fields = [F.col("text") if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]
     clean = own.where(F.size("found") == 0).withColumn("text", F.col("pieces")[0]).select(*fields)
     filled = own.where(F.size("found") > 0).join(placed, "text_key").withColumn("new", entity)
+    # the first of a value's surrogates counts
+    first = F.filter("names", lambda x, i: (i == 0) | (x["value"] != F.element_at("names", F.greatest(i, F.lit(1)))["value"]))
+    filled = filled.withColumn(
+        "by_part", F.map_from_entries(F.transform(first, lambda x: F.struct(x["value"], x["surrogate"])))
+    )
+    bare = F.when(F.size("names") > 0, F.transform("pieces", lambda p: _renamed(p, F.col("by_part")))).otherwise(F.col("pieces"))
+    filled = filled.withColumn("pieces", bare)
     glued = F.zip_with("pieces", F.concat("new", F.array(F.lit(""))), lambda p, e: F.concat(p, e))
     filled = filled.withColumn("text", F.array_join(glued, "")).select(*fields)
     return untouched.unionByName(clean).unionByName(filled)

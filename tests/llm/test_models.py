@@ -359,6 +359,26 @@ def test_names_keep_gender_script_and_reference(make_docs):
     assert russian in pii.MALE_CYRILLIC and re.fullmatch(r"[А-Яа-яЁё]+", surname) and surname != "Петров"
 
 
+def test_parts_of_found_names_go_where_they_stand_alone(make_docs):
+    text = "Anna Berg came. Berg left, Anna stayed; Bergen and Annabel are others."
+    texts = [text, "James Smith met Mary Jones.", "Prof. Dr. A. Weber and Dr. Weber; Weber's book.", "James T. Kirk"]
+    texts += ["Call 1-415-555-1234 or 06 12 34 56 78.", "ghp_abcdefghijklmnopqrstuvwxyzABCDEFGHIJ sk-abcdefghijklmnopqrst", "The Berg is a hill."]
+    new = {r.doc_id: r.text for r in pii.anonymize(make_docs(list(enumerate(texts)))).collect()}
+    m = re.fullmatch(r"(\w+) (\w+) came\. (\w+) left, (\w+) stayed; Bergen and Annabel are others\.", new[0])
+    woman, family, again, first = m.groups()
+    assert woman == first != "Anna" and family == again != "Berg"
+    m = re.fullmatch(r"(\w+) (\w+) met (\w+) (\w+)\.", new[1])
+    assert m and not {"James", "Smith", "Mary", "Jones"} & set(m.groups())
+    assert m[1] in pii.MALE and m[3] in pii.FEMALE
+    m = re.fullmatch(r"Prof\. Dr\. (\w+) (\w+) and Dr\. (\w+); (\w+)'s book\.", new[2])
+    assert m and m[2] == m[3] == m[4] != "Weber"
+    assert "Kirk" not in new[3]
+    assert re.fullmatch(r"Call 1-\d{3}-\d{3}-\d{4} or 0\d \d\d \d\d \d\d \d\d\.", new[4])
+    assert "415-555" not in new[4] and "12 34 56 78" not in new[4]
+    assert re.fullmatch(r"ghp_\w{36} sk-\w{20}", new[5]) and "abcdefgh" not in new[5]
+    assert new[6] == texts[6]
+
+
 def test_surrogates_stay_distinct(spark):
     """Many values of a format with few forms: every collision is resolved."""
     rows = [("ip", "", f"10.0.{i // 250}.{i % 250}") for i in range(300)]
