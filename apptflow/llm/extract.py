@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from apptflow.llm.common import chunks, plain
 
 # Element names of HTML by their role, and name parts of page furniture.
-RAW = {"script", "style", "noscript", "template", "iframe", "object", "canvas", "svg", "math", "audio", "video", "head", "title", "select", "textarea"}
+RAW = {"script", "style", "iframe", "head", "title", "textarea"}
+#: elements that are left out if they are closed; their content is not raw text
+INERT = {"noscript", "template", "object", "canvas", "svg", "audio", "video", "select", "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "div",
@@ -73,6 +75,9 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_INERT = {
+    t: re.compile(rf"<(/?){t}(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.I) for t in INERT
+}
 _END_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 
@@ -86,6 +91,8 @@ class _Element:
     boilerplate: bool
     furniture: bool
     header: bool
+    #: whether it is, or is in, furniture or boilerplate of an article
+    barred: bool = False
 
 
 @dataclass
@@ -104,6 +111,19 @@ class Block:
     edges: list[tuple[int, float]] = field(default_factory=list)
 
 
+def _inert_ends(page: str, tag: str) -> dict[int, int]:
+    """Where each closed element of a tag ends, by the end of its opening tag."""
+    ends: dict[int, int] = {}
+    open_: list[int] = []
+    for m in _INERT[tag].finditer(page):
+        if m.group(1):
+            if open_:
+                ends[open_.pop()] = m.end()
+        elif not m.group(2).endswith("/"):
+            open_.append(m.end())
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; blank ones are left out."""
     out: list[Block] = []
@@ -143,6 +163,7 @@ def blocks(page: str) -> list[Block]:
                 linked -= 1
 
     size = len(page)
+    closed: dict[str, dict[int, int]] = {}
     while at < size:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -171,13 +192,18 @@ def blocks(page: str) -> list[Block]:
                     continue
                 at = end.end() if end else size
             continue
+        if tag in INERT:
+            if tag not in closed:
+                closed[tag] = _inert_ends(page, tag)
+            at = closed[tag].get(at, at)
+            continue
         if tag == "br":
             pieces.append(" ")
             continue
         if tag in BLOCK:
             flush()
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p" or stack[i].tag in CLOSES.get(tag, ()):
+                if stack[i].tag in ("p", "option") or stack[i].tag in CLOSES.get(tag, ()):
                     close(i)
                     break
                 if stack[i].tag in BLOCK and stack[i].tag not in CLOSES.get(tag, ()):
@@ -186,6 +212,7 @@ def blocks(page: str) -> list[Block]:
             continue
         up, names = stack[-1], m.group(3)
         content = up.content or tag in CONTENT
+        own_furniture = hides = False
         named, furniture = up.named, up.furniture
         boilerplate = up.boilerplate or tag in BOILERPLATE
         header = up.header or (tag == "header" and not up.content)
@@ -195,16 +222,22 @@ def blocks(page: str) -> list[Block]:
                 if key in ("class", "id", "role"):
                     # what names the whole page or article says nothing about its parts
                     if tag not in ("html", "body", "article", "main") and FURNITURE.search(value):
-                        furniture = True
+                        furniture = own_furniture = True
                     elif BODY_NAME.search(value) and not furniture:
                         named = True
                 elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or HIDDEN.search(value):
+                    hides = hides or key != "style" or bool(HIDDEN.search(value))
                     boilerplate = boilerplate or key != "style" or bool(HIDDEN.search(value))
+        # furniture of an article is none of its content, nor is an article in it
+        inside = up.content or up.named
+        barred = up.barred or (inside and (own_furniture or hides or tag in BOILERPLATE))
+        if barred:
+            content = named = False
         serial += 1
         own_section = serial if tag in SECTION or furniture != up.furniture else up.section
         if tag == "a":
             linked += 1
-        stack.append(_Element(tag, serial, own_section, content, named, boilerplate, furniture, header))
+        stack.append(_Element(tag, serial, own_section, content, named, boilerplate, furniture, header, barred))
     flush()
     return out
 

@@ -268,6 +268,26 @@ def test_main_text(wrap):
     assert extract.main_text(PAGE % (wrap % BODY)) == TEXT
 
 
+LONG = "It has sentences, as articles have. " * 12
+
+
+@pytest.mark.parametrize(
+    "inner",
+    ['<div class="comments"><p>%s</p></div>', '<p class="ad">%s</p>', '<section id="comments"><article><p>%s</p></article></section>', "<aside><p>%s</p></aside>", '<div class="notice">%s</div>'],
+)
+@pytest.mark.parametrize("wrap", ['<article class="post">%s</article>', '<main><div class="content">%s</div></main>', '<div class="story">%s</div>'])
+def test_long_furniture_inside_an_article_goes(wrap, inner):
+    body = f"<p>First. {LONG}</p>{inner % ('Buy now. ' + LONG)}<p>Last. {LONG}</p>"
+    assert extract.main_text(wrap % body) == f"First. {LONG}".strip() + "\n" + f"Last. {LONG}".strip()
+
+
+@pytest.mark.parametrize("tag", ["object", "canvas", "svg", "audio", "video", "select", "template"])
+def test_an_unclosed_element_does_not_end_the_page(tag):
+    rest = f"<p>After. {LONG}</p><{tag}>gone</{tag}><p>Formula <math><mi>x</mi><annotation>no</annotation></math>. {LONG}</p>"
+    want = f"After. {LONG}".strip() + "\n" + f"Formula x. {LONG}".strip()
+    assert extract.main_text(f"<article><{tag}>{rest}</article>") == want
+
+
 def test_minimum_cut_equals_brute_force():
     rng = random.Random(5)
     for _ in range(200):
