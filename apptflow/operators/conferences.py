@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from apptflow import config
 from apptflow.functions.text import label, owner_name, topic_phone
+from apptflow.operators.chains import chain_positions
+from apptflow.operators.joins import smallest_per_key
 
 RIGHTS = (
     "chat_send",
@@ -92,6 +94,35 @@ def user_snapshot(pages: DataFrame) -> DataFrame:
     )
 
 
+def page_chain(pages: DataFrame, first_page: int = 0) -> DataFrame:
+    """Where each landed page stands in the list the service returns page by page.
+
+    Columns: page_id, next_page_id, place (from 0, null where following ``next_page_id``
+    from the first page does not lead), part, on_cycle; see ``chains.chain_positions``.
+    """
+    next_page = F.from_json("body", "struct<next_page_id: bigint>")["next_page_id"]
+    links = pages.select(F.col("page_id").alias("id"), next_page.alias("next_id"))
+    return chain_positions(links, first_page).select(
+        F.col("id").alias("page_id"), F.col("next_id").alias("next_page_id"), "place", "part", "on_cycle"
+    )
+
+
+def user_chain_positions(pages: DataFrame, first_page: int = 0) -> DataFrame:
+    """Users with their position in the order the service lists them.
+
+    The service hands out pages along ``next_page_id``, so that, and not the page's
+    number, gives the position. Users on pages that the chain does not reach have a null
+    position: they come last wherever positions are ranked. Of a page that landed twice
+    one body counts.
+    """
+    landed = smallest_per_key(pages.select("page_id", "body").where(F.col("page_id").isNotNull()), ["page_id"])
+    places = page_chain(landed, first_page).select("page_id", "place")
+    parsed = landed.select("page_id", F.from_json("body", USER_PAGE).alias("p")).join(places, "page_id")
+    return parsed.select("place", F.posexplode("p.users").alias("n", "u")).select(
+        (F.shiftleft(F.col("place"), PAGE_BITS) + F.col("n")).alias("list_pos"), "u.*"
+    )
+
+
 def user_snapshot_completeness(pages: DataFrame, first_page: int = 0) -> DataFrame:
     """One row: pages landed, whether the first one is missing, pages unreadable,
     pages some other page points to that are missing, and pages that end the chain."""
