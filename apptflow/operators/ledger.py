@@ -34,6 +34,28 @@ def unsent_notifications(cands: DataFrame, ledger: DataFrame, since: datetime |
     return few.join(known, LEDGER_KEY, "left_anti")
 
 
+def with_mark(df: DataFrame) -> DataFrame:
+    """Adds ``mark``, kind and key as one text.
+
+    A run's kind is often a constant, which the planner takes out of a join on two columns;
+    what is left of it no longer fits buckets of both.
+    """
+    return df.withColumn("mark", F.concat("kind", F.lit("\n"), "key"))
+
+
+def unsent_in_bulk(cands: DataFrame, ledger: DataFrame, since: datetime | None = None) -> DataFrame:
+    """Candidates not in the ledger, when there are about as many as marks.
+
+    Nothing is stored and nothing narrowed. A ledger in buckets (``sinks.bucket_ledger``)
+    stays where it lies: only the candidates move, to its buckets.
+    """
+    if since is not None:
+        ledger = since_day(ledger, since)
+    if "mark" not in ledger.columns:
+        ledger = with_mark(ledger)
+    return with_mark(cands).join(ledger.select("mark"), "mark", "left_anti").select(*cands.columns)
+
+
 def since_day(ledger: DataFrame, since: datetime) -> DataFrame:
     """Marks from ``since`` on; where there is a day column, earlier folders are skipped."""
     if "sent_day" in ledger.columns:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from apptflow.config import TEMPLATES
 from apptflow.functions.contacts import contact_dimension, msisdn
 from apptflow.functions.timeexpr import datetime_text, parse_local, send_time_text, time_text
+from apptflow.operators.counts import RunCounts
 from apptflow.operators.joins import smallest_per_key
-from apptflow.operators.ledger import LEDGER_KEY, unsent_notifications
+from apptflow.operators.ledger import LEDGER_KEY, unsent_in_bulk, unsent_notifications
 
 CANDIDATE_COLUMNS = {
     "schedid": "bigint",
@@ -91,13 +92,25 @@ def outbox_messages(
     templates: Mapping[str, str] = TEMPLATES,
     send_at: Column | None = None,
     since: datetime | None = None,
+    counts: RunCounts | None = None,
+    bulk: bool = False,
 ) -> DataFrame:
     """Sendable, not yet notified candidates as messages.
 
     ``send_at`` delays delivery (an expression over the candidate columns and
     ``start_at``); without it messages go out at once and ``send_time`` is null.
+    ``counts`` counts each kind's candidates and those that cannot be sent, by reason, as
+    they are written. With ``bulk`` there are as many candidates as marks: the ledger is
+    joined where it lies (``ledger.unsent_in_bulk``).
     """
-    ready = with_skip_reason(event_candidates(by_kind)).where(F.col("skip_reason").isNull())
+    ready = with_skip_reason(event_candidates(by_kind))
+    if counts is not None:
+        own = {kind: F.col("kind") == kind for kind in by_kind}
+        counters = {f"{k}: candidates": c for k, c in own.items()}
+        for reason in SKIP_REASONS:
+            counters |= {f"{k}: {reason}": c & (F.col("skip_reason") == reason) for k, c in own.items()}
+        ready = counts.watch(ready, "outbox", **counters)
+    ready = ready.where(F.col("skip_reason").isNull())
     delayed = F.lit(None).cast("string") if send_at is None else send_time_text(send_at)
     messages = ready.select(
         "kind",
@@ -107,4 +120,6 @@ def outbox_messages(
         render(F.col("kind"), F.col("start_at"), templates).alias("text"),
         delayed.alias("send_time"),
     )
+    if bulk:
+        return first_per_key(unsent_in_bulk(messages, ledger, since))
     return first_per_key(unsent_notifications(messages, ledger, since))

@@ -1,19 +1,27 @@
-"""Outbox, log and ledger tables on a shared file system."""
+"""Outbox and log tables on a shared file system, and the ledger's (``ledgers``)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptflow.operators.joins import smallest_per_key
-from apptflow.operators.ledger import LEDGER_KEY
+from apptflow.operators.ledger import LEDGER_KEY, with_mark
 from apptflow.session import written_once
+from apptflow.sources.ledgers import LEDGER_SCHEMA, append_ledger, read_ledger
 
-LEDGER_SCHEMA = "kind string, key string, sent_at timestamp_ntz"
+__all__ = [
+    "LEDGER_SCHEMA",
+    "append_ledger",
+    "bucket_ledger",
+    "read_ledger",
+    "read_or_empty",
+    "unsent_in_outbox",
+    "write_run",
+]
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -29,23 +37,6 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_ledger(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The ledger with its day column; ``since`` skips the folders of earlier days."""
-    ledger = read_or_empty(spark, path, LEDGER_SCHEMA + ", sent_day date")
-    if since is not None:
-        ledger = ledger.where(F.col("sent_day") >= F.lit(since.date()))
-    return ledger
-
-
-def append_ledger(marks: DataFrame, path: str, run: str | int) -> None:
-    """A run's marks in a folder of its own, one folder per day in it.
-
-    A repeated run replaces its folder, also if it has no marks this time.
-    """
-    days = marks.select(*LEDGER_KEY, "sent_at", F.to_date("sent_at").alias("sent_day"))
-    days.write.mode("overwrite").partitionBy("sent_day").parquet(f"{path}/run_id={run}")
-
-
 def write_run(df: DataFrame, path: str, run: str | int, run_col: str = "run_id") -> None:
     """Writes one run's rows to its own folder and replaces it when repeated.
 
@@ -55,6 +46,18 @@ def write_run(df: DataFrame, path: str, run: str | int, run_col: str = "run_id")
     df.write.mode("overwrite").parquet(f"{path}/{run_col}={run}")
 
 
+def bucket_ledger(ledger: DataFrame, table: str, path: str, buckets: int = 64) -> DataFrame:
+    """The ledger as an external table in sorted buckets of its marks, read back.
+
+    ``ledger.unsent_in_bulk`` joins it without an exchange of its rows. They are dealt to
+    their buckets first, so there is one file per bucket, not one per task and bucket. Take
+    as many buckets as the jobs that join it have shuffle partitions, or more.
+    """
+    rows = with_mark(ledger).repartition(buckets, "mark")
+    rows.write.bucketBy(buckets, "mark").sortBy("mark").mode("overwrite").option("path", path).saveAsTable(table)
+    return ledger.sparkSession.table(table)
+
+
 def unsent_in_outbox(
     messages: DataFrame,
     outbox: DataFrame,
