@@ -14,6 +14,7 @@ from apptflow.functions.text import blank_to_null, label
 from apptflow.functions.timeexpr import minute_floor, ntz, shift_minutes, start_ts, time_text
 from apptflow.operators.joins import Everything, Selection, left_lookup, smallest_per_key
 from apptflow.operators.ledger import unsent_notifications
+from apptflow.operators.ranges import points_in_ranges
 from apptflow.operators.services import ServiceList, with_listed_service
 
 MONEY = "decimal(18,2)"
@@ -83,23 +84,25 @@ def valid_agreements(
 
     A patient's list for a day is built once per (patient, day), not once per
     appointment, so a patient with many appointments does not multiply the
-    contracts.  The list of a patient and day is one cell of the result.
-    Appointments without a valid contract have no row.
+    contracts.  Days meet only contracts that are valid on them, and a patient with very
+    many of both is spread over blocks of days (``ranges``).  The list of a patient and
+    day is one cell of the result.  Appointments without a valid contract have no row.
     """
     days = schedule.select("pcode", "workdate").dropna().distinct()
     live = agreements.where(F.coalesce(F.col("isdeleted"), F.lit(0)) == 0).select(
         "pcode",
         "agreement",
-        F.col("bdate").cast("date").alias("from_day"),
-        F.coalesce("datecancel", "fdate").cast("date").alias("to_day"),
+        F.unix_date(F.col("bdate").cast("date")).alias("from_day"),
+        F.unix_date(F.coalesce("datecancel", "fdate").cast("date")).alias("to_day"),
     )
-    # contracts that end before a patient's first day or begin after the last one
-    # never meet the days
-    reach = days.groupBy("pcode").agg(F.min("workdate").alias("first_day"), F.max("workdate").alias("last_day"))
-    live = selection.narrow(live, pcode="pcode").join(reach, "pcode")
-    live = live.where((F.col("from_day") <= F.col("last_day")) & (F.col("to_day") >= F.col("first_day")))
-    valid = days.join(live.drop("first_day", "last_day"), "pcode").where(
-        F.col("workdate").between(F.col("from_day"), F.col("to_day"))
+    valid = points_in_ranges(
+        days.withColumn("day", F.unix_date("workdate")),
+        selection.narrow(live, pcode="pcode"),
+        ["pcode"],
+        "day",
+        "from_day",
+        "to_day",
+        stored=selection is Everything,  # the rows a poll picks are few
     )
     lists = (
         valid.where(F.col("agreement").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -73,6 +73,66 @@ def slot_grid(roster: DataFrame, schedule: DataFrame, slot_min: int = 30, visit_
     )
 
 
+def free_gaps(roster: DataFrame, schedule: DataFrame, visit_min: int = 30) -> DataFrame:
+    """The stretches of every shift that no visit covers, whatever their length.
+
+    Visits may overlap, touch and reach over the ends of a shift. Equal visits of a doctor's
+    day count once before they are ordered, so a day's task has at most as many rows as the
+    day has minutes. Each distinct shift of a doctor's day has its own gaps; a shift without
+    visits is one gap, one that ends before it begins has none.
+    """
+    begin = start_ts(F.col("workdate"), F.col("bhour"), F.col("bmin"))
+    visits = schedule.select("dcode", F.col("workdate").alias("wdate"), begin.alias("begin")).dropna().distinct()
+    visits = visits.withColumn("end", shift_minutes(F.col("begin"), visit_min))
+    in_day = W.partitionBy("dcode", "wdate").orderBy("begin")
+    # what is covered reaches to the latest end so far, and the next visit may begin within it
+    visits = visits.select(
+        "dcode",
+        "wdate",
+        "begin",
+        F.row_number().over(in_day).alias("n"),
+        F.max("end").over(in_day.rowsBetween(W.unboundedPreceding, 0)).alias("reach"),
+        F.lead("begin").over(in_day).alias("next"),
+    )
+    moment = F.lit(None).cast("timestamp_ntz")
+    before = F.when(F.col("n") == 1, F.struct(moment.alias("open"), F.col("begin").alias("shut")))
+    open_after = F.col("next").isNull() | (F.col("next") > F.col("reach"))
+    after = F.when(open_after, F.struct(F.col("reach").alias("open"), F.col("next").alias("shut")))
+    gaps = visits.select("dcode", "wdate", F.inline(F.array_compact(F.array(before, after))))
+    shifts = with_shift(roster).select("dcode", "wdate", "shift_begin", "shift_end").distinct()
+    # null ends of a gap are open: the shift's own ends count
+    return (
+        shifts.join(gaps, ["dcode", "wdate"], "left")
+        .withColumn("gap_begin", F.greatest("shift_begin", "open"))
+        .withColumn("gap_end", F.least("shift_end", "shut"))
+        .where(F.col("gap_begin") < F.col("gap_end"))
+        .select("dcode", "wdate", "shift_begin", "gap_begin", "gap_end")
+    )
+
+
+#: the same rule for SQL, as a table function to be called laterally
+FREE_GAPS_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION free_gaps(
+    shift_begin TIMESTAMP_NTZ, shift_end TIMESTAMP_NTZ,
+    visits ARRAY<STRUCT<begin: TIMESTAMP_NTZ, end: TIMESTAMP_NTZ>>)
+RETURNS TABLE (gap_begin TIMESTAMP_NTZ, gap_end TIMESTAMP_NTZ)
+RETURN SELECT g.gap_begin, g.gap_end FROM (SELECT explode(filter(
+    transform(sequence(0, size(visits)), i -> named_struct(
+        'gap_begin', greatest(shift_begin, array_max(transform(slice(array_sort(visits), 1, i), v -> v.end))),
+        'gap_end', least(shift_end, get(array_sort(visits), i).begin))),
+    g -> g.gap_begin < g.gap_end)) AS g)
+"""
+
+
+def register_free_gaps(spark: SparkSession) -> None:
+    """Makes ``free_gaps(shift_begin, shift_end, visits)`` known to the session's SQL.
+
+    ``SELECT s.*, g.* FROM shifts s, LATERAL free_gaps(s.shift_begin, s.shift_end, s.visits) g``
+    gives the gaps of shifts that carry their visits in a column (null counts as none).
+    """
+    spark.sql(FREE_GAPS_SQL)
+
+
 def busy_intervals(roster: DataFrame, schedule: DataFrame, as_of: datetime, visit_min: int = 30) -> DataFrame:
     """Today's visits on working roster rows, one interval each."""
     today = F.lit(as_of.date())
