@@ -93,6 +93,12 @@ def written_once(df: DataFrame, name: str = "rows") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a folder and what is in it, if it is there."""
+    fs, path = _located(spark, folder)
+    fs.delete(path, True)
+
+
 def _located(spark: SparkSession, folder: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path

@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from apptflow import config
 from apptflow.operators.monitoring import failure_runs, open_failures
-from apptflow.sources.sinks import read_or_empty, write_run
+from apptflow.session import remove_folder
+from apptflow.sources.sinks import write_run
 
 
 def start_failure_alerts(
@@ -29,14 +30,20 @@ def start_failure_alerts(
 
     A success re-arms the alert.  Each micro-batch runs the batch job, so no source is
     one task; the failures open before it come from the batch before it, the only
-    state that is read.  A batch should hold later rows than the one before.  Writes ``path``/alerts and ``path``/open (failures open after each batch).
-    A repeated batch starts from the state before it and replaces its folders.
+    state that is read.  A batch should hold later rows than the one before.  Writes
+    ``path``/alerts and ``path``/open (failures open after each batch).
+    A repeated batch starts from the state before it and replaces its folders. Only the
+    first batch may be without a state before it: a folder that was lost fails the batch
+    instead of counting from 0. States that no repeat can ask for are removed.
     """
     source_type = events.schema[source_col].dataType.simpleString()
     state_schema = f"source {source_type}, failures bigint"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        carry = read_or_empty(batch.sparkSession, f"{path}/open/run_id={batch_id - 1}", state_schema)
+        spark = batch.sparkSession
+        carry = None
+        if batch_id > 0:
+            carry = spark.read.schema(state_schema).parquet(f"{path}/open/run_id={batch_id - 1}")
         runs = failure_runs(
             batch, source_col, ts_col, is_failure, thresholds, default_threshold, tie_col, carry=carry
         )
@@ -44,6 +51,8 @@ def start_failure_alerts(
         write_run(alerts, f"{path}/alerts", batch_id)
         still_open = open_failures(batch, source_col, ts_col, is_failure, tie_col, carry=carry)
         write_run(still_open, f"{path}/open", batch_id)
+        # a restart repeats the last batch at most, which reads the state before it
+        remove_folder(spark, f"{path}/open/run_id={batch_id - 2}")
 
     writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=period) if period else writer.trigger(availableNow=True)
