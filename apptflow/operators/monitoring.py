@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from apptflow import config
 from apptflow.functions.text import delivery_code, delivery_time, label
 from apptflow.functions.timeexpr import ntz
+from apptflow.operators.counts import RunCounts
 
 # --- Consecutive failures ---------------------------------------------------------
 
@@ -185,9 +186,28 @@ def delivery_states(
     )
 
 
-def delivery_report(reports: DataFrame, states: Mapping[str, str] = config.DELIVERY_STATES) -> DataFrame:
-    """The latest state per message (``smsid``, ``reported_at``, ``content``)."""
+def delivery_report(
+    reports: DataFrame, states: Mapping[str, str] = config.DELIVERY_STATES, counts: RunCounts | None = None
+) -> DataFrame:
+    """The latest state per message (``smsid``, ``reported_at``, ``content``).
+
+    ``counts`` counts reports that cannot be read (``no code``, ``unknown code``) and those
+    whose time is given but cannot be read (``bad time``) as the report is written.
+    """
     parsed = delivery_states(reports, states)
+    if counts is not None:
+        code, known = F.col("state_code"), F.col("state") != "error"
+        blank = code.isNull() | (code == "")
+        stamp = F.split_part(F.replace("content", F.lit("\r\n"), F.lit("")), F.lit(" "), F.lit(2))
+        parsed = counts.watch(
+            parsed,
+            "delivery",
+            **{
+                "no code": blank,
+                "unknown code": ~blank & ~known,
+                "bad time": known & (stamp != "") & F.col("delivered_at").isNull(),
+            },
+        )
     last = parsed.groupBy("smsid").agg(
         F.max(F.struct("reported_at", "state_code", "state", "delivered_at", "detail")).alias("r")
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptflow.operators import payments
@@ -22,6 +22,15 @@ SURVEY_AFTERNOON = datetime(2024, 1, 15, 16, 30, 0)
 USERS_PER_PAGE = 40
 
 
+def page_number(k: Column) -> Column:
+    """A number for page k; no two of the first million pages share one."""
+    return k * 7919 % 1000003 + 10
+
+
+#: the number of page 0
+FIRST_SHUFFLED_PAGE = 10
+
+
 class Clinic:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -417,3 +426,16 @@ class Clinic:
         return pages.select(
             "page_id", F.to_json(F.struct(next_page.alias("next_page_id"), "users")).alias("body")
         )
+
+    @property
+    def shuffled_user_pages(self) -> DataFrame:
+        """The same pages under numbers that are in no order: page k is ``page_number(k)``."""
+        renamed = self.user_pages.select(
+            page_number(F.col("page_id")).alias("page_id"),
+            F.get_json_object("body", "$.next_page_id").cast("bigint").alias("next"),
+            F.from_json("body", "struct<users: array<struct<id: string, uid: string, status: int>>>").alias("p"),
+        )
+        next_page = F.when(F.col("next") == -1, -1).otherwise(page_number(F.col("next")))
+        return renamed.select(
+            "page_id", F.to_json(F.struct(next_page.alias("next_page_id"), "p.users")).alias("body")
+        )

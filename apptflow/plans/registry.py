@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptflow.functions import contacts
@@ -17,8 +18,11 @@ from apptflow.operators import payments as pa
 from apptflow.operators import services as sv
 from apptflow.operators import survey as su
 from apptflow.operators import workload as wl
+from apptflow.operators.counts import RunCounts
 from apptflow.plans import runs
-from apptflow.plans.clinic import AS_OF, SURVEY_AFTERNOON, SURVEY_MORNING, Clinic
+from apptflow.plans.clinic import AS_OF, FIRST_SHUFFLED_PAGE, SURVEY_AFTERNOON, SURVEY_MORNING, Clinic, page_number
+from apptflow.session import checkpoint_ready, written_once
+from apptflow.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,12 +155,37 @@ def outbox_messages(c: Clinic) -> DataFrame:
     return runs.appointment_run(c.appointment_tables, c.sent("new"), AS_OF, c.online_services)
 
 
+def _delayed(c: Clinic, ledger: DataFrame, bulk: bool = False) -> DataFrame:
+    whole = ap.online_appointments(c.schedule).join(c.clients, "pcode", "left")
+    by_kind = {"new": ap.with_date_text(whole).withColumnRenamed("fullname", "recipient")}
+    return ob.outbox_messages(by_kind, ledger, send_at=F.expr("start_at - INTERVAL '1' HOUR"), bulk=bulk)
+
+
 @query
 def outbox_all_appointments(c: Clinic) -> DataFrame:
     """Every online appointment as a delayed message one hour before its start."""
-    whole = ap.online_appointments(c.schedule).join(c.clients, "pcode", "left")
-    by_kind = {"new": ap.with_date_text(whole).withColumnRenamed("fullname", "recipient")}
-    return ob.outbox_messages(by_kind, c.sent("new"), send_at=F.expr("start_at - INTERVAL '1' HOUR"))
+    return _delayed(c, c.sent("new"))
+
+
+@query
+def outbox_all_appointments_bulk(c: Clinic) -> DataFrame:
+    """The same with a ledger that lies in buckets of its key and is joined there."""
+    if not checkpoint_ready(c.spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    name = f"ledger_{uuid.uuid4().hex}"
+    folder = f"{c.spark.sparkContext.getCheckpointDir()}/{name}"
+    return _delayed(c, sinks.bucket_ledger(c.sent("new"), name, folder), bulk=True)
+
+
+@query
+def observed_run_counts(c: Clinic) -> DataFrame:
+    """What a poll counts while its messages are written: candidates, and why some are skipped."""
+    counts = RunCounts()
+    poll = runs.appointment_run(c.appointment_tables, c.sent("new"), AS_OF, c.online_services, counts=counts)
+    written_once(poll, "outbox")
+    return counts.table(c.spark).where("counter <> 'rows'").selectExpr(
+        "split_part(counter, ': ', 1) AS kind", "split_part(counter, ': ', 2) AS reason", "n"
+    )
 
 
 @query
@@ -270,6 +299,11 @@ def slot_grid(c: Clinic) -> DataFrame:
     return wl.slot_grid(c.roster, c.schedule)
 
 
+@query
+def free_gaps(c: Clinic) -> DataFrame:
+    return wl.free_gaps(c.roster, c.schedule)
+
+
 @query
 def busy_intervals(c: Clinic) -> DataFrame:
     return wl.busy_intervals(c.roster, c.schedule, AS_OF)
@@ -400,6 +434,14 @@ def delivery_report(c: Clinic) -> DataFrame:
     return mo.delivery_report(c.delivery)
 
 
+@query
+def delivery_rejects(c: Clinic) -> DataFrame:
+    """What is counted while the report is written: reports, and those that cannot be read."""
+    counts = RunCounts()
+    written_once(mo.delivery_report(c.delivery, counts=counts), "report")
+    return counts.table(c.spark).select("counter", "n")
+
+
 @query
 def delivery_rates(c: Clinic) -> DataFrame:
     return mo.delivery_rates(c.delivery)
@@ -438,5 +480,45 @@ def user_snapshot_completeness(c: Clinic) -> DataFrame:
 @query
 def disconnect_plan_from_pages(c: Clinic) -> DataFrame:
     """The release plan for users as they are listed page by page."""
-    users = cf.user_snapshot(c.user_pages).withColumn("userid", F.col("id"))
+    users = cf.user_chain_positions(c.user_pages).withColumn("userid", F.col("id"))
+    return wl.disconnect_plan(users, _load(c), USER_CAP, cf.POSITIONS_PER_BLOCK)
+
+
+def _relinked(pages: DataFrame, at: Column, to: Column) -> DataFrame:
+    """``pages`` whose row ``at`` names page ``to`` as the next one."""
+    body = F.when(
+        at, F.regexp_replace("body", F.lit('"next_page_id":-?[0-9]+'), F.concat(F.lit('"next_page_id":'), to))
+    ).otherwise(F.col("body"))
+    return pages.withColumn("body", body)
+
+
+@query
+def user_chain_positions(c: Clinic) -> DataFrame:
+    """Users of pages whose numbers say nothing about their order."""
+    users = cf.user_chain_positions(c.shuffled_user_pages, FIRST_SHUFFLED_PAGE)
+    return users.select("list_pos", "id", "uid", "status")
+
+
+@query
+def page_chain_cycle(c: Clinic) -> DataFrame:
+    """The last page names page 1 again."""
+    pages = c.shuffled_user_pages
+    last = F.col("body").contains('"next_page_id":-1,')
+    return cf.page_chain(_relinked(pages, last, page_number(F.lit(1))), FIRST_SHUFFLED_PAGE)
+
+
+@query
+def page_chain_parts(c: Clinic) -> DataFrame:
+    """Every tenth page from page 3 on never arrived, and the last page names itself."""
+    pages = c.shuffled_user_pages
+    lost = c.user_pages.where("page_id % 10 = 3").select(page_number(F.col("page_id")).alias("page_id"))
+    landed = pages.join(lost, "page_id", "left_anti")
+    last = F.col("body").contains('"next_page_id":-1,')
+    return cf.page_chain(_relinked(landed, last, F.col("page_id")), FIRST_SHUFFLED_PAGE)
+
+
+@query
+def disconnect_plan_shuffled_pages(c: Clinic) -> DataFrame:
+    """The release plan in list order, whatever the numbers of the pages are."""
+    users = cf.user_chain_positions(c.shuffled_user_pages, FIRST_SHUFFLED_PAGE).withColumn("userid", F.col("id"))
     return wl.disconnect_plan(users, _load(c), USER_CAP, cf.POSITIONS_PER_BLOCK)

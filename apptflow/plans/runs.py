@@ -14,6 +14,7 @@ from apptflow.operators import outbox as ob
 from apptflow.operators import payments as pa
 from apptflow.operators import survey as su
 from apptflow.operators import workload as wl
+from apptflow.operators.counts import RunCounts
 from apptflow.operators.services import ServiceList
 from apptflow.session import written_once
 from apptflow.sources.sinks import append_ledger, write_run
@@ -69,9 +70,11 @@ def appointment_run(
     as_of: datetime,
     services: ServiceList = config.ONLINE_SERVICES,
     templates: Mapping[str, str] = config.TEMPLATES,
+    counts: RunCounts | None = None,
 ) -> DataFrame:
-    """The outbox of one poll of the schedule."""
-    return ob.outbox_messages(event_result_sets(t, as_of, services), ledger, templates, since=_since(as_of))
+    """The outbox of one poll of the schedule; ``counts`` is filled when it is stored."""
+    by_kind = event_result_sets(t, as_of, services)
+    return ob.outbox_messages(by_kind, ledger, templates, since=_since(as_of), counts=counts)
 
 
 def payment_run(
