@@ -75,14 +75,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8, ends[-1] - ends[0], ends[0]), ends - ends[0]
 
 
-def chunks(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of about CHUNK_BYTES of text each; one row at least."""
+def chunks(
+    batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes of text each; one row at least."""
     if not batch.num_rows:
         return
     ends = text_bytes(plain(batch.column(column)))[1]
     at = 0
     while at < batch.num_rows:
-        to = int(np.searchsorted(ends, ends[at] + CHUNK_BYTES, "right")) - 1
+        to = int(np.searchsorted(ends, ends[at] + size, "right")) - 1
         to = min(max(to, at + 1), batch.num_rows)
         yield batch.slice(at, to - at)
         at = to

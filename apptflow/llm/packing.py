@@ -10,24 +10,28 @@ place from its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from apptflow.llm.common import chunks, keyed, plain, stored
+from apptflow.llm.common import chunks, keyed, plain, stored, text_bytes
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-#: chunks of text whose ids a Python worker remembers, and the longest it remembers
-MEMO_WORDS = 1_200_000
-MEMO_BYTES = 48
+#: parts of texts whose ids a Python worker remembers, and their bytes
+MEMO_PARTS = 1_000_000
+MEMO_BYTES = 48 << 20
+#: text that is tokenised at once
+CHUNK_BYTES = 4 << 20
 #: a length's pieces are ranked in so many independent parts
 RANK_PARTS = 256
 SHIFT = 44
@@ -35,59 +39,150 @@ SHIFT = 44
 
 # ------------------------------------------------------------------- tokenising
 
+# bytes by what they do to a token: white space parts words; runs of letters, single digits
+# and runs of other signs are tokens' borders; the rest leaves its whole word to the tokenizer
+_GAP, _LETTER, _DIGIT, _OTHER, _WHOLE = range(5)
+_KIND = np.full(256, _WHOLE, np.uint8)
+_KIND[33:127] = _OTHER
+_KIND[[9, 10, 11, 12, 13, 32]] = _GAP
+_KIND[48:58] = _DIGIT
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[[ord("'"), ord("<")]] = _WHOLE  # endings such as 's, and special tokens
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# what is cut out of words below: no byte of a word that is left whole
+_CUT = re.compile(rb"(?:[!-&(-;=-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level tokenizers write for each byte: itself if it can be seen
+    in Latin-1, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {b: b for b in seen} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+def parts_of(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Parts of texts that are tokenised each by itself, and the parts before each text.
+
+    Texts are joined in ``data``; text k begins at ``ends[k]``. Parts are lower-cased, but
+    for words that are left whole.
+    """
+    n = len(data)
+    kind, low = _KIND[data], _LOWER[data]
+    # letters of Latin-1 with two bytes: all but the two signs among them
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    follow = data[lead + 1]
+    lead = lead[((follow & 0xC0) == 0x80) & (follow != 0x97) & (follow != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    upper = lead[data[lead + 1] <= 0x9E] + 1
+    low[upper] += 0x20
+
+    held = kind != _GAP
+    first = held.copy()
+    first[1:] &= ~held[:-1]
+    edge = ends[(ends > 0) & (ends < n)]
+    first[edge] = held[edge]
+    begin = first.copy()
+    begin[1:] |= held[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    if (kind == _WHOLE).any():
+        words = np.flatnonzero(first)
+        whole = np.zeros(n, bool)
+        whole[held] = np.repeat(
+            np.logical_or.reduceat(kind == _WHOLE, words),
+            np.diff(np.append(np.searchsorted(np.flatnonzero(held), words), held.sum())),
+        )
+        begin &= ~whole | first
+        low = np.where(whole, data, low)
+    place = np.cumsum(held) - held
+    offsets = np.append(place[begin], held.sum()).astype(np.int64)
+    parts = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(low[held])]
+    )
+    return parts, np.searchsorted(np.flatnonzero(begin), ends)
+
 
 class Tokens:
-    """Token ids of texts, as little-endian 32-bit values.
+    """Token ids of texts, as the tokenizer gives them without special tokens of its own.
 
-    The tokenizer never joins text across a space or line feed, so the ids of a text
-    are those of its parts between them, and a part's ids can be remembered.
+    White space always parts tokens, and so do the borders between letters, digits and other
+    signs: the ids of a text are those of its parts. Parts are numbered by text in Arrow,
+    the ids of those seen before are remembered in flat arrays, and only new ones are
+    tokenised. Parts of letters of Latin-1, digits and plain signs go to the tokenizer's
+    model directly; words with anything else go to the tokenizer as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.memo: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
-        new = list({w for p in parts for w in p if w not in memo})
-        cut = [_base(w) for w in new]
-        bases = list({b for b, _ in cut if b not in memo} | {e for _, e in cut if e not in memo})
-        memo |= dict(zip(bases, self._ids(bases), strict=True))
-        memo |= {w: memo[b] + memo[e] for w, (b, e) in zip(new, cut, strict=True)}
-        out = [b"".join(map(memo.__getitem__, p)) for p in parts]
-        for w in {w for w in (*new, *bases) if len(w) > MEMO_BYTES}:
-            del memo[w]
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.parts = pa.array([], pa.large_binary())
+        self.ids = np.zeros(0, np.uint32)
+        self.cuts = np.zeros(1, np.int64)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text column from ``plain``, all in one array, and where each text begins."""
+        data, ends = text_bytes(column)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
+        parts, before = parts_of(data, ends)
+        if len(self.parts) > MEMO_PARTS or self.parts.nbytes > MEMO_BYTES:
+            self._forget()
+        coded = parts.dictionary_encode()
+        part = self._known(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        size = self.cuts[part + 1] - self.cuts[part]
+        done = np.cumsum(size)
+        at = np.arange(done[-1] if len(done) else 0)
+        at += np.repeat(self.cuts[part] - done + size, size)
+        return self.ids[at], np.append(0, done)[before]
+
+    def _forget(self) -> None:
+        """Drops the older half of the parts."""
+        half = len(self.parts) // 2
+        # a copy: a slice would keep all of them
+        self.parts = self.parts.take(pa.array(np.arange(half, len(self.parts))))
+        self.ids = self.ids[self.cuts[half] :].copy()
+        self.cuts = self.cuts[half:] - self.cuts[half]
+
+    def _known(self, parts: pa.Array) -> np.ndarray:
+        """The number of each part among the remembered ones, to which new ones are added."""
+        place = pc.index_in(parts, value_set=self.parts)
+        new = pc.is_null(place).to_numpy(zero_copy_only=False)
+        out = place.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if new.any():
+            fresh = parts.filter(pa.array(new))
+            ids = self._tokenised(fresh.to_pylist())
+            out[new] = len(self.parts) + np.arange(len(ids))
+            self.parts = pa.concat_arrays([self.parts, fresh])
+            self.ids = np.concatenate([self.ids, np.array([i for own in ids for i in own], np.uint32)])
+            sizes = np.cumsum(np.array([len(own) for own in ids], np.int64))
+            self.cuts = np.concatenate([self.cuts, self.cuts[-1] + sizes])
         return out
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each word; many short words share one call."""
-        out: list[bytes] = []
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            done = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(done.ids, "<u4")
-            ends = np.cumsum([len(w) + 1 for w in part])
-            starts = np.fromiter((o[0] for o in done.offsets), np.int64, len(ids))
-            cut = np.searchsorted(starts, ends).tolist()
-            raw = ids.tobytes()
-            out += [raw[4 * a : 4 * b] for a, b in zip([0, *cut], cut, strict=False)]
+    def _tokenised(self, parts: list[bytes]) -> list[list[int]]:
+        letters, tokenize = self.letters, self.model.tokenize
+        whole = [k for k, p in enumerate(parts) if not _CUT.fullmatch(p)]
+        out: list = [
+            [t.id for t in tokenize(p.decode("latin-1").translate(letters))] if _CUT.fullmatch(p) else None
+            for p in parts
+        ]
+        for k, ids in zip(whole, self._words([parts[k].decode() for k in whole]), strict=True):
+            out[k] = ids
         return out
 
-
-def _base(word: str) -> tuple[str, str]:
-    """Parts with the ids of the word; the tokenizer folds case and parts such signs."""
-    if not word.isascii():
-        return word, ""
-    word = word.lower()
-    if word[-1:] in (".", ",") and word[:-1].isalpha():
-        return word[:-1], word[-1]
-    return word, ""
+    def _words(self, words: list[str]) -> list[list[int]]:
+        """Ids of words that are left whole; many share one call."""
+        out: list[list[int]] = []
+        for at in range(0, len(words), 2000):
+            group = words[at : at + 2000]
+            done = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for w in group])
+            starts = np.fromiter((o[0] for o in done.offsets), np.int64, len(done.ids))
+            cut = [0, *np.searchsorted(starts, ends).tolist()]
+            out += [done.ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+        return out
 
 
 _tokens: dict[str, Tokens] = {}
@@ -110,33 +205,30 @@ def pieces(
     docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID
 ) -> DataFrame:
     """(doc_id, _th, piece, start, length, ids_crc32): what has to be packed."""
-    end = np.array([end_id], "<u4").tobytes()
-    step = 4 * capacity
     names = ["doc_id", "_th", "piece", "start", "length", "ids_crc32"]
 
     def batch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokens(tokenizer_path(tokenizer))
         for whole in parts:
-            for part in chunks(whole):
-                texts = plain(part.column("text")).cast(pa.large_string()).to_pylist()
-                row, start, length, crc = [], [], [], []
-                for k, ids in enumerate(coder.encode(texts)):
-                    ids += end
-                    for at in range(0, len(ids), step):
-                        cut = ids[at : at + step]
-                        row.append(k)
-                        start.append(at // 4)
-                        length.append(len(cut) // 4)
-                        crc.append(zlib.crc32(cut))
-                take = pa.array(row, pa.int64())
-                start = np.array(start, np.int64)
+            for part in chunks(whole, size=CHUNK_BYTES):
+                ids, begin = coder.encode(plain(part.column("text")))
+                ids = np.insert(ids, begin[1:], end_id).astype("<u4", copy=False)
+                begin = begin + np.arange(len(begin))
+                count = -(-np.diff(begin) // capacity)
+                take = np.repeat(np.arange(part.num_rows), count)
+                piece = np.arange(len(take)) - np.repeat(np.cumsum(count) - count, count)
+                start = piece * capacity
+                low = begin[take] + start
+                high = np.minimum(low + capacity, begin[take + 1])
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                rows = pa.array(take)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id").take(take),
-                        part.column("_th").take(take),
-                        pa.array((start // capacity).astype(np.int32)),
+                        part.column("doc_id").take(rows),
+                        part.column("_th").take(rows),
+                        pa.array(piece.astype(np.int32)),
                         pa.array(start),
-                        pa.array(length, pa.int64()),
+                        pa.array(high - low),
                         pa.array(crc, pa.int64()),
                     ],
                     names,
@@ -291,7 +383,8 @@ def pack(
     """One row per piece of every document, with its place in a sequence.
 
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A null or
-    empty text is the closing id alone. Every row is packed, repeated rows too. An
+    empty text is the closing id alone. The string of a special token in a text is that
+    token, as the tokenizer reads it; none are added. Every row is packed, repeated rows too. An
     empty table gives an empty result. A null doc_id is kept. Other columns are ignored.
 
     Pieces of one length are ranked in ``RANK_PARTS`` parts side by side, so a length

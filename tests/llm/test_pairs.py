@@ -210,7 +210,6 @@ def test_packing_is_whole_and_gapless(make_docs):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     docs = corpus(6) + [(77_000, "Σας ΟΔΟΣ <|endoftext|> don't it's x y é 日本語 \x1c z 12"), (77_001, "end ΟΔΟΣ")]
     got = packing.pack(make_docs(docs)).collect()
     want = []
