@@ -6,15 +6,23 @@ skipped, divided by what words of their lengths can have at most. A letter that
 put in or left out costs some triples, not the match. Characters that are no letters
 are left out and runs of single letters are one word, so "i-d-i" and "i d i" are "idi".
 
+A word begins and ends with a mark, so a part of a word is not the word.
+
 Words of labelled sentences are compared with landmark words (Nyström). A sentence of a
 toxic document is toxic only in some word, which nobody marked; the word that stands
-for it is chosen by the machine and the machine trained again (``ROUNDS`` times).
-A sentence scores as its most toxic word and a text as its most toxic sentence.
+for it is chosen by the machine and the machine trained again (``ROUNDS`` times), beside
+all words that toxic documents have far more often than chance explains.
+
+The same kernel one level up compares stretches of ``SPAN`` words by the word pairs in
+them: pairs in order, up to ``GAP`` words apart, weighted down with each word skipped. Its
+landmarks are stretches of labelled sentences, its features the pairs that toxic documents
+have far more often than chance explains, so an insult of ordinary words is found, also
+with words in between. A text scores as its most toxic word or stretch.
 
 A machine on Nyström features is a weighted sum over landmarks, each a sum over
-triples; both sums are merged into one weight per triple, so reading a text costs a
-few look-ups per letter, whatever the number of landmarks. It is fitted on a bounded
-sample of labelled rows (``SAMPLE_ROWS`` per label); every whole text is scored.
+triples (or pairs); both sums are merged into one weight per triple, so reading a text
+costs a few look-ups per letter and word, whatever the number of landmarks. It is fitted on
+a bounded sample of labelled rows (``SAMPLE_ROWS`` per label); every whole text is scored.
 """
 
 from __future__ import annotations
@@ -29,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apptflow.llm.common import chunks, plain, text_bytes
+from apptflow.llm.common import chunks, mix, plain, text_bytes
 from apptflow.llm.labelled import labelled_sample
 
 SAMPLE_ROWS = 1500
@@ -40,6 +48,12 @@ DECAY = 0.5
 #: words of clean sentences that the machine learns from, most frequent first
 CLEAN_WORDS = 12_000
 COST = 10.0
+#: words of a stretch, how far apart the words of a pair are, and numbers that pairs share
+SPAN = 8
+GAP = 3
+PAIR_SLOTS = 1 << 18
+#: pairs that the stretches are compared by, the most telling ones first
+PAIRS = 2000
 
 _PAIRS = [(j, k) for k in range(2, REACH) for j in range(1, k)]
 _TRIPLES = 1 << 15
@@ -50,6 +64,8 @@ _CODE = np.zeros(256, np.uint16)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
 for _sign, _letter in zip("013457@$!", "oieastasi", strict=True):
     _CODE[ord(_sign)] = ord(_letter) - 96
+_SIGN = np.zeros(256, bool)
+_SIGN[[ord(s) for s in "@$!"]] = True
 _CODE[128:] = 27 + np.arange(128) % 5
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -59,7 +75,10 @@ class Letters:
     """The letters of a chunk of text, cut into words and documents."""
 
     def __init__(self, data: np.ndarray, ends: np.ndarray):
-        at = np.flatnonzero(_CODE[data])
+        known = _CODE[data] > 0
+        # a sign stands for a letter only before one: "sh!t", not "home!"
+        before = np.append(_CODE[data[1:]] * ~_SIGN[data[1:]] > 0, False) if len(data) else known
+        at = np.flatnonzero(known & (~_SIGN[data] | before))
         self.code = _CODE[data[at]]
         doc = np.searchsorted(ends, at, "right") - 1
         gap = np.cumsum(_SPACE[data])[at] if len(at) else np.zeros(0, np.int64)
@@ -72,10 +91,16 @@ class Letters:
         glued = np.zeros(len(first), bool)
         glued[1:] = single[1:] & single[:-1] & ~new_doc[first[1:]]
         new[first[glued]] = False
-        self.first = np.flatnonzero(new)
-        self.size = np.diff(np.append(self.first, len(at)))
-        self.word = np.repeat(np.arange(len(self.first)), self.size)
-        self.doc = doc[self.first]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(at)))
+        self.doc = doc[first]
+        # a mark (0) before and after each word, so that a part of a word differs from it
+        place = np.arange(len(first))
+        self.first, self.size = first + 2 * place, size + 2
+        self.word = np.repeat(place, self.size)
+        code = np.zeros(len(at) + 2 * len(first), np.uint16)
+        code[np.arange(len(at)) + 2 * np.repeat(place, size) + 1] = self.code
+        self.code = code
 
     def triples(self) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         """(place of the first letter, triple, weight) for each pair of later letters."""
@@ -98,12 +123,37 @@ def _most(size: np.ndarray) -> np.ndarray:
     return np.maximum(total, 1.0)
 
 
+def _word_pairs(letters: Letters) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(first word, slot, weight) of pairs of words of one document, by distance."""
+    if not len(letters.first):
+        return
+    at = np.arange(len(letters.code)) - letters.first[letters.word]
+    letter = mix(letters.code.astype(np.uint64) + (at.astype(np.uint64) << np.uint64(8)))
+    word = np.add.reduceat(letter, letters.first)
+    for k in range(1, GAP + 1):
+        first = np.flatnonzero(letters.doc[:-k] == letters.doc[k:])
+        both = mix(word[first] * np.uint64(0x9E3779B97F4A7C15) + word[first + k])
+        yield first, (both % np.uint64(PAIR_SLOTS)).astype(np.int64), DECAY ** (k - 1)
+
+
 @dataclass
 class Machine:
     weight: np.ndarray
     bias: float
     slope: float
     shift: float
+    pairs: np.ndarray | None = None
+    pair_bias: float = -1.0
+
+    def stretches(self, letters: Letters) -> np.ndarray:
+        """The decision value of the stretch that begins at each word."""
+        n = len(letters.first)
+        total = np.zeros(n + 1)
+        for first, slot, value in _word_pairs(letters):
+            total[first] += self.pairs[slot] * value
+        total = np.concatenate([[0.0], np.cumsum(total[:n])])
+        end = np.searchsorted(letters.doc, letters.doc, "right")
+        return total[np.minimum(np.arange(n) + SPAN, end)] - total[:n] + self.pair_bias
 
     def words(self, letters: Letters) -> np.ndarray:
         """The decision value of each word; over 0 is the toxic side."""
@@ -116,10 +166,12 @@ class Machine:
         return np.add.reduceat(sums[:-1], letters.first) / letters.norm() + self.bias
 
     def raw(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """The decision value of each text: that of its most toxic word."""
+        """The decision value of each text: that of its most toxic word or stretch."""
         letters = Letters(data, ends)
         out = np.full(len(ends) - 1, min(self.bias, -1.0))
         np.maximum.at(out, letters.doc, self.words(letters))
+        if self.pairs is not None:
+            np.maximum.at(out, letters.doc, self.stretches(letters))
         return out
 
     def score(self, raw: np.ndarray) -> np.ndarray:
@@ -181,6 +233,86 @@ def _split(text: str) -> set[str]:
     return {w.strip(_STRIP).lower() for w in _WORD.findall(text)} - {""}
 
 
+def _telling(
+    bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log odds of being in toxic texts, which things these have more often than chance
+    explains given how many things are looked at, and their log-likelihood ratio."""
+    odds = np.log((bad + 0.3) / n_bad) - np.log((good + 0.3) / n_good)
+    seen, rows = bad + good, n_bad + n_good
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.where(bad > 0, bad * np.log(bad / (seen * n_bad / rows)), 0.0) + np.where(
+            good > 0, good * np.log(good / (seen * n_good / rows)), 0.0
+        )
+    ratio = 2 * np.nan_to_num(ratio)
+    return odds, (ratio > 2 * np.log(max(2, len(seen)))) & (odds > 1.5), ratio
+
+
+def _fit_pairs(texts: list[str], y: np.ndarray, machine: Machine) -> tuple[np.ndarray | None, float]:
+    """A weight per slot of word pairs and a bias, or none if no pair tells anything.
+
+    Pairs with a word that the machine finds toxic by itself are left to it.
+    """
+    letters = Letters(*_joined(texts))
+    plain_word = machine.words(letters) <= 0
+    found = []
+    for first, slot, value in _word_pairs(letters):
+        k = len(found) + 1
+        keep = plain_word[first] & plain_word[first + k]
+        found.append((first[keep], slot[keep], value))
+    if not found:
+        return None, -1.0
+    in_text = np.unique(np.concatenate([letters.doc[f] * PAIR_SLOTS + s for f, s, _ in found]))
+    slots, label = in_text % PAIR_SLOTS, y[in_text // PAIR_SLOTS]
+    bad = np.bincount(slots[label == 1], minlength=PAIR_SLOTS)
+    good = np.bincount(slots[label == 0], minlength=PAIR_SLOTS)
+    seen = np.flatnonzero(bad + good)
+    _, sure, ratio = _telling(bad[seen], good[seen], int(y.sum()), int(len(y) - y.sum()))
+    chosen = np.flatnonzero(sure)
+    chosen = seen[chosen[np.argsort(-ratio[chosen], kind="stable")][:PAIRS]]
+    if not len(chosen):
+        return None, -1.0
+
+    # stretches by the chosen pairs: the best one of each text, and for clean texts all
+    # that have such a pair
+    number = np.full(PAIR_SLOTS, -1)
+    number[chosen] = np.arange(len(chosen))
+    rows, columns, values = [], [], []
+    for first, slot, value in found:
+        hit = number[slot] >= 0
+        rows.append(first[hit])
+        columns.append(number[slot[hit]])
+        values.append(np.full(int(hit.sum()), value, np.float32))
+    row, column, value = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+    begins = np.unique(row)
+    order = np.argsort(row, kind="stable")
+    row, column, value = row[order], column[order], value[order]
+    end = np.searchsorted(letters.doc, letters.doc[begins], "right")
+    low, high = np.searchsorted(row, begins), np.searchsorted(row, np.minimum(begins + SPAN, end))
+    mass = np.concatenate([[0.0], np.cumsum(value)])
+    mass = mass[high] - mass[low]
+    toxic = y[letters.doc[begins]] == 1
+    best = np.lexsort((-mass, letters.doc[begins]))
+    best = best[np.unique(letters.doc[begins][best], return_index=True)[1]]
+    rows_of = np.concatenate([best[toxic[best]], np.flatnonzero(~toxic)[: 4 * SAMPLE_ROWS]])
+    x = np.zeros((len(rows_of) + 1, len(chosen)), np.float32)  # the last one, of all other stretches, has none
+    for i, b in enumerate(rows_of.tolist()):
+        np.add.at(x[i], column[low[b] : high[b]], value[low[b] : high[b]])
+    side = np.append(np.where(toxic[rows_of], 1.0, -1.0), -1.0)
+    z = np.unique(x[:-1], axis=0)
+    z = z[:: max(1, len(z) // LANDMARKS)][:LANDMARKS]
+    val, vec = np.linalg.eigh((z @ z.T).astype(float) + 1e-6 * np.eye(len(z)))
+    root = vec @ np.diag(1 / np.sqrt(np.maximum(val, 1e-4))) @ vec.T
+    # with a word put in between, pairs of a stretch count less
+    apart = DECAY * x[:-1][side[:-1] > 0]
+    cost = np.concatenate([np.full(len(x) - 1, COST), [COST * len(x)], np.full(len(apart), COST / 4)])
+    x, side = np.vstack([x, apart]), np.append(side, np.ones(len(apart)))
+    w, bias = _svm((x @ z.T).astype(float) @ root, side, cost)
+    pairs = np.zeros(PAIR_SLOTS, np.float32)
+    pairs[chosen] = (root @ w) @ z
+    return pairs, float(min(bias, -0.5))
+
+
 def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machine:
     """The machine of labelled texts; one that says 0.5 or less if a label is missing."""
     y = np.array(toxic)
@@ -195,15 +327,8 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machi
     good = in_text - bad
     n_bad, n_good = int(y.sum()), int(len(y) - y.sum())
     long = np.array([len(w) >= 3 for w in words])
-    odds = np.log((bad + 0.3) / n_bad) - np.log((good + 0.3) / n_good)
-
-    # the first choice of words: those more common in toxic texts than chance explains,
-    # given how many words are looked at (log-likelihood ratio)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g = bad * np.log(bad / (in_text * n_bad / len(y))) + np.where(
-            good > 0, good * np.log(good / (in_text * n_good / len(y))), 0.0
-        )
-    sure = (2 * np.nan_to_num(g) > 2 * np.log(max(2, len(words)))) & (odds > 1.5) & long
+    odds, sure, _ = _telling(bad, good, n_bad, n_good)
+    sure &= long
     value = np.where(sure, odds, -9.0)
     clean = [i for i in np.lexsort((np.arange(len(words)), -good)).tolist() if good[i] and long[i]]
     machine = None
@@ -216,6 +341,10 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machi
                 # a word that clean texts have as often stands for nothing
                 if value[best] > (0.0 if step else 1.5) and odds[best] > 0.7 and bad[best] >= 2:
                     chosen[best] += 1
+        # words that toxic texts have far more often than chance explains count in all of
+        # them, also where another word was chosen
+        for i in np.flatnonzero(sure).tolist():
+            chosen[i] = max(chosen[i], int(bad[i]))
         if not chosen:
             break
         pos = sorted(chosen, key=lambda i: (-chosen[i], words[i]))[: landmarks * 4]
@@ -243,12 +372,15 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machi
         near = np.flatnonzero((value > -0.8) & (odds < 0.7) & (good > 0))
         hard = near[np.argsort(-value[near], kind="stable")][:CLEAN_WORDS].tolist()
     if machine is None:
-        return Machine(np.zeros(_TRIPLES, np.float32), 0.0, 0.0, none.shift)
+        machine = Machine(np.zeros(_TRIPLES, np.float32), -1.0, 1.0, 0.0)
     weight, bias = machine.weight, machine.bias
+    pairs, pair_bias = _fit_pairs(texts, y, machine)
+    if pairs is None and not weight.any():
+        return Machine(np.zeros(_TRIPLES, np.float32), 0.0, 0.0, none.shift)
 
-    # decision values to probabilities, labels balanced
-    raw = Machine(weight, bias, 1.0, 0.0).raw(*_joined(texts))
-    share = np.where(y == 1, 0.5 / n_bad, 0.5 / n_good)
+    # decision values to probabilities, labels as frequent as they are in the sample
+    raw = Machine(weight, bias, 1.0, 0.0, pairs, pair_bias).raw(*_joined(texts))
+    share = np.full(len(y), 1 / len(y))
     a, b = 1.0, 0.0
     for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(a * raw + b, -40, 40)))
@@ -257,7 +389,7 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machi
         hess = np.array([[(h * raw * raw).sum() + 1e-4, (h * raw).sum()], [(h * raw).sum(), h.sum() + 1e-6]])
         move = np.linalg.solve(hess, [(g * raw).sum() + 1e-4 * a, g.sum()])
         a, b = a - 0.5 * move[0], b - 0.5 * move[1]
-    return Machine(weight, bias, float(max(a, 1e-3)), float(b))
+    return Machine(weight, bias, float(max(a, 1e-3)), float(b), pairs, pair_bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
@@ -269,7 +401,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, _th and score (0 to 1) for every row; only the text is looked at.
 
     A null text, an empty one and one without a letter score like a text without any
-    toxic word. Repeated rows each get a row. An empty table gives an empty result.
+    toxic word. Repeated rows each get a row. An empty table gives an empty result. Other
+    columns are ignored, whatever their names.
     """
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 

@@ -135,6 +135,34 @@ def test_toxic_words_with_gaps_and_inserted_characters():
         assert score(f"{clean} {bad} {clean}") >= 0.5, bad
 
 
+def test_insults_of_ordinary_words():
+    """Every word of them is common in clean texts; words may stand in between."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeghilmnoprstu") for _ in range(rng.randint(3, 9))) for _ in range(300)]
+    ordinary = ["go", "back", "home", "you", "are", "nothing"]
+    texts, label = [], []
+    for i in range(600):
+        text = [rng.choice(words + ordinary * 4) for _ in range(40)]
+        if i % 4 == 0:
+            at = rng.randrange(30)
+            text[at:at] = rng.choice([["go", "back", "home"], ["you", "are", "nothing"]])
+        texts.append(" ".join(text))
+        label.append(int(i % 4 == 0))
+    machine = toxicity.fit(texts, label)
+
+    def score(text):
+        around = " ".join(words[:20])
+        return machine.score(machine.raw(*toxicity._joined([f"{around} {text} {around}"])))[0]
+
+    for bad in ("go back home", "Go BACK home!", "go right back home", "Go back, quickly home!", "you are really nothing"):
+        assert score(bad) >= 0.5, bad
+    for good in ("", "home back go", "are home you", "go home", "nothing you go back"):
+        assert score(good) < 0.5, good
+    # a stretch ends with its document
+    value = machine.raw(*toxicity._joined(["you are", "nothing go", "back home"]))
+    assert (machine.score(value) < 0.5).all()
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, 1)], [(1, 0, 1), (2, 1, 0), (2, 1, 1), (None, 1, 1), (3, None, None)]])
 def test_models_of_odd_rows(spark, make_docs, labels):
     docs = make_docs([*enumerate(ODD), (None, "word")])
