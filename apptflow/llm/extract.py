@@ -7,6 +7,11 @@ two terminals. Neighbouring blocks and blocks with the same parent are joined by
 that cost something to cut, the more the closer they are in the tree. The minimum cut
 is the labelling of least total cost: a short paragraph between two long ones stays
 with them, whatever its own features say.
+
+Names such as ``sidebar`` speak for page furniture, but an element is judged by what it
+holds as well: one around the article, or around most of the page's text where no article
+is marked, is a wrapper, and so is a form. A page without markup is one block of content.
+Reading takes time in proportion to the page, however deep its elements lie.
 """
 
 from __future__ import annotations
@@ -49,6 +54,19 @@ FURNITURE = re.compile(
     r"subscribe|subscription|tagcloud|tags|teasers?|toolbar|topbar|widget|alert|responses?|discussion)(?:$|[\s_-])",
     re.I,
 )
+#: furniture that may hold articles of its own and is never a wrapper
+FIRM = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|commentlist|discussion|disqus|promo\w*|recommend\w*|related|replies|respond|"
+    r"responses?|sponsor\w*|teasers?|widget)(?:$|[\s_-])",
+    re.I,
+)
+#: what a page has or has not, said of an element around it
+MODIFIER = re.compile(r"(?<!\S)(?:has|hide|is|no|show|with|without)[_-]\S+", re.I)
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+#: elements that are wrappers if they hold the article
+WRAPPERS = {"form", "fieldset"}
+#: share of a page's text that makes an element its wrapper
+MOST = 0.6
 BODY_NAME = re.compile(
     r"(?:^|[\s_-])(?:article|articlebody|body|content|entry|main|maincontent|page-content|post|prose|story|text)(?:$|[\s_-])", re.I
 )
@@ -83,14 +101,24 @@ _END_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
 @dataclass
 class _Element:
+    """An open or closed element: what it says of itself, then what that means here."""
+
     tag: str
-    serial: int
-    section: int
-    content: bool
-    named: bool
-    boilerplate: bool
-    furniture: bool
-    header: bool
+    #: places of the parent and of the nearest block element, itself included
+    up: int
+    holder: int
+    named: bool = False
+    furniture: bool = False
+    firm: bool = False
+    hides: bool = False
+    #: characters in it, and articles that are not furniture
+    size: int = 0
+    articles: int = 0
+    wrapper: bool = False
+    section: int = 0
+    content: bool = False
+    boilerplate: bool = False
+    header: bool = False
     #: whether it is, or is in, furniture or boilerplate of an article
     barred: bool = False
 
@@ -124,26 +152,69 @@ def _inert_ends(page: str, tag: str) -> dict[int, int]:
     return ends
 
 
+def _says(element: _Element, names: str) -> None:
+    """What class, id, role, style and hidden say of an element."""
+    for key, a, b, c in _ATTRIBUTE.findall(names):
+        key, value = key.lower(), a or b or c
+        if key in ("class", "id", "role"):
+            # what names the whole page or article says nothing about its parts
+            if element.tag in ("html", "body", "article", "main"):
+                element.named = element.named or bool(BODY_NAME.search(value))
+                element.firm = element.firm or (element.tag == "article" and bool(FIRM.search(value)))
+                continue
+            value = MODIFIER.sub("", _HUMP.sub("-", value))
+            if FURNITURE.search(value):
+                element.furniture = True
+                element.firm = element.firm or bool(FIRM.search(value))
+            elif BODY_NAME.search(value):
+                element.named = True
+        elif key == "style":
+            element.hides = element.hides or bool(HIDDEN.search(value))
+        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+            element.hides = True
+
+
+def _judge(elements: list[_Element]) -> None:
+    """Finds wrappers and hands down what elements mean for those in them."""
+    root = elements[0]
+    for e in reversed(elements[1:]):  # parts come after what holds them
+        up = elements[e.up]
+        # text of comments and the like does not make anything a wrapper
+        if not (e.firm or e.hides):
+            up.size += e.size
+            up.articles += e.articles + (e.tag in CONTENT and not e.firm)
+    for e in elements[1:]:
+        up = elements[e.up]
+        if (e.furniture or e.tag in WRAPPERS) and not (e.firm or e.hides or up.barred):
+            most = e.size >= MOST * root.size and e.articles == root.articles
+            e.wrapper = e.articles > 0 or most
+        own_furniture = e.furniture and not e.wrapper
+        own_boilerplate = (e.tag in BOILERPLATE and not e.wrapper) or e.hides
+        inside = up.content or up.named
+        # furniture of an article is none of its content, nor is an article in it
+        e.barred = up.barred or (inside and (own_furniture or own_boilerplate))
+        e.furniture = up.furniture or own_furniture
+        e.boilerplate = up.boilerplate or own_boilerplate
+        e.header = up.header or (e.tag == "header" and not up.content)
+        e.content = (up.content or e.tag in CONTENT) and not e.barred
+        e.named = (up.named or (e.named and not e.furniture)) and not e.barred
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; blank ones are left out."""
-    out: list[Block] = []
-    stack = [_Element("", 0, 0, False, False, False, False, False)]
-    serial, linked, pieces, link_size, at = 0, 0, [], 0, 0
+    elements = [_Element("", 0, 0)]
+    stack = [0]  # open elements by their places
+    opened: dict[str, int] = {}
+    found: list[tuple[str, int, int, float]] = []  # text, element, depth, linked characters
+    linked, pieces, link_size, at = 0, [], 0, 0
 
     def flush() -> None:
         nonlocal link_size
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                holder = next((e for e in reversed(stack) if e.tag in BLOCK or not e.tag), stack[0])
-                up = stack[-1]
-                parent = stack[max(0, stack.index(holder) - 1)]
-                out.append(
-                    Block(
-                        text, holder.tag, parent.serial, up.section, len(stack), up.content, up.named,
-                        up.boilerplate, up.furniture, up.header, min(1.0, link_size / len(text)),
-                    )
-                )
+                found.append((text, stack[-1], len(stack), link_size))
+                elements[stack[-1]].size += len(text)
             pieces.clear()
         link_size = 0
 
@@ -158,8 +229,9 @@ def blocks(page: str) -> list[Block]:
     def close(upto: int) -> None:
         nonlocal linked
         while len(stack) > upto:
-            gone = stack.pop()
-            if gone.tag == "a":
+            gone = elements[stack.pop()].tag
+            opened[gone] -= 1
+            if gone == "a":
                 linked -= 1
 
     size = len(page)
@@ -178,12 +250,14 @@ def blocks(page: str) -> list[Block]:
         if m.group(1):  # an end tag
             if tag in BLOCK:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
-                if stack[i].tag in SECTION and tag not in SECTION:
-                    break  # a stray end tag does not close a section
+            if opened.get(tag):
+                for i in range(len(stack) - 1, 0, -1):
+                    open_tag = elements[stack[i]].tag
+                    if open_tag == tag:
+                        close(i)
+                        break
+                    if open_tag in SECTION and tag not in SECTION:
+                        break  # a stray end tag does not close a section
             continue
         if tag in RAW:
             if not m.group(0).endswith("/>"):
@@ -202,43 +276,43 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK:
             flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ("p", "option") or stack[i].tag in CLOSES.get(tag, ()):
-                    close(i)
-                    break
-                if stack[i].tag in BLOCK and stack[i].tag not in CLOSES.get(tag, ()):
-                    break
+            closes = CLOSES.get(tag, ())
+            if any(opened.get(t) for t in ("p", "option", *closes)):
+                for i in range(len(stack) - 1, 0, -1):
+                    open_tag = elements[stack[i]].tag
+                    if open_tag in ("p", "option") or open_tag in closes:
+                        close(i)
+                        break
+                    if open_tag in BLOCK:
+                        break
         if tag in VOID:
             continue
-        up, names = stack[-1], m.group(3)
-        content = up.content or tag in CONTENT
-        own_furniture = hides = False
-        named, furniture = up.named, up.furniture
-        boilerplate = up.boilerplate or tag in BOILERPLATE
-        header = up.header or (tag == "header" and not up.content)
+        up, place, names = stack[-1], len(elements), m.group(3)
+        element = _Element(tag, up, place if tag in BLOCK else elements[up].holder)
         if names and ("=" in names or "hidden" in names):
-            for key, a, b, c in _ATTRIBUTE.findall(names):
-                key, value = key.lower(), a or b or c
-                if key in ("class", "id", "role"):
-                    # what names the whole page or article says nothing about its parts
-                    if tag not in ("html", "body", "article", "main") and FURNITURE.search(value):
-                        furniture = own_furniture = True
-                    elif BODY_NAME.search(value) and not furniture:
-                        named = True
-                elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or HIDDEN.search(value):
-                    hides = hides or key != "style" or bool(HIDDEN.search(value))
-                    boilerplate = boilerplate or key != "style" or bool(HIDDEN.search(value))
-        # furniture of an article is none of its content, nor is an article in it
-        inside = up.content or up.named
-        barred = up.barred or (inside and (own_furniture or hides or tag in BOILERPLATE))
-        if barred:
-            content = named = False
-        serial += 1
-        own_section = serial if tag in SECTION or furniture != up.furniture else up.section
+            _says(element, names)
         if tag == "a":
             linked += 1
-        stack.append(_Element(tag, serial, own_section, content, named, boilerplate, furniture, header, barred))
+        elements.append(element)
+        stack.append(place)
+        opened[tag] = opened.get(tag, 0) + 1
     flush()
+
+    _judge(elements)
+    for place, e in enumerate(elements[1:], 1):
+        new = e.tag in SECTION or e.furniture != elements[e.up].furniture
+        e.section = place if new else elements[e.up].section
+    out = []
+    for text, place, depth, links in found:
+        own, holder = elements[place], elements[elements[place].holder]
+        out.append(
+            Block(
+                text, holder.tag, holder.up, own.section, depth, own.content, own.named,
+                own.boilerplate, own.furniture, own.header, min(1.0, links / len(text)),
+            )
+        )
+    if len(elements) == 1 and out:  # no markup: all of it is content
+        out[0].content = True
     return out
 
 

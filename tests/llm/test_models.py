@@ -316,6 +316,44 @@ def test_an_unclosed_element_does_not_end_the_page(tag):
     assert extract.main_text(f"<article><{tag}>{rest}</article>") == want
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    ['<form id="aspnetForm" method=post>%s</form>', '<div class="has-sidebar">%s</div>', '<div class="layout sidebar-right">%s</div>',
+     '<div class="post tags-news">%s</div>', '<div class="no-ads with-comments">%s</div>', '<form><fieldset><div id="navWrapper">%s</div></fieldset></form>'],
+)
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "<main><div class=story>%s</div></main>", "<div><div>%s</div></div>"])
+def test_wrappers_are_no_furniture(wrap, inner):
+    body = inner % f"<h1>Title</h1><p>First. {LONG}</p><p>Last. {LONG}</p>"
+    side = '<div class="sidebar"><p>Side text. It goes on.</p></div><form><label>Mail</label><input></form>'
+    want = "\n".join(["Title", f"First. {LONG}".strip(), f"Last. {LONG}".strip()])
+    assert extract.main_text(f"<html><body>{wrap % (body + side)}</body></html>") == want
+
+
+@pytest.mark.parametrize("name", ["leftSidebar", "userComments", "cookieBanner", "mainNav", "articleComments"])
+def test_names_are_parted_at_capitals(name):
+    page = f'<body><div class="{name}"><p>{LONG}</p></div><article><p>First. {LONG}</p><p>{LONG}</p></article></body>'
+    assert extract.main_text(page) == f"First. {LONG}".strip() + "\n" + LONG.strip()
+
+
+def test_comments_longer_than_the_article_go():
+    page = f'<div class="page"><div class="post"><p>First. {LONG}</p></div><div id="comments">{f"<article><p>Nice. {LONG}</p></article>" * 9}</div></div>'
+    assert extract.main_text(page) == f"First. {LONG}".strip()
+
+
+def test_a_page_without_markup_is_content():
+    assert extract.main_text("Just   a line &amp; more\n") == "Just a line & more"
+    assert extract.main_text(" \n ") == ""
+
+
+def test_deep_pages_are_read_in_linear_time():
+    import time
+
+    begin = time.process_time()
+    for deep in ("<div>" * 50_000 + LONG, "<div><span>x</div>" * 20_000, "<b>" * 30_000 + "<p>x" * 20_000, "<div>" * 20_000 + "</p></i>" * 20_000):
+        extract.main_text(f"<article><p>{LONG}</p></article>{deep}")
+    assert time.process_time() - begin < 30
+
+
 def test_minimum_cut_equals_brute_force():
     rng = random.Random(5)
     for _ in range(200):
