@@ -13,6 +13,7 @@ from apptflow import config
 from apptflow.functions.text import delivery_code, delivery_time, label
 from apptflow.functions.timeexpr import ntz
 from apptflow.operators.counts import RunCounts
+from apptflow.session import written_once
 
 # --- Consecutive failures ---------------------------------------------------------
 
@@ -24,21 +25,33 @@ def alert_ordinal(
 
 
 def _numbered(
-    events: DataFrame, source_col: str, ts_col: str, is_failure: Column, tie_col: str | None, chunk: str
+    events: DataFrame,
+    source_col: str,
+    ts_col: str,
+    is_failure: Column,
+    tie_col: str | None,
+    chunk: str,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """Events with their place inside a time chunk of their source.
+    """Events with their place inside a chunk of their source's time line.
 
-    ``piece`` counts the successes so far, ``nth`` the failures since the last.
-    Events without a source or a time belong to no run.
+    A chunk is a stretch of time, or with ``pieces`` one of so many pieces of about equal
+    numbers of rows. ``piece`` counts the successes so far, ``nth`` the failures since the
+    last. Events without a source or a time belong to no run.
     """
+    order = ["ts", "tie"] if tie_col else ["ts"]
     rows = events.select(
         F.col(source_col).alias("source"),
         F.col(ts_col).alias("ts"),
         *([F.col(tie_col).alias("tie")] if tie_col else []),
         F.coalesce(is_failure, F.lit(False)).alias("failed"),
-        F.window(ts_col, chunk)["start"].alias("chunk"),
-    ).where(F.col("source").isNotNull() & F.col("chunk").isNotNull())
-    order = ["ts", "tie"] if tie_col else ["ts"]
+    ).where(F.col("source").isNotNull() & F.col("ts").isNotNull())
+    if pieces is None:
+        rows = rows.withColumn("chunk", F.window("ts", chunk)["start"])
+    else:
+        # stored: a row must be in the same piece wherever it is used
+        dealt = rows.repartitionByRange(pieces, "source", *order)
+        rows = written_once(dealt.withColumn("chunk", F.spark_partition_id()), "pieces")
     in_chunk = W.partitionBy("source", "chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     # one sort serves all three: the place of the last success gives ``nth``
     placed = rows.withColumn("piece", F.count_if(~F.col("failed")).over(in_chunk)).withColumn(
@@ -88,6 +101,7 @@ def failure_runs(
     tie_col: str | None = None,
     chunk: str = "10 minutes",
     carry: DataFrame | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Runs of consecutive failures per source, with the moment of the alert.
 
@@ -100,8 +114,11 @@ def failure_runs(
     A source is never ordered as a whole.  Its time line is cut into chunks that
     are ordered on their own; per chunk only the success count and the failures
     after the last success are carried forward, one row per source and chunk.
+    Chunks are ``chunk`` long. A source that sends millions of events in that time needs
+    ``pieces``: all rows are then cut into so many pieces of equal size along their sources
+    and times, so no source and no moment makes a large one, for one more pass over them.
     """
-    numbered = _numbered(events, source_col, ts_col, is_failure, tie_col, chunk)
+    numbered = _numbered(events, source_col, ts_col, is_failure, tie_col, chunk, pieces)
     chunks = _chunks(numbered, carry).select("source", "chunk", "base", "carried")
     ordinal = alert_ordinal(F.col("source"), thresholds, default_threshold)
     total = F.when(F.col("piece") == 0, F.col("carried")).otherwise(0) + F.col("nth")
@@ -124,9 +141,11 @@ def open_failures(
     tie_col: str | None = None,
     chunk: str = "10 minutes",
     carry: DataFrame | None = None,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Failures since the last success per source, after ``events``."""
-    chunks = _chunks(_numbered(events, source_col, ts_col, is_failure, tie_col, chunk), carry)
+    numbered = _numbered(events, source_col, ts_col, is_failure, tie_col, chunk, pieces)
+    chunks = _chunks(numbered, carry)
     last = F.max(F.struct("chunk", "open_after"))["open_after"]
     return chunks.groupBy("source").agg(last.alias("failures"))
 

@@ -419,6 +419,13 @@ def failure_runs(c: Clinic) -> DataFrame:
     return mo.failure_runs(c.raw("events"), "user_id", "ts", failed, {}, 3, tie_col="event_id")
 
 
+@query
+def failure_runs_by_size(c: Clinic) -> DataFrame:
+    """The same runs, from pieces of equal numbers of events."""
+    failed = F.col("event_type") == "error"
+    return mo.failure_runs(c.raw("events"), "user_id", "ts", failed, {}, 3, tie_col="event_id", pieces=64)
+
+
 @query
 def arrival_digest(c: Clinic) -> DataFrame:
     return mo.arrival_digest(c.arrivals, c.arrivals_known, AS_OF)

@@ -172,3 +172,27 @@ def test_gap_days_are_independent(spark):
     booked = spark.createDataFrame([(1, 1, DAY, 9, 0)], VISITS)
     got = sorted((r.wdate.day, r.gap_begin.hour) for r in wl.free_gaps(roster, booked).collect())
     assert got == [(15, 9), (16, 9)]
+
+
+# ------------------------------------------------------------------- pieces by size
+
+
+def test_failure_runs_of_one_hot_source_in_pieces(spark):
+    from apptflow.operators import monitoring as mo
+
+    rng = random.Random(6)
+    # almost all events are of one source and one minute
+    rows = [(i, at(12, 0) + timedelta(microseconds=i // 3), 1, rng.random() < 0.7) for i in range(4000)]
+    rows += [(5000 + i, at(8) + timedelta(minutes=i), i % 5, rng.random() < 0.5) for i in range(300)]
+    rows += [(9000, None, 1, True), (9001, at(9), None, True)]
+    events = spark.createDataFrame(rows, "id long, ts timestamp_ntz, source long, bad boolean")
+    bad = F.col("bad")
+    want = sorted(map(tuple, mo.failure_runs(events, "source", "ts", bad, {}, 3, tie_col="id").collect()))
+    for pieces in (1, 7, 40):
+        got = mo.failure_runs(events, "source", "ts", bad, {}, 3, tie_col="id", pieces=pieces)
+        assert sorted(map(tuple, got.collect())) == want
+    numbered = mo._numbered(events, "source", "ts", bad, "id", "10 minutes", 40)
+    assert numbered.groupBy("source", "chunk").count().agg(F.max("count")).first()[0] < 400
+    still = mo.open_failures(events, "source", "ts", bad, tie_col="id")
+    cut = mo.open_failures(events, "source", "ts", bad, tie_col="id", pieces=9)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, still.collect()))
