@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 
 from apptflow.llm.common import chunks, plain
 
-#: labelled rows per language that the model is fitted on
+#: labelled rows per language that the model is fitted on, and how many words and n-grams of
+#: them it holds, dealt out to the languages in equal parts
 SAMPLE_ROWS = 3000
 MAX_WORDS = 60_000
 MAX_GRAMS = 200_000
@@ -38,7 +40,9 @@ UNSEEN_WEIGHT = 0.5
 MEMO_WORDS = 300_000
 UNKNOWN = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# letters are word characters without the numbers, also those that are no digits (², ½, Ⅷ)
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 @dataclass
@@ -125,7 +129,12 @@ def fit(texts: list[str], labels: list[str]) -> Model:
         total = Counter()
         for c in counts.values():
             total.update(c)
-        kept = sorted((w for w, n in total.items() if n >= least), key=lambda w: (-total[w], w))[:most]
+        # each language has its share of the places: a small one does not lose its words
+        kept = set()
+        for c in counts.values():
+            own = sorted((w for w in c if total[w] >= least), key=lambda w: (-c[w], w))
+            kept.update(own[: most // len(langs)])
+        kept = sorted(kept, key=lambda w: (-total[w], w))
         have = np.array([[counts[g][w] for g in langs] for w in kept], float).reshape(-1, len(langs))
         size = np.array([max(1, sum(counts[g].values())) for g in langs], float)
         return {w: i for i, w in enumerate(kept)}, np.log((have + 0.1) / (size + 0.1 * max(1, len(kept))))
