@@ -254,9 +254,16 @@ def overlaps(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GR
 
 
 def clean(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """The rows of ``docs`` that hold no window of an item, all columns unchanged."""
-    hit = overlaps(docs, items, span, gram).where("n_hit > 0").select(
-        F.col("doc_id").alias("_id"), F.col("_th").alias("_t")
-    )
-    text = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(hit, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (text == F.col("_t")), "left_anti")
+    """The rows of ``docs`` that hold no window of an item, all columns unchanged.
+
+    Extra columns are passed on whatever their names. The keys of the rows that go are
+    stored, so that few of them are sent to where the texts are read.
+    """
+    hit = overlaps(docs, items, span, gram).where("n_hit > 0").select("doc_id", "_th").distinct()
+    hit = stored(hit, "hit")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)  # no name of theirs can clash
+    at = {c: F.col(n) for c, n in zip(docs.columns, names, strict=True)}
+    text = F.xxhash64(F.coalesce(at["text"].cast("string"), F.lit("")))
+    same = at["doc_id"].cast("long").eqNullSafe(F.col("doc_id")) & (text == F.col("_th"))
+    return rows.join(hit, same, "left_anti").toDF(*docs.columns)
