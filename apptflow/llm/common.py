@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -93,6 +94,7 @@ def chunks(
 # ------------------------------------------------------- words as arrays of hashes
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
+_TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 _MUL_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
 
@@ -128,6 +130,31 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+#: longer words are hashed one by one
+_LONG = 512
+
+
+def _mixed(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.lib.stride_tricks.as_strided(padded[:8].view("<u8"), (len(data) + 1,), (1,))
+    out = mix(size.astype(np.uint64) * _MUL)
+    long = np.flatnonzero(size > _LONG)
+    left = np.flatnonzero((size > 0) & (size <= _LONG))
+    for at in range(0, _LONG, 8):
+        if not len(left):
+            break
+        rest = size[left] - at
+        # bytes behind the word's end do not count
+        mask = _TOP >> (np.uint64(8) * (8 - np.minimum(rest, 8)).astype(np.uint64))
+        out[left] = mix((out[left] ^ (eight[start[left] + at] & mask)) * _MUL)
+        left = left[rest > 8]
+    for k in long.tolist():
+        word = data[start[k] : start[k] + size[k]].tobytes()
+        out[k] = np.frombuffer(hashlib.blake2b(word, digest_size=8).digest(), "<u8")[0]
+    return out
+
+
 class Words:
     """Where the words of a chunk are: ``is_word`` says which bytes belong to words."""
 
@@ -148,9 +175,12 @@ class Words:
         self._hashes: np.ndarray | None = None
 
     def hashes(self) -> np.ndarray:
+        """A hash per word: its bytes are mixed in, eight at a time.
+
+        Unlike a polynomial in the letters it has no words that collide by their pattern.
+        """
         if self._hashes is None:
-            sums = prefix(self.data.astype(np.uint64) + np.uint64(1))
-            self._hashes = spans(sums, self.start, self.stop)
+            self._hashes = _mixed(self.data, self.start, self.stop - self.start)
         return self._hashes
 
     def doc(self) -> np.ndarray:

@@ -159,6 +159,55 @@ _WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRST
 
 #: queries that SQL can express
 ORACLE: dict[str, str] = {
+    "op2_decontamination": f"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[i : i + size - 1], ' ') AS win
+    FROM (SELECT item_id, words, least(10, len(words)) AS size,
+                 unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i
+          FROM items WHERE len(words) > 0)
+),
+hits AS (
+    SELECT d.doc_id, d.i, d.size, w.item_id
+    FROM (SELECT doc_id, size, i, array_to_string(words[i : i + size - 1], ' ') AS win
+          FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+                FROM docs, (SELECT DISTINCT size FROM item_windows) WHERE len(words) >= size)) d
+    JOIN item_windows w ON w.size = d.size AND w.win = d.win
+),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id
+),
+listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN listed l ON l.doc_id = d.doc_id
+""",
+    "op4_substrings": """
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x{20}\\x{09}-\\x{0D}]+') AS words FROM documents
+),
+windows AS (
+    SELECT doc_id, i, sha256(array_to_string(words[i : i + 49], ' ')) AS win
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM docs WHERE len(words) >= 50)
+),
+late AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS low FROM windows) WHERE low < doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM late),
+words AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM docs),
+kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+    FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT d.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id
+""",
     "op11_resampling": f"""
 WITH {_CRC}
 texts AS (

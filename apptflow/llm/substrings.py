@@ -6,12 +6,16 @@ they cover are a block. Which words a block has depends on nothing but those wor
 equal texts are cut into equal blocks wherever they stand, and all blocks of all
 documents together index every window exactly once.
 
-Parsing is greedy: a block that also stands in a document with a smaller id is taken
-whole, as a reference to the first document that has it, and neighbouring references
-run together into factors. Where a factor ends the block differs from the reference
-in some words only; the blocks at such boundaries (same anchor, different block) are
-checked window by window against all others with that anchor, so a repeat that
-straddles two factors or two references is found too.
+The parse is greedy: a block that also stands in a document with a smaller id is taken
+whole, as a reference to the first place that has it, and while the next block's first
+place follows on the same reference the factor goes on. Every factor has ``SPAN`` words at
+least. Where factors end the block differs from those of other documents in some words
+only; the blocks at such boundaries (same anchor, different block) are checked window by
+window against all others with that anchor, so a repeat that straddles two factors or two
+references is found too, with a reference of its own.
+
+Equality of blocks and windows is that of two 64-bit hashes together, of the anchor and of
+the words; the words' own hashes mix in all of their bytes.
 """
 
 from __future__ import annotations
@@ -113,9 +117,10 @@ def blocks(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
 
 
 def _window_hashes(rows: DataFrame, span: int) -> DataFrame:
-    """(anchor, block, low, place, window): each window of the given blocks.
+    """(anchor, block, low, th, at, place, window): each window of the given blocks.
 
-    ``rows`` has a text and the blocks of it that have to be looked into.
+    ``rows`` has a text and the blocks of it that have to be looked into; ``place`` is the
+    window's place in its block and ``at`` that in its document, ``low`` with hash ``th``.
     """
 
     def batch(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +138,16 @@ def _window_hashes(rows: DataFrame, span: int) -> DataFrame:
                 place = np.arange(len(take)) - np.repeat(np.cumsum(n) - n, n)
                 first = base[take] + place
                 hashes = spans(sums, first, first + span).view(np.int64)
-                low = part.column("doc_id").to_numpy(zero_copy_only=False)[owner][take]
+                low, th = (part.column(c).to_numpy(zero_copy_only=False)[owner][take] for c in ("doc_id", "_th"))
+                where = (at[take] + place).astype(np.int32)
+                columns = (anchor[take], block[take], low, th, where, place.astype(np.int32), hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (anchor[take], block[take], low, place.astype(np.int32), hashes)],
-                    ["anchor", "block", "low", "place", "window"],
+                    [pa.array(x) for x in columns], ["anchor", "block", "low", "th", "at", "place", "window"]
                 )
 
-    return rows.mapInArrow(batch, "anchor long, block long, low long, place int, window long")
+    return rows.mapInArrow(
+        batch, "anchor long, block long, low long, th long, at int, place int, window long"
+    )
 
 
 def _cut_out(rows: DataFrame) -> DataFrame:
@@ -178,13 +186,14 @@ def _cut_out(rows: DataFrame) -> DataFrame:
 
 
 def parse(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Documents, and the word ranges in them that repeat earlier documents.
+    """Documents, and the factors in them that repeat earlier documents.
 
     The first frame has doc_id, _th, n_words and sha (of the words joined by a space)
-    for every row; the second doc_id, _th and ranges (array of start, end) for those
-    with a repeat.
+    for every row; the second one row per factor: doc_id, _th, start, end (word numbers, the
+    last one excluded), and ref_doc, ref_th and ref_start, where the same words stand in a
+    document with a smaller id. Factors may overlap.
 
-    A range covers windows whose words also start in a document with a smaller id.
+    A factor covers windows whose words also start in a document with a smaller id.
     Texts of fewer than ``span`` words, null and empty ones have none. A document
     never repeats itself: rows with the same id count as one document. A null doc_id
     is no document to refer to and its row keeps all words. An empty table gives an
@@ -200,44 +209,60 @@ def parse(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFram
     shared = stored(shared.where("low < high").select("anchor"), "anchors")
     common = stored(every.join(shared, "anchor", "left_semi"), "shared")
 
-    # the first document of each block; blocks that others share an anchor with
-    first = stored(common.groupBy("anchor", "block").agg(F.min("doc_id").alias("low")), "first")
+    # the first place of each block; blocks that others share an anchor with
+    place = F.struct(F.col("doc_id").alias("doc"), F.col("_th").alias("th"), F.col("at").alias("at"))
+    first = common.groupBy("anchor", "block").agg(F.min(place).alias("ref"))
+    first = stored(first.withColumn("low", F.col("ref.doc")), "first")
     mixed = first.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
     mixed = stored(mixed, "mixed")
-    boundary = first.join(mixed, "anchor", "left_semi")
+    boundary = first.drop("ref").join(mixed, "anchor", "left_semi")
 
     # windows at boundaries, from the first document of each block
     where = common.join(boundary.withColumnRenamed("low", "doc_id"), ["anchor", "block", "doc_id"], "left_semi")
     one = where.groupBy("anchor", "block", "doc_id").agg(F.min(F.struct("_th", "at", "n")).alias("s"))
     todo = one.select("doc_id", F.col("s._th").alias("_th"), "anchor", "block", F.col("s.at").alias("at"), F.col("s.n").alias("n"))
     todo = todo.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("anchor", "block", "at", "n")).alias("todo"))
-    looked = docs.join(todo, ["doc_id", "_th"]).select("doc_id", "text", "todo")
+    looked = docs.join(todo, ["doc_id", "_th"]).select("doc_id", "_th", "text", "todo")
     inner = stored(_window_hashes(looked, span), "inner")
-    oldest = stored(inner.groupBy("anchor", "window").agg(F.min("low").alias("oldest")), "oldest")
-    late = inner.join(oldest, ["anchor", "window"]).where("oldest < low")
-    late = late.groupBy("anchor", "block").agg(F.collect_set("place").alias("places"))
+    place = F.struct(F.col("low").alias("doc"), "th", "at")
+    oldest = stored(inner.groupBy("anchor", "window").agg(F.min(place).alias("oldest")), "oldest")
+    late = inner.select("anchor", "block", "low", "place", "window").join(oldest, ["anchor", "window"])
+    late = late.where("oldest.doc < low").groupBy("anchor", "block")
+    # rows of one block and document repeat if the document does
+    late = late.agg(F.collect_set(F.struct("place", "oldest")).alias("places"))
     first = stored(first.join(late, ["anchor", "block"], "left"), "classes")
 
     # a block is taken whole, or the windows of it that older documents have
     taken = common.join(first, ["anchor", "block"])
     whole = F.col("doc_id") > F.col("low")
     taken = taken.where(whole | F.col("places").isNotNull())
-    ranges = F.when(
-        whole, F.array(F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n") + (span - 1)).alias("end")))
-    ).otherwise(
-        F.transform(
-            "places",
-            lambda p: F.struct((F.col("at") + p).alias("start"), (F.col("at") + p + span).alias("end")),
-        )
+
+    def piece(start, size, ref):
+        return F.struct(start.alias("start"), (start + size).alias("end"), ref.alias("ref"))
+
+    pieces = F.when(whole, F.array(piece(F.col("at"), F.col("n") + (span - 1), F.col("ref")))).otherwise(
+        F.transform("places", lambda p: piece(F.col("at") + p["place"], F.lit(span), p["oldest"]))
     )
-    taken = taken.select("doc_id", "_th", F.explode(ranges).alias("r")).select("doc_id", "_th", "r.*")
-    # ranges that overlap run together into factors
-    order = Window.partitionBy("doc_id", "_th").orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    taken = taken.withColumn("_new", (F.col("start") > F.coalesce(reach, F.lit(-1))).cast("int"))
+    taken = taken.select("doc_id", "_th", F.explode(pieces).alias("p")).select("doc_id", "_th", "p.*")
+    # a factor goes on while the next piece follows in the text and on the same reference
+    order = Window.partitionBy("doc_id", "_th").orderBy("start", "end", "ref")
+    line = F.struct("ref.doc", "ref.th", (F.col("start") - F.col("ref.at")).alias("shift"))
+    taken = taken.withColumn("line", line)
+    follows = (F.lag("line").over(order) == F.col("line")) & (F.lag("end").over(order) >= F.col("start"))
+    taken = taken.withColumn("_new", F.when(follows, 0).otherwise(1))
     taken = taken.withColumn("_factor", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    factors = taken.groupBy("doc_id", "_th", "_factor").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    factors = factors.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("start", "end")).alias("drop"))
+    factors = taken.groupBy("doc_id", "_th", "_factor").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min("ref").alias("ref")
+    )
+    factors = factors.select(
+        "doc_id",
+        "_th",
+        "start",
+        "end",
+        F.col("ref.doc").alias("ref_doc"),
+        F.col("ref.th").alias("ref_th"),
+        F.col("ref.at").alias("ref_start"),
+    )
     return rows.select("doc_id", "_th", "n_words", "sha"), factors
 
 
@@ -248,7 +273,8 @@ def dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """
     own = keyed(docs)
     rows, factors = parse(own, span, gram)
-    cut = _cut_out(own.join(factors, ["doc_id", "_th"]).select("doc_id", "_th", "text", "drop"))
+    drop = factors.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("start", "end")).alias("drop"))
+    cut = _cut_out(own.join(drop, ["doc_id", "_th"]).select("doc_id", "_th", "text", "drop"))
     cut = cut.groupBy("doc_id", "_th").agg(F.max("n_removed").alias("n_removed"), F.max("kept").alias("kept"))
     return rows.join(cut, ["doc_id", "_th"], "left").select(
         "doc_id",

@@ -46,6 +46,21 @@ def test_words_come_first_and_n_grams_back_off():
     assert twisted.predict(["the"])[0] == ["en"] or "the" not in twisted.word_rows
 
 
+def test_numbers_are_no_letters(make_docs):
+    model = language.fit(["word and word"], ["en"])
+    docs = make_docs(list(enumerate(["²", "½ ①", "Ⅷ 12", "٣", "x²", "ª", "日"])))
+    found = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    assert found == {0: "und", 1: "und", 2: "und", 3: "und", 4: "en", 5: "en", 6: "en"}
+
+
+def test_a_small_language_keeps_its_words():
+    rng = random.Random(1)
+    big = [" ".join(f"{rng.choice('abc')}{rng.randrange(10**6)}x" for _ in range(400)) for _ in range(60)]
+    words = {w for t in big for w in language._LETTERS.findall(t)}
+    model = language.fit([*big * 2, "ooga booga", "ooga booga"], ["big"] * 120 + ["small"] * 2)
+    assert {"ooga", "booga"} <= model.word_rows.keys() and len(words) > 2
+
+
 def test_language_of_odd_rows(make_docs):
     model = language.fit(["word and word"], ["en"])
     docs = make_docs([*enumerate(ODD), (None, "word")])

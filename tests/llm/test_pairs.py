@@ -8,10 +8,12 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
-from apptflow.llm import decontaminate, packing, simhash, substrings
+from apptflow.llm import decontaminate, packing, queries, simhash, substrings
+from apptflow.llm.common import Words, keyed, plain
 
 ODD = [None, "", " \n\t", "a", "A", "é", "word", "x " * 3000, "x " * 3000, "y" * 40_000]
 
@@ -93,6 +95,30 @@ def test_overlaps_of_empty_tables(spark, make_docs):
     assert [(r.n_words, r.n_hit, r.item_ids) for r in rows] == [(2, 0, [])]
 
 
+def test_clean_passes_on_columns_with_names_used_inside(spark):
+    names = ["_id", "_t", "_th", "text", "doc_id", "n_hit", "c0"]
+    rows = [(1, 2, 3, "one two three", 5, 6, 7), (1, 2, 3, None, None, 6, 7), (1, 2, 3, "a b", 5, 6, 7)]
+    docs = spark.createDataFrame(rows, ", ".join(f"{n} {'string' if n == 'text' else 'long'}" for n in names))
+    items = spark.createDataFrame([(1, "two three")], "item_id long, text string")
+    clean = decontaminate.clean(docs, items)
+    assert clean.columns == names
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted(map(tuple, rows[1:]), key=repr)
+
+
+def test_contamination_digests(spark, make_docs, tmp_path):
+    docs = corpus(3)
+    rng = random.Random(3)
+    items = [(100 - i, " ".join((rng.choice(docs)[1] or "").split()[: rng.randint(1, 14)])) for i in range(30)]
+    make_docs(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = sorted((tuple(r) for r in queries.op2_decontamination(spark, str(tmp_path)).collect()), key=repr)
+    want = []
+    for d, n, hit, ids in brute_overlaps(docs, items):
+        listed = ",".join(sorted(map(str, ids)))
+        want.append((d, n, hit, len(ids), hashlib.sha256(listed.encode()).hexdigest(), hit > 0))
+    assert got == sorted(want, key=repr)
+
+
 # ---------------------------------------------------------------- substring dedup
 
 
@@ -125,6 +151,44 @@ def test_substrings_equal_brute_force(make_docs, seed, span, gram):
     assert got == brute_substrings(docs, span)
 
 
+def test_words_that_collide_in_a_polynomial_are_told_apart(make_docs):
+    """A Thue-Morse word and its inverse have equal polynomials modulo 2**64 in any base."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    for size in (64, 256, 1024, 4096):
+        pair = [word[:size], word[:size].translate(str.maketrans("ab", "ba"))]
+        around = [f"w{i}" for i in range(60)]
+        docs = [(i, " ".join([*around[:30], odd, *around[30:]])) for i, odd in enumerate(pair)]
+        got = {r.doc_id: r.n_removed for r in substrings.dedup(make_docs(docs)).collect()}
+        assert got == {0: 0, 1: 0}, size
+
+
+def test_hashes_of_words_follow_their_bytes():
+    rng = random.Random(4)
+    texts = {bytes(rng.choices(b"ab\x01\xff", k=n)) for n in [*range(1, 40), 511, 512, 513, 600] for _ in range(20)}
+    texts = sorted(texts)
+    every = np.ones(256, bool)
+    every[32] = False
+    column = plain(pa.array([b" ".join(texts), b"", b"x " + texts[0]], pa.large_binary()))
+    hashes = Words(column, every).hashes()
+    assert len(set(hashes.tolist())) == len(texts) + 1
+    assert hashes[-1] == hashes[0]
+
+
+def test_factors_name_the_words_they_repeat(make_docs):
+    docs = [d for d in corpus(1) if d[0] is not None]
+    rows = keyed(make_docs(docs))
+    texts = {(r.doc_id, r._th): r.text.split() for r in rows.collect()}
+    _, factors = substrings.parse(rows, 50, 16)
+    found = {tuple(r) for r in factors.select("doc_id", "_th", "start", "end", "ref_doc", "ref_th", "ref_start").collect()}
+    assert len(found) > 10
+    for d, t, a, b, ref, ref_t, at in found:
+        assert ref < d and b - a >= 50
+        assert texts[d, t][a:b] == texts[ref, ref_t][at : at + b - a]
+    assert max(b - a for _, _, a, b, *_ in found) > 100  # pieces run together on one reference
+
+
 def test_substrings_of_an_empty_table(make_docs):
     assert substrings.dedup(make_docs([])).collect() == []
 
