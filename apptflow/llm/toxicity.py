@@ -167,8 +167,10 @@ class Machine:
 
     def raw(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The decision value of each text: that of its most toxic word or stretch."""
-        letters = Letters(data, ends)
-        out = np.full(len(ends) - 1, min(self.bias, -1.0))
+        return self.values(Letters(data, ends), len(ends) - 1)
+
+    def values(self, letters: Letters, texts: int) -> np.ndarray:
+        out = np.full(texts, min(self.bias, -1.0))
         np.maximum.at(out, letters.doc, self.words(letters))
         if self.pairs is not None:
             np.maximum.at(out, letters.doc, self.stretches(letters))
@@ -248,21 +250,65 @@ def _telling(
     return odds, (ratio > 2 * np.log(max(2, len(seen)))) & (odds > 1.5), ratio
 
 
+def _some_at_a_time(texts: list[str], size: int = 4 << 20) -> Iterator[tuple[int, Letters]]:
+    """The letters of the texts, some megabytes of text at a time, and the first one's place."""
+    begin = 0
+    while begin < len(texts):
+        end, held = begin, 0
+        while end < len(texts) and (end == begin or held + len(texts[end]) <= size):
+            held += len(texts[end])
+            end += 1
+        yield begin, Letters(*_joined(texts[begin:end]))
+        begin = end
+
+
+def _plain_pairs(letters: Letters, machine: Machine) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """Word pairs without a word that the machine finds toxic by itself."""
+    if not len(letters.first):
+        return
+    good = machine.words(letters) <= 0
+    for k, (first, slot, value) in enumerate(_word_pairs(letters), 1):
+        keep = good[first] & good[first + k]
+        yield first[keep], slot[keep], value
+
+
+def _stretches(
+    letters: Letters, machine: Machine, number: np.ndarray, width: int
+) -> Iterator[tuple[int, np.ndarray]]:
+    """(document, rows of pair weights) of the stretches that begin with a numbered pair."""
+    rows, columns, values = [], [], []
+    for first, slot, value in _plain_pairs(letters, machine):
+        hit = number[slot] >= 0
+        rows.append(first[hit])
+        columns.append(number[slot[hit]])
+        values.append(np.full(int(hit.sum()), value, np.float32))
+    if not rows or not sum(map(len, rows)):
+        return
+    row, column, value = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+    order = np.argsort(row, kind="stable")
+    row, column, value = row[order], column[order], value[order]
+    begins = np.unique(row)
+    doc = letters.doc[begins]
+    end = np.minimum(begins + SPAN, np.searchsorted(letters.doc, doc, "right"))
+    low, high = np.searchsorted(row, begins), np.searchsorted(row, end)
+    for d in np.unique(doc).tolist():
+        own = np.flatnonzero(doc == d)
+        out = np.zeros((len(own), width), np.float32)
+        for i, b in enumerate(own.tolist()):
+            np.add.at(out[i], column[low[b] : high[b]], value[low[b] : high[b]])
+        yield d, out
+
+
 def _fit_pairs(texts: list[str], y: np.ndarray, machine: Machine) -> tuple[np.ndarray | None, float]:
     """A weight per slot of word pairs and a bias, or none if no pair tells anything.
 
     Pairs with a word that the machine finds toxic by itself are left to it.
     """
-    letters = Letters(*_joined(texts))
-    plain_word = machine.words(letters) <= 0
-    found = []
-    for first, slot, value in _word_pairs(letters):
-        k = len(found) + 1
-        keep = plain_word[first] & plain_word[first + k]
-        found.append((first[keep], slot[keep], value))
-    if not found:
-        return None, -1.0
-    in_text = np.unique(np.concatenate([letters.doc[f] * PAIR_SLOTS + s for f, s, _ in found]))
+    seen = [np.zeros(0, np.int64)]
+    for begin, letters in _some_at_a_time(texts):
+        for first, slot, _ in _plain_pairs(letters, machine):
+            seen.append(np.unique((letters.doc[first] + begin) * PAIR_SLOTS + slot))
+    in_text = np.unique(np.concatenate(seen))
     slots, label = in_text % PAIR_SLOTS, y[in_text // PAIR_SLOTS]
     bad = np.bincount(slots[label == 1], minlength=PAIR_SLOTS)
     good = np.bincount(slots[label == 0], minlength=PAIR_SLOTS)
@@ -273,32 +319,22 @@ def _fit_pairs(texts: list[str], y: np.ndarray, machine: Machine) -> tuple[np.nd
     if not len(chosen):
         return None, -1.0
 
-    # stretches by the chosen pairs: the best one of each text, and for clean texts all
+    # stretches by the chosen pairs: the best one of each toxic text, and those of clean texts
     # that have such a pair
     number = np.full(PAIR_SLOTS, -1)
     number[chosen] = np.arange(len(chosen))
-    rows, columns, values = [], [], []
-    for first, slot, value in found:
-        hit = number[slot] >= 0
-        rows.append(first[hit])
-        columns.append(number[slot[hit]])
-        values.append(np.full(int(hit.sum()), value, np.float32))
-    row, column, value = np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
-    begins = np.unique(row)
-    order = np.argsort(row, kind="stable")
-    row, column, value = row[order], column[order], value[order]
-    end = np.searchsorted(letters.doc, letters.doc[begins], "right")
-    low, high = np.searchsorted(row, begins), np.searchsorted(row, np.minimum(begins + SPAN, end))
-    mass = np.concatenate([[0.0], np.cumsum(value)])
-    mass = mass[high] - mass[low]
-    toxic = y[letters.doc[begins]] == 1
-    best = np.lexsort((-mass, letters.doc[begins]))
-    best = best[np.unique(letters.doc[begins][best], return_index=True)[1]]
-    rows_of = np.concatenate([best[toxic[best]], np.flatnonzero(~toxic)[: 4 * SAMPLE_ROWS]])
-    x = np.zeros((len(rows_of) + 1, len(chosen)), np.float32)  # the last one, of all other stretches, has none
-    for i, b in enumerate(rows_of.tolist()):
-        np.add.at(x[i], column[low[b] : high[b]], value[low[b] : high[b]])
-    side = np.append(np.where(toxic[rows_of], 1.0, -1.0), -1.0)
+    good_rows, bad_rows = [], []
+    for begin, letters in _some_at_a_time(texts):
+        for doc, stretch in _stretches(letters, machine, number, len(chosen)):
+            if y[begin + doc] == 1:
+                bad_rows.append(stretch[np.argmax(stretch.sum(axis=1))])
+            else:
+                good_rows += list(stretch)
+        if len(good_rows) > 4 * SAMPLE_ROWS:  # they are wide
+            good_rows = good_rows[::2]
+    none = np.zeros(len(chosen), np.float32)  # all other stretches have none of the pairs
+    x = np.stack([*bad_rows, *good_rows, none])
+    side = np.array([1.0] * len(bad_rows) + [-1.0] * (len(good_rows) + 1))
     z = np.unique(x[:-1], axis=0)
     z = z[:: max(1, len(z) // LANDMARKS)][:LANDMARKS]
     val, vec = np.linalg.eigh((z @ z.T).astype(float) + 1e-6 * np.eye(len(z)))
@@ -379,7 +415,11 @@ def fit(texts: list[str], toxic: list[int], landmarks: int = LANDMARKS) -> Machi
         return Machine(np.zeros(_TRIPLES, np.float32), 0.0, 0.0, none.shift)
 
     # decision values to probabilities, labels as frequent as they are in the sample
-    raw = Machine(weight, bias, 1.0, 0.0, pairs, pair_bias).raw(*_joined(texts))
+    whole = Machine(weight, bias, 1.0, 0.0, pairs, pair_bias)
+    raw = np.full(len(texts), min(bias, -1.0))
+    for begin, letters in _some_at_a_time(texts):
+        size = int(letters.doc[-1]) + 1 if len(letters.doc) else 0
+        raw[begin : begin + size] = whole.values(letters, size)
     share = np.full(len(y), 1 / len(y))
     a, b = 1.0, 0.0
     for _ in range(200):
