@@ -8,7 +8,8 @@ neighbour goes if a closer one leads to it), at most ``DEGREE`` per vector. The
 adjacency lists of all shards are united, and every vector is looked up by greedy
 search from the shard's medoid over the united lists; once a vector within the range
 is met the search goes on from every such vector until no new one turns up. Every
-link is verified by the exact cosine in double precision. Recall is audited against
+link is verified by the exact cosine in double precision. A pair that meets in several
+shards counts in the first of them, which checks such pairs exactly. Recall is audited against
 brute force on nodes asked until ``AUDIT_LINKS`` true links have been seen, and the
 search widened if it falls short. If that does not help, shards are compared exactly;
 a run that still falls short fails.
@@ -320,14 +321,14 @@ def near_links(
     shard_rows: int = SHARD_ROWS,
     exact: bool = False,
 ) -> DataFrame:
-    """(node, links, root, copies, others, weights): what each task found of a node.
-
-    ``links`` counts vectors of other nodes (copies included) over pairs that no other
-    task can find. A pair that meets in several shards may be found in any of them: its
-    smaller node lists the other one in ``others``, with the copies in ``weights``;
-    ``link_counts`` counts each once. ``root`` is the smallest node of the task that the
-    found links connect the node to. ``exact`` compares all pairs of each task instead of
-    searching.
+    """(node, links, root): what each task found of a node.
+
+    ``links`` counts vectors of other nodes (copies included). A pair that meets in several
+    shards is counted by the task of the first of these alone, which therefore checks all
+    such pairs exactly: whichever shard's search finds the pair, it counts, and once. So
+    what is passed on grows with the nodes, not with their links. ``root`` is the smallest
+    node of the task that the found links connect the node to. ``exact`` compares all pairs
+    of each task instead of searching.
     """
     centres = _fit_centres(nodes, sample_rows, cluster_rows, CENTRES)
     sizes = nodes.groupBy("label", "dim").agg(F.ceil(F.count("*") / ASSIGN_ROWS).cast("int").alias("parts"))
@@ -390,6 +391,7 @@ def near_links(
         x = (raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32)
         copies, block = group.column("copies").to_numpy(), group.column("block").to_numpy()
         bi, bj = group.column("bi")[0].as_py(), group.column("bj")[0].as_py()
+        shard, table = group.column("shard")[0].as_py(), _table(group.column("shards").to_pylist())
         index = np.flatnonzero(block == bj)
         if not len(index):
             return empty
@@ -404,6 +406,9 @@ def near_links(
             asks = np.flatnonzero(block == bi)
             a, b = _search(x[index], graph, x[asks], None, threshold, beam)
             a, b = asks[a], index[b]
+        if not exact:
+            more = _first_met(x, table, shard, np.flatnonzero(block == bi), index, threshold)
+            a, b = np.concatenate([a, more[0]]), np.concatenate([b, more[1]])
         a, b = np.minimum(a, b), np.maximum(a, b)
         pair = np.unique(a[a != b] * len(ids) + b[a != b])
         a, b = pair // len(ids), pair % len(ids)
@@ -413,8 +418,8 @@ def near_links(
         ]
         true = np.concatenate(true or [np.zeros(0, bool)])
         a, b = a[true], b[true]
-        several = _meetings(group.column("shards").to_pylist(), a, b) > 1
-        links, others, weights = _tallied(a, b, several, ids, copies)
+        own = _first_common(table, a, b) == shard
+        links = _tallied(a[own], b[own], copies)
         root = np.arange(len(ids))
         while len(a):
             low = np.minimum(root[a], root[b])
@@ -425,70 +430,57 @@ def near_links(
             if (new == root).all():
                 break
             root = new
-        listed = np.array([len(o) > 0 for o in others])
-        some = np.flatnonzero((links > 0) | listed | (root != np.arange(len(ids))))
-        return pa.table(
-            {
-                "node": ids[some],
-                "links": links[some],
-                "root": ids[root[some]],
-                "copies": copies[some],
-                "others": pa.array([others[i] for i in some], many),
-                "weights": pa.array([weights[i] for i in some], many),
-            }
-        )
+        some = np.flatnonzero((links > 0) | (root != np.arange(len(ids))))
+        return pa.table({"node": ids[some], "links": links[some], "root": ids[root[some]]})
 
-    schema = "node long, links long, root long, copies long, others array<long>, weights array<long>"
-    many = pa.list_(pa.int64())
-    empty = pa.table(
-        {
-            **{c: pa.array([], pa.int64()) for c in ("node", "links", "root", "copies")},
-            **{c: pa.array([], many) for c in ("others", "weights")},
-        }
-    )
+    empty = pa.table({c: pa.array([], pa.int64()) for c in ("node", "links", "root")})
+    schema = "node long, links long, root long"
     return tasks.groupBy("label", "dim", "shard", "bi", "bj").applyInArrow(link, schema)
 
 
-def _meetings(lists: list[list[int]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """In how many shards the nodes of each pair meet."""
+def _table(lists: list[list[int]]) -> np.ndarray:
+    """The shards of each node, -1 where there are fewer."""
     width = max(map(len, lists))
-    table = np.array([s + [-1] * (width - len(s)) for s in lists])
-    count = np.zeros(len(a), np.int64)
-    for i in range(width):
-        for j in range(width):
-            count += (table[a, i] == table[b, j]) & (table[a, i] >= 0)
-    return count
+    return np.array([s + [-1] * (width - len(s)) for s in lists])
 
 
-def _tallied(
-    a: np.ndarray, b: np.ndarray, several: np.ndarray, ids: np.ndarray, copies: np.ndarray
-) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Links of the pairs found here alone; the others per smaller node, and their copies.
+def _first_common(table: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest shard in which the nodes of each pair meet."""
+    none = np.iinfo(np.int64).max
+    first = np.full(len(a), none)
+    for i in range(table.shape[1]):
+        for j in range(table.shape[1]):
+            met = (table[a, i] == table[b, j]) & (table[a, i] >= 0)
+            first = np.minimum(first, np.where(met, table[a, i], none))
+    return first
+
+
+def _first_met(
+    x: np.ndarray, table: np.ndarray, shard: int, asks: np.ndarray, index: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within the range that meet in later shards too, and in no earlier one."""
+    none = np.zeros(0, np.int64)
+    found = [(none, none)]
+    for later in np.unique(table[table > shard]).tolist():
+        mine = asks[(table[asks] == later).any(axis=1)]
+        others = index[(table[index] == later).any(axis=1)]
+        if len(mine) and len(others):
+            a, b = _compared(x[others], x[mine], threshold)
+            found.append((mine[a], others[b]))
+    a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    own = _first_common(table, a, b) == shard
+    return a[own], b[own]
 
-    Pairs are sorted by ``a``, the smaller place.
-    """
-    one, n = ~several, len(ids)
-    links = np.bincount(a[one], copies[b[one]], n) + np.bincount(b[one], copies[a[one]], n)
-    cut = np.cumsum(np.bincount(a[several], minlength=n))[:-1]
-    others = np.split(ids[b[several]], cut)
-    return links.astype(np.int64), others, np.split(copies[b[several]], cut)
+
+def _tallied(a: np.ndarray, b: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """Links of each node over the pairs, copies of the other node included."""
+    n = len(copies)
+    return (np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)).astype(np.int64)
 
 
 def link_counts(found: DataFrame) -> DataFrame:
-    """(node, links) of what ``near_links`` found; a pair counts once, whoever found it."""
-    pair = F.explode(F.arrays_zip("others", "weights")).alias("p")
-    pairs = found.select("node", "copies", pair).select(
-        "node", "copies", F.col("p.others").alias("other"), F.col("p.weights").alias("weight")
-    )
-    pairs = pairs.groupBy("node", "other").agg(F.min("copies").alias("copies"), F.min("weight").alias("weight"))
-    ends = F.explode(
-        F.array(
-            F.struct("node", F.col("weight").alias("links")),
-            F.struct(F.col("other").alias("node"), F.col("copies").alias("links")),
-        )
-    ).alias("e")
-    rows = found.where("links > 0").select("node", "links").unionByName(pairs.select(ends).select("e.*"))
-    return rows.groupBy("node").agg(F.sum("links").alias("links"))
+    """(node, links) over all tasks of ``near_links``."""
+    return found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def _inner_graph(near: pa.Array, ids: np.ndarray, index: np.ndarray) -> Graph:
@@ -586,7 +578,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
     vector is zero or has a null or non-finite part, links with nothing and is its own
     component; so do vectors of different lengths. Rows with equal vectors and labels
     link with each other. Repeated rows each get a row. Other columns are ignored and
-    an empty table gives an empty result. The audit's figures are logged; a recall below
+    an empty table gives an empty result. Rows that share a vec_id but not the vector are one
+    node, whose links are those of all its vectors. The audit's figures are logged; a recall below
     ``AUDIT_RECALL`` that no widening mends fails the job.
     """
     rows, nodes = nodes_of(vectors)
@@ -596,8 +589,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
         links = stored(link_counts(found), "counts")
         seen = audit(nodes, links, threshold)
         log.warning(
-            "link audit: %d nodes asked, %d of %d true links found (%s, overlap %d)",
-            seen.asked, seen.found, seen.true, "shards compared" if exact else f"beam {beam}", overlap,
+            "link audit: %d nodes asked, %d of %d true links found, recall %s (%s, overlap %d)",
+            seen.asked, seen.found, seen.true, "unmeasured" if seen.recall is None else f"{seen.recall:.4f}",
+            "shards compared" if exact else f"beam {beam}", overlap,
         )
         if seen.recall is None or seen.recall >= AUDIT_RECALL:
             break
