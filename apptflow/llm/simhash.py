@@ -150,42 +150,47 @@ def trie_links(distinct: DataFrame, max_bits: int = MAX_BITS, node_rows: int = N
 
     ``distinct`` has one row per fingerprint in column ``fp``.
     """
-    sizes = None
+    deepest = DEPTHS[-1]
+    counts = distinct.groupBy(F.shiftrightunsigned("fp", 64 - deepest).alias("node")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "nodes")  # one count serves all depths
     for depth in DEPTHS:
-        node = F.shiftrightunsigned("fp", 64 - depth)
-        sizes = distinct.groupBy(node.alias("node")).count().agg(F.max("count")).first()[0] or 0
-        if sizes <= node_rows:
+        node = F.shiftrightunsigned("node", deepest - depth).alias("node")
+        sizes = counts.groupBy(node).agg(F.sum("n").alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= node_rows:
             break
+    large = sizes.where(F.col("n") > node_rows)
     flips = [0] + [
         sum(1 << b for b in bits)
         for k in range(1, max_bits + 1)
         for bits in combinations(range(depth), k)
     ]
-    spread = max(1, -(-sizes // node_rows))
 
     # each fingerprint meets a node pair; side 0 is the smaller node of the pair
     own = F.shiftrightunsigned("fp", 64 - depth)
     rows = distinct.select("fp", own.alias("own"), F.explode(F.lit(flips)).alias("flip"))
-    other = F.col("own").bitwiseXOR(F.col("flip"))
+    rows = rows.select("fp", "own", F.col("own").bitwiseXOR(F.col("flip")).alias("other"))
+    if large.isEmpty():
+        rows = rows.withColumns({"i": F.lit(0).cast("long"), "o": F.lit(0).cast("long")})
+    else:
+        # nodes that no depth splits: their blocks meet all blocks of the other node, and the
+        # fingerprints of all other nodes stay as many as they are
+        spread = stored(large.select("node", F.ceil(F.col("n") / node_rows).alias("spread")), "large")
+        for mine in ("own", "other"):
+            parts = spread.select(F.col("node").alias(mine), F.col("spread").alias(f"{mine}_parts"))
+            rows = rows.join(parts, mine, "left").fillna(1, [f"{mine}_parts"])
+        block = F.pmod(F.xxhash64("fp"), F.col("own_parts"))
+        every = F.sequence(F.lit(0).cast("long"), F.col("other_parts") - 1)
+        rows = rows.select("fp", "own", "other", block.alias("i"), F.explode(every).alias("o"))
+    lower, to_self = F.col("own") < F.col("other"), F.col("own") == F.col("other")
+    first = lower | (to_self & (F.col("i") <= F.col("o")))
     rows = rows.select(
         "fp",
-        F.least("own", other).alias("low"),
-        F.greatest("own", other).alias("high"),
-        (F.col("own") > other).cast("int").alias("side"),
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        F.when(first, F.col("i")).otherwise(F.col("o")).alias("bi"),
+        F.when(first, F.col("o")).otherwise(F.col("i")).alias("bj"),
+        F.when(first, 0).otherwise(1).alias("side"),
     )
-    if spread > 1:  # a node that stays too large: blocks of side 0 meet blocks of side 1
-        block = F.pmod(F.xxhash64("fp"), F.lit(spread))
-        rows = rows.withColumn("i", block)
-        every = F.sequence(F.lit(0), F.lit(spread - 1)).cast("array<bigint>")
-        to_self = F.col("low") == F.col("high")
-        rows = rows.withColumn("o", F.explode(every)).select(
-            "fp", "low", "high",
-            F.when(to_self, (F.col("i") > F.col("o")).cast("int")).otherwise(F.col("side")).alias("side"),
-            F.when(to_self, F.least("i", "o")).when(F.col("side") == 0, F.col("i")).otherwise(F.col("o")).alias("bi"),
-            F.when(to_self, F.greatest("i", "o")).when(F.col("side") == 0, F.col("o")).otherwise(F.col("i")).alias("bj"),
-        )
-    else:
-        rows = rows.select("fp", "low", "high", "side", F.lit(0).cast("long").alias("bi"), F.lit(0).cast("long").alias("bj"))
 
     keys = ["low", "high", "bi", "bj"]
 
@@ -273,14 +278,27 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     # per fingerprint first, stored, so that the join can split a hot one
     best = stored(fps.groupBy("fp").agg(F.min(row).alias("row")), "best")
     best = best.join(classes, "fp").groupBy("component").agg(F.min("row").alias("row"))
-    best = stored(best.select(F.col("row.doc_id").alias("_id"), F.col("row._th").alias("_hash")), "first")
+    best = best.select(F.col("row.doc_id").alias("_id"), F.col("row._th").alias("_hash"))
+    # keys decide: only those of rows that go or repeat are looked up where the texts are
+    keys = fps.groupBy(F.col("doc_id").alias("_id"), F.col("_th").alias("_hash")).agg(F.count("*").alias("n"))
+    keys = stored(keys, "keys")
+    same_key = keys["_id"].eqNullSafe(F.col("b._id")) & (keys["_hash"] == F.col("b._hash"))
+    gone = stored(keys.join(stored(best, "first").alias("b"), same_key, "left_anti").select("_id", "_hash"), "gone")
+    repeated = stored(keys.where("n > 1").select("_id", "_hash"), "repeated")
     own_id = F.col("doc_id").cast("long")
     own_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("_row"), own_id.alias("_own"), own_hash.alias("_th"))
-    same = rows["_own"].eqNullSafe(best["_id"]) & (rows["_th"] == best["_hash"])
-    named = rows.join(best, same, "left_semi").groupBy("_own", "_th").agg(F.min("_row").alias("_row"))
-    return named.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+    def in_(found: DataFrame):
+        return rows["_own"].eqNullSafe(found["_id"]) & (rows["_th"] == found["_hash"])
+
+    kept = rows.join(gone, in_(gone), "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, in_(repeated), "left_anti").select("_row")
+        several = kept.join(repeated, in_(repeated), "left_semi").groupBy("_own", "_th").agg(F.min("_row").alias("_row"))
+        kept = once.unionByName(several.select("_row"))
+    return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def hex_digits(fp):
