@@ -22,6 +22,9 @@ from apptflow.llm.common import stored
 
 KEY = "change-me"
 LONGER_AFTER = 24
+#: surrogates that one task makes, and tasks that make them at most
+ROWS_A_PART = 1000
+MOST_PARTS = 2000
 
 # Given names of surrogates by gender and script; surnames are syllables.
 FEMALE = ["Anna", "Clara", "Elena", "Emma", "Eva", "Flora", "Greta", "Helen", "Irene", "Julia", "Laura", "Lena", "Maria", "Nora", "Olga", "Petra", "Rosa", "Sara", "Sofia", "Vera"]
@@ -80,6 +83,9 @@ _NAME = r"\p{Lu}\p{L}*+(?:['’\-]\p{Lu}\p{L}*+){0,9}+"
 _GIVEN = KNOWN_FEMALE + KNOWN_MALE + KNOWN_EITHER
 _TITLED = TITLES_FEMALE + TITLES_MALE + TITLES
 _INITIALS = r"(?:\p{Lu}\.[ ]){0,3}"
+#: small words inside a name
+_PARTICLES = "van|von|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|ten|ter|bin|ibn|al|el"
+_PARTICLE = rf"(?:(?:{_PARTICLES})[ ]){{0,3}}"
 #: keys that a mark at their start tells
 _MARKED = r"gh[pousr]_|github_pat_|glpat-|sk-|[sr]k_(?:live|test)_|xox[abprs]-"
 
@@ -100,12 +106,18 @@ ENTITY = "|".join(
         # keys, accounts and names, from a capital at the start of a word
         r"(?<![\p{L}\d])(?=\p{Lu})(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
         r"|[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){3,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
-        rf"|(?:(?:{_by_letter(_TITLED)})\s){{1,3}}{_INITIALS}(?:{_NAME})(?:[ ](?:{_NAME})){{0,2}}"
-        rf"|(?:{_by_letter(_GIVEN)})[ ]{_INITIALS}(?:{_NAME}))",
+        rf"|(?:(?:{_by_letter(_TITLED)})\s){{1,3}}{_INITIALS}{_PARTICLE}(?:{_NAME})(?:[ ]{_PARTICLE}(?:{_NAME})){{0,4}}"
+        # given names, as many as there are, and the name behind them
+        rf"|(?:(?:{_by_letter(_GIVEN)})[ ])(?:(?:{_by_letter(_GIVEN)})[ ]){{0,3}}{_INITIALS}{_PARTICLE}(?:{_NAME}))",
         # secrets behind their key word
         r"(?<![A-Za-z0-9])(?=[PTSApatsk])(?i:password|passwd|token|secret|api_?key)\s{0,2}[=:]\s{0,2}[\"']?[A-Za-z0-9_\-+/]{8,}+",
         # keys with a mark at their start
         rf"(?<![A-Za-z0-9])(?=[gsrx])(?:{_MARKED})[A-Za-z0-9_\-]{{16,}}+",
+        # the same written small, without spaces
+        r"(?<![\p{L}\d])(?=[a-z]{2}\d{2})[a-z]{2}\d{2}[a-z0-9]{4}\d{7}[a-z0-9]{0,16}(?![A-Za-z0-9])",
+        # addresses of eight groups, or fewer with a double colon
+        r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{1,4}:)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
         # numbers: addresses, cards, social security and telephone
         r"(?<![\d.])(?=\d)(?:" + _OCTET + r"\.){3}" + _OCTET + r"(?!\d|\.\d)",
         r"(?<![\d\-])(?=\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}(?: \d{3})?|\d{4}-\d{4}-\d{4}-\d{4}(?:-\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{5}"
@@ -130,6 +142,7 @@ def kind(value: Column) -> Column:
     return (
         F.when(value.contains("@"), "email")
         .when(value.rlike(r"^(?:\d{1,3}\.){3}\d{1,3}$"), "ip")
+        .when(value.rlike(r"^(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}$"), "ip6")
         .when(value.rlike(r"^AKIA[0-9A-Z]{16}$"), "secret")
         .when(value.rlike(r"^(?i:password|passwd|token|secret|api_?key)\s{0,2}[=:]"), "secret")
         .when(value.rlike(rf"^(?:{_MARKED})"), "secret")
@@ -137,8 +150,10 @@ def kind(value: Column) -> Column:
         .when(value.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(value.rlike(r"^(?:1[ .\-])?\d{3}[ .\-]\d{3}[ .\-]\d{4}$|^1[ .\-]?\("), "phone")
         .when(value.rlike(r"^0\d(?:[ .\-]\d{2}){4}$|^0\d{2,4}[ /\-]\d{5,8}$"), "phone")
+        # a bare number is a card only with a right check digit: "Build 1234567890123" is none
+        .when(value.rlike(r"^\d+$") & (digits >= 13) & ~_luhn_valid(value), "none")
         .when(value.rlike(r"^\d(?:[ \-]?\d)+$") & (digits >= 13), "card")
-        .when(value.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{12,}$"), "iban")
+        .when(value.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{12,}$|^[a-z]{2}\d{2}[a-z0-9]{11,}$"), "iban")
         .otherwise("name")
     )
 
@@ -188,13 +203,17 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda a, x: a + x)
 
 
+def _luhn_valid(number: Column) -> Column:
+    return F.pmod(_luhn_sum(F.regexp_replace(number, r"\D", "")), F.lit(10)) == 0
+
+
 def _card(value: Column, digest: Column) -> Column:
     """Same grouping and first digit; a valid check digit if the number had one."""
     masked = _masked(value, digest, keep=F.lit(1))
     digits = F.regexp_replace(masked, r"\D", "")
     body = F.substring(digits, F.lit(1), F.length(digits) - 1)
     check = F.pmod(F.lit(10) - F.pmod(_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10))
-    valid = F.pmod(_luhn_sum(F.regexp_replace(value, r"\D", "")), F.lit(10)) == 0
+    valid = _luhn_valid(value)
     fixed = F.concat(F.substring(masked, F.lit(1), F.length(masked) - 1), check.cast("string"))
     return F.when(valid, fixed).otherwise(masked)
 
@@ -265,6 +284,7 @@ def _candidate(key: str) -> Column:
         .when(F.col("type") == "surname", _surname(value, digest, attempt))
         .when(F.col("type") == "given", _given(value, F.col("gender"), digest, attempt))
         .when(F.col("type") == "iban", _masked(value, digest, keep=F.lit(2)))
+        .when(F.col("type") == "ip6", _masked(value, digest, hexadecimal=F.lit(True)))
         .when(F.col("type") == "secret", _masked(value, digest, _lead(value), _is_hex(value)))
         .otherwise(_masked(value, digest))
     )
@@ -293,25 +313,30 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(type, gender, value, surrogate) for distinct (type, gender, value).
 
     Within a type all surrogates differ, and none is a value that occurs. Of those that
-    want the same surrogate the smallest value gets it; the others try again. What is
-    settled is written down, so each round works on the rest alone.
+    want the same surrogate the smallest value gets it; the others try again, with twice as
+    many attempts at once as in the round before, of which the first that wins counts. What
+    is settled is written down, so each round works on the rest alone.
     """
     known = entities.select("type", F.col("value").alias("surrogate")).distinct()
-    settled = None
-    open_ = entities.withColumn("attempt", F.lit(0))
-    while True:
-        tried = open_.withColumn("surrogate", _candidate(key))
+    same = ["type", "value", "gender"]
+    settled, attempt, step = None, 0, 1
+    open_ = stored(entities.select(*same), "open")
+    while (left := open_.count()) or settled is None:
+        # few rows, but dear ones: a number of parts that is not joined up again
+        parts = max(1, min(MOST_PARTS, left * step // ROWS_A_PART))
+        tries = F.explode(F.lit(list(range(attempt, attempt + step)))).alias("attempt")
+        tried = open_.select(*same, tries).repartition(parts).withColumn("surrogate", _candidate(key))
         free = tried.join(known, ["type", "surrogate"], "left_anti")
         if settled is not None:
             free = free.join(settled.select("type", "surrogate"), ["type", "surrogate"], "left_anti")
-        won = free.groupBy("type", "surrogate").agg(F.min(F.struct("value", "gender")).alias("w"))
-        won = stored(won.select("type", "surrogate", "w.value", "w.gender"), "surrogates")
+        won = free.groupBy("type", "surrogate").agg(F.min(F.struct("value", "gender", "attempt")).alias("w"))
+        won = won.select("type", "w.value", "w.gender", "w.attempt", "surrogate")
+        won = won.groupBy(*same).agg(F.min(F.struct("attempt", "surrogate"))["surrogate"].alias("surrogate"))
+        won = stored(won.select("type", "surrogate", "value", "gender"), "surrogates")
         settled = won if settled is None else settled.unionByName(won)
-        same = ["type", "value", "gender"]
-        rest = stored(open_.join(won.select(*same), same, "left_anti").withColumn("attempt", F.col("attempt") + 1), "open")
-        if rest.isEmpty():
-            return settled
-        open_ = rest
+        open_ = stored(open_.join(won.select(*same), same, "left_anti"), "open")
+        attempt, step = attempt + step, 2 * step
+    return settled
 
 
 def _renamed(piece: Column, by_part: Column) -> Column:
@@ -359,12 +384,15 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     uses = uses.withColumn("parts", parts)
     has_given = F.col("parts")[0].isin(_GIVEN) | (F.size("parts") > 1)
     uses = uses.select(
-        "text_key", "pos", "kind", "title", has_given.alias("has_given"), F.posexplode("parts").alias("part", "value")
-    )
-    is_given = (F.col("part") == 0) & F.col("has_given")
-    uses = uses.withColumn(
-        "type", F.when(F.col("kind") == "name", F.when(is_given, "given").otherwise("surname")).otherwise(F.col("kind"))
+        "text_key", "pos", "kind", "title", has_given.alias("has_given"), F.size("parts").alias("n"),
+        F.posexplode("parts").alias("part", "value"),
     )
+    uses = uses.withColumn("is_last", F.col("part") == F.col("n") - 1).drop("n")
+    first = (F.col("part") == 0) & F.col("has_given")
+    # a further given name, not the last of the parts
+    is_given = first | (F.col("value").isin(_GIVEN) & ~F.col("is_last"))
+    of_name = F.when(F.col("value").rlike(rf"^(?:{_PARTICLES})$"), "none").when(is_given, "given").otherwise("surname")
+    uses = uses.withColumn("type", F.when(F.col("kind") == "name", of_name).otherwise(F.col("kind"))).drop("is_last")
     by_name = F.when(F.col("value").isin(KNOWN_FEMALE), "f").when(F.col("value").isin(KNOWN_MALE), "m")
     by_title = F.when(F.col("title").rlike(rf"^(?:{_any(TITLES_FEMALE)})\s"), "f").when(
         F.col("title").rlike(rf"^(?:{_any(TITLES_MALE)})\s"), "m"
@@ -373,8 +401,11 @@ def anonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
     uses = stored(uses.withColumn("gender", F.coalesce(gender, F.lit(""))).drop("kind", "has_given"), "uses")
 
     same = ["type", "gender", "value"]
-    made = surrogates(uses.select(*same).distinct(), key)
-    placed = uses.join(made, same)
+    # small words of names and numbers that turn out to be none stay as they are
+    made = surrogates(uses.where("type <> 'none'").select(*same).distinct(), key)
+    placed = uses.where("type <> 'none'").join(made, same).unionByName(
+        uses.where("type = 'none'").withColumn("surrogate", F.col("value"))
+    )
     # the parts of a text's entities in order, then the entities in order
     part = F.struct("pos", "part", F.concat_ws("", F.when(F.col("part") == 0, F.col("title")), "surrogate").alias("s"))
     # parts of names, one surrogate each, for where they stand alone

@@ -230,20 +230,37 @@ def test_embedding_links_reach_recall(spark, shard_rows):
 
 def test_a_link_counts_once_whichever_shard_finds_it(spark):
     """Nodes 10 and 20 meet in shards 1 and 4, 10 and 30 in shard 4 only; 20 stands for 3 copies."""
-    shards, ids, copies = [[1, 4], [1, 4], [2, 4]], np.array([10, 20, 30]), np.array([1, 3, 1])
-    a, b = np.array([0, 0]), np.array([1, 2])
-    several = embeddings._meetings(shards, a, b) > 1
-    assert several.tolist() == [True, False]
-    links, others, weights = embeddings._tallied(a, b, several, ids, copies)
-    later = [
-        (int(i), int(n), 10, int(c), o.tolist(), w.tolist())
-        for i, n, c, o, w in zip(ids, links, copies, others, weights, strict=True)
-    ]
-    first = [(10, 0, 10, 1, [20], [3])]
-    schema = "node long, links long, root long, copies long, others array<long>, weights array<long>"
-    for rows in (later, later + first):  # found in the later shard only, then in both
-        found = embeddings.link_counts(spark.createDataFrame(rows, schema)).collect()
-        assert {r.node: r.links for r in found} == {10: 4, 20: 1, 30: 1}
+    table, copies = embeddings._table([[1, 4], [1, 4], [2, 4]]), np.array([1, 3, 1])
+    a, b = np.array([0, 0, 1]), np.array([1, 2, 2])
+    assert embeddings._first_common(table, a, b).tolist() == [1, 4, 4]
+    x = np.ones((3, 2), np.float32) / np.sqrt(2, dtype=np.float32)
+    # the first shard checks the pair itself: its search may have missed it
+    both, every = np.arange(2), np.arange(3)
+    one, two = embeddings._first_met(x, table, 1, both, both, 0.98)
+    pairs = {(min(p), max(p)) for p in zip(one.tolist(), two.tolist(), strict=True)}
+    assert (0, 1) in pairs and pairs <= {(0, 0), (0, 1), (1, 1)}
+    # the later one has no pair to check, and does not count the one it finds
+    assert not len(embeddings._first_met(x, table, 4, every, every, 0.98)[0])
+    rows = []
+    for shard, a, b in ((1, [0], [1]), (4, [0, 0, 1], [1, 2, 2])):
+        a, b = np.array(a), np.array(b)
+        own = embeddings._first_common(table, a, b) == shard
+        rows += [(10 * (i + 1), int(n), 10) for i, n in enumerate(embeddings._tallied(a[own], b[own], copies))]
+    found = embeddings.link_counts(spark.createDataFrame(rows, "node long, links long, root long")).collect()
+    assert {r.node: r.links for r in found} == {10: 4, 20: 2, 30: 4}
+
+
+def test_links_of_overlapping_shards_equal_brute_force(spark):
+    """Every pair of a near group meets in several shards; compared exactly, none is lost."""
+    rows = vectors(5)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, node string")
+    _, nodes = embeddings.nodes_of(frame)
+    found = embeddings.near_links(nodes, overlap=3, cluster_rows=60, shard_rows=150, exact=True)
+    assert set(found.columns) == {"node", "links", "root"}
+    got = {r.node: r.links for r in embeddings.link_counts(found).collect()}
+    asks = nodes.collect()
+    want = {r.node: r.links for r in embeddings.brute_links(nodes, asks, 0.98).collect() if r.links}
+    assert all(got.get(k, 0) <= n for k, n in want.items()) and sum(got.values()) > 0.99 * sum(want.values())
 
 
 def test_audit_asks_until_it_sees_links_and_a_short_run_fails(spark, monkeypatch):
@@ -480,6 +497,32 @@ def test_parts_of_found_names_go_where_they_stand_alone(make_docs):
     assert new[6] == texts[6]
 
 
+def test_names_run_on(make_docs):
+    texts = ["Anna Maria Berg left.", "Mr. Juan Carlos Garcia Lopez left.", "Maria van der Berg left.", "Dr. Otto von Stein and Stein.", "The van der house."]
+    new = {r.doc_id: r.text for r in pii.anonymize(make_docs(list(enumerate(texts)))).collect()}
+    m = re.fullmatch(r"(\w+) (\w+) (\w+) left\.", new[0])
+    assert m and {m[1], m[2]} <= set(pii.FEMALE) and not {"Anna", "Maria", "Berg"} & set(m.groups())
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) (\w+) (\w+) left\.", new[1])
+    assert m and not {"Juan", "Carlos", "Garcia", "Lopez"} & set(m.groups())
+    m = re.fullmatch(r"(\w+) van der (\w+) left\.", new[2])
+    assert m and not {"Maria", "Berg"} & set(m.groups())
+    m = re.fullmatch(r"Dr\. (\w+) von (\w+) and (\w+)\.", new[3])
+    assert m and m[2] == m[3] != "Stein" and m[1] != "Otto"
+    assert new[4] == texts[4]
+
+
+def test_numbers_and_addresses_by_their_form(make_docs):
+    stay = ["Build 1234567890123 of 2024.", "ISBN 9783161484101", "at 12:30:45 or 1:2", "ab12 is that", "std::vector<int>"]
+    go = ["4111111111111111", "de89370400440532013000", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:db8::8a2e:370:7334", "FE80::1"]
+    docs = [*enumerate(stay), *((100 + i, f"x {v} y") for i, v in enumerate(go))]
+    new = {r.doc_id: r.text for r in pii.anonymize(make_docs(docs)).collect()}
+    assert [new[i] for i in range(len(stay))] == stay
+    for i, value in enumerate(go):
+        made = re.fullmatch(r"x (\S+) y", new[100 + i])[1]
+        assert made != value and len(made) == len(value)
+        assert re.sub("[0-9A-Fa-f]", "0", made) == re.sub("[0-9A-Fa-f]", "0", value) or value[:2] == made[:2] == "de"
+
+
 def test_surrogates_stay_distinct(spark):
     """Many values of a format with few forms: every collision is resolved."""
     rows = [("ip", "", f"10.0.{i // 250}.{i % 250}") for i in range(300)]
