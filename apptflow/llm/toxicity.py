@@ -250,7 +250,7 @@ def _telling(
     return odds, (ratio > 2 * np.log(max(2, len(seen)))) & (odds > 1.5), ratio
 
 
-def _some_at_a_time(texts: list[str], size: int = 4 << 20) -> Iterator[tuple[int, Letters]]:
+def _some_at_a_time(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, Letters]]:
     """The letters of the texts, some megabytes of text at a time, and the first one's place."""
     begin = 0
     while begin < len(texts):
