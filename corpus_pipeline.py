@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from apptflow.llm import decontaminate, language, packing, pii, simhash
-from apptflow.session import checkpoint_ready
+from apptflow.session import checkpoint_ready, remove_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -61,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what one keeps is stored and read by the next."""
+    """All stages over ``documents``; what one keeps is stored and read by the next.
+
+    A stage's folder goes once the next one is written; the last one's stays for the caller.
+    """
     if not checkpoint_ready(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
@@ -69,4 +72,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
