@@ -40,9 +40,19 @@ UNSEEN_WEIGHT = 0.5
 MEMO_WORDS = 300_000
 UNKNOWN = "und"
 
-# letters are word characters without the numbers, also those that are no digits (², ½, Ⅷ)
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+# word characters that are neither letters nor digits, such as ², ½ and Ⅷ
+_NUMBERS = frozenset(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not (c.isalpha() or c.isdecimal())
+)
+_BLANKED = {ord(c): " " for c in _NUMBERS}
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters in a text."""
+    if not text.isascii() and not _NUMBERS.isdisjoint(text):
+        text = text.translate(_BLANKED)
+    return _LETTERS.findall(text)
 
 
 @dataclass
@@ -87,7 +97,7 @@ class Model:
         """Language and score of each whole text."""
         if not self.langs:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        words = [_LETTERS.findall(t.lower()) for t in texts]
+        words = [words_of(t.lower()) for t in texts]
         found: list[tuple[str, float]] = []
         for at in range(0, len(words), 64):
             new = {w for ws in words[at : at + 64] for w in ws} - self.memo.keys()
@@ -116,7 +126,7 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     langs = sorted(set(labels))
     words: dict[str, Counter] = {g: Counter() for g in langs}
     for text, lang in zip(texts, labels, strict=True):
-        words[lang].update(_LETTERS.findall(text.lower()))
+        words[lang].update(words_of(text.lower()))
     grams: dict[str, Counter] = {g: Counter() for g in langs}
     for lang in langs:
         for word, n in words[lang].items():
@@ -229,7 +239,7 @@ def accepted(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame
                     lang, score = own.predict(texts)
                     keep = [g != UNKNOWN and s >= min_score for g, s in zip(lang, score, strict=True)]
                 else:
-                    keep = [bool(_LETTERS.search(t)) for t in texts]
+                    keep = [bool(words_of(t)) for t in texts]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(batch, docs.schema)

@@ -56,7 +56,7 @@ def test_numbers_are_no_letters(make_docs):
 def test_a_small_language_keeps_its_words():
     rng = random.Random(1)
     big = [" ".join(f"{rng.choice('abc')}{rng.randrange(10**6)}x" for _ in range(400)) for _ in range(60)]
-    words = {w for t in big for w in language._LETTERS.findall(t)}
+    words = {w for t in big for w in language.words_of(t)}
     model = language.fit([*big * 2, "ooga booga", "ooga booga"], ["big"] * 120 + ["small"] * 2)
     assert {"ooga", "booga"} <= model.word_rows.keys() and len(words) > 2
 
