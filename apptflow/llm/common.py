@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,21 +15,27 @@ from pyspark.sql import functions as F
 from apptflow.session import checkpoint_ready
 
 CHUNK_BYTES = 1 << 20
+#: rows of keys that are worth a file of their own
+FILE_ROWS = 50_000
 
 
 # ---------------------------------------------------------------- stored tables
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read back.
 
-    A lost executor costs only its tasks: the table can be read by any other one.
+    With ``rows``, about the most rows that it can have, a table of few rows gets few files
+    whatever the number of shuffle partitions: each costs its executor several processes,
+    which set the file's permissions. A lost executor costs only its tasks: the table can be read by any other one.
     The files are removed when the driver's JVM ends.
     """
     spark = df.sparkSession
     if not checkpoint_ready(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     df.write.parquet(folder)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
@@ -56,6 +63,24 @@ def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 # ------------------------------------------------------------------ text batches
 
 
+def lean(batch: Callable) -> Callable:
+    """``batch`` for ``mapInArrow``, handing back at a task's end the memory it has used.
+
+    Python workers stay for the stages to come, and allocators keep what is freed.
+    """
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from batch(parts)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def plain(column: pa.Array) -> pa.Array:
     """A text column with 64-bit offsets and without nulls (null becomes empty)."""
     if isinstance(column, pa.ChunkedArray):
@@ -223,17 +248,18 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u != v")
     pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = stored(pairs, "edges")
-    before = None
+    most, before = 2 * pairs.count(), None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         # written down, so that the join can split a node with very many neighbours
-        least = stored(least.select("u", F.least("u", "m").alias("m")), "least")
+        least = stored(least.select("u", F.least("u", "m").alias("m")), "least", most)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u != v").distinct(), "edges")
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = stored(large.where("u != v").distinct(), "edges", most)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least", most)
         small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        pairs = small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        pairs = stored(pairs, "edges", most)
         sums = pairs.agg(
             F.count("*").alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),

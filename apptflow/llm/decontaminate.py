@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from apptflow.llm.common import Words, chunks, keyed, mix, plain, prefix, sliding_min, spans, stored
+from apptflow.llm.common import Words, chunks, keyed, lean, mix, plain, prefix, sliding_min, spans, stored
 
 SPAN = 10
 GRAM = 5
@@ -182,7 +182,7 @@ def _document_rows(docs: DataFrame, sizes: list[int], packed: bytes, span: int,
         "doc_id long, _th long, n_words long, "
         "hits array<struct<size: int, finger: long, at: int, words: array<string>>>"
     )
-    return docs.mapInArrow(batch, schema)
+    return docs.mapInArrow(lean(batch), schema)
 
 
 def overlaps(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -195,7 +195,8 @@ def overlaps(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GR
     ``docs`` each get a row. With an empty table of items nothing is hit.
     """
     bench = stored(_item_rows(items, span, gram), "items")
-    fingers = stored(bench.select("size", F.explode("fingers").alias("finger")).distinct(), "fingers")
+    most = bench.agg(F.sum(F.size("windows"))).first()[0] or 0
+    fingers = stored(bench.select("size", F.explode("fingers").alias("finger")).distinct(), "fingers", most)
     # a window has 1 to ``span`` words, so this is a handful of values
     sizes = sorted(r.size for r in fingers.select(F.col("size")).distinct().toLocalIterator())
     rows = stored(_document_rows(keyed(docs), sizes, _filter(fingers), span, gram), "documents")
@@ -219,8 +220,8 @@ def overlaps(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GR
     )
     windows = windows.select("doc_id", "_th", "size", "w.*").distinct()
     known = bench.select("size", "item_id", F.explode("windows").alias("window")).distinct()
-    known = stored(known, "windows")
-    distinct = stored(known.select("size", "window").distinct(), "distinct")
+    known = stored(known, "windows", most)
+    distinct = stored(known.select("size", "window").distinct(), "distinct", most)
     found = windows.join(distinct, ["size", "window"], "left_semi")
     found = stored(found, "found")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apptflow.llm.common import chunks, plain
+from apptflow.llm.common import chunks, lean, plain
 
 #: labelled rows per language that the model is fitted on, and how many words and n-grams of
 #: them it holds, dealt out to the languages in equal parts
@@ -37,7 +37,7 @@ ORDER = 5
 BACKOFF = 0.4
 #: a word outside the model counts less than one in it
 UNSEEN_WEIGHT = 0.5
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -219,7 +219,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         F.col("text").cast("string").alias("text"),
         F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_th"),
     )
-    return rows.mapInArrow(batch, "doc_id long, _th long, lang_pred string, score double")
+    return rows.mapInArrow(lean(batch), "doc_id long, _th long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
@@ -242,4 +242,4 @@ def accepted(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame
                     keep = [bool(words_of(t)) for t in texts]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(batch, docs.schema)
+    return docs.mapInArrow(lean(batch), docs.schema)

@@ -22,16 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from apptflow.llm.common import chunks, keyed, plain, stored, text_bytes
+from apptflow.llm.common import chunks, keyed, lean, plain, stored, text_bytes
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: parts of texts whose ids a Python worker remembers, and their bytes
-MEMO_PARTS = 1_000_000
-MEMO_BYTES = 48 << 20
+MEMO_PARTS = 250_000
+MEMO_BYTES = 12 << 20
 #: text that is tokenised at once
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: a length's pieces are ranked in so many independent parts
 RANK_PARTS = 256
 SHIFT = 44
@@ -94,7 +94,7 @@ def parts_of(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         )
         begin &= ~whole | first
         low = np.where(whole, data, low)
-    place = np.cumsum(held) - held
+    place = np.cumsum(held, dtype=np.int32) - held  # a chunk is no longer than that
     offsets = np.append(place[begin], held.sum()).astype(np.int64)
     parts = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(low[held])]
@@ -235,7 +235,7 @@ def pieces(
                 )
 
     return docs.mapInArrow(
-        batch, "doc_id long, _th long, piece int, start long, length long, ids_crc32 long"
+        lean(batch), "doc_id long, _th long, piece int, start long, length long, ids_crc32 long"
     )
 
 
@@ -418,7 +418,7 @@ def pack(
             )
 
     return ranked.select(*out, "_rank").mapInArrow(
-        place,
+        lean(place),
         "doc_id long, piece int, start long, length long, ids_crc32 long, "
         "sequence_id long, offset long",
     )

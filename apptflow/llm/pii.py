@@ -332,9 +332,9 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
         won = free.groupBy("type", "surrogate").agg(F.min(F.struct("value", "gender", "attempt")).alias("w"))
         won = won.select("type", "w.value", "w.gender", "w.attempt", "surrogate")
         won = won.groupBy(*same).agg(F.min(F.struct("attempt", "surrogate"))["surrogate"].alias("surrogate"))
-        won = stored(won.select("type", "surrogate", "value", "gender"), "surrogates")
+        won = stored(won.select("type", "surrogate", "value", "gender"), "surrogates", left)
         settled = won if settled is None else settled.unionByName(won)
-        open_ = stored(open_.join(won.select(*same), same, "left_anti"), "open")
+        open_ = stored(open_.join(won.select(*same), same, "left_anti"), "open", left)
         attempt, step = attempt + step, 2 * step
     return settled
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from apptflow.llm.common import chunks, components, keyed, plain, stored, text_bytes
+from apptflow.llm.common import chunks, components, keyed, lean, plain, stored, text_bytes
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -31,6 +31,8 @@ NODE_ROWS = 1 << 16
 DEPTHS = (6, 8, 10, 12, 14, 16, 18, 20)
 #: subtrees of so few pairs are compared directly
 LEAF_PAIRS = 64
+#: what tasks receive to tell rows that stay for sure: so many rows of 64 marks at most
+MARK_PLACES = 1 << 18
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -69,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
                     [part.column("doc_id"), part.column("_th"), fp], ["doc_id", "_th", "fp"]
                 )
 
-    return keyed(docs).mapInArrow(batch, "doc_id long, _th long, fp long")
+    return keyed(docs).mapInArrow(lean(batch), "doc_id long, _th long, fp long")
 
 
 # ----------------------------------------------------------------- trie self-join
@@ -152,7 +154,7 @@ def trie_links(distinct: DataFrame, max_bits: int = MAX_BITS, node_rows: int = N
     """
     deepest = DEPTHS[-1]
     counts = distinct.groupBy(F.shiftrightunsigned("fp", 64 - deepest).alias("node")).agg(F.count("*").alias("n"))
-    counts = stored(counts, "nodes")  # one count serves all depths
+    counts = stored(counts, "nodes", 1 << deepest)  # one count serves all depths
     for depth in DEPTHS:
         node = F.shiftrightunsigned("node", deepest - depth).alias("node")
         sizes = counts.groupBy(node).agg(F.sum("n").alias("n"))
@@ -235,19 +237,19 @@ def trie_links(distinct: DataFrame, max_bits: int = MAX_BITS, node_rows: int = N
                 )
 
     grouped = rows.repartition(*keys).sortWithinPartitions(*keys, "side")
-    return grouped.mapInArrow(joined, "f long, g long")
+    return grouped.mapInArrow(lean(joined), "f long, g long")
 
 
 def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, _th, fp) for every row, and (fp, first_id, component) for every fingerprint."""
     fps = stored(fingerprints(docs, shingle), "simhash")
-    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
+    distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct", fps.count())
     links = trie_links(distinct.select("fp"), max_bits)
     groups = components(links, "f", "g").withColumnRenamed("node", "fp")
     classes = distinct.join(groups, "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
     )
-    return fps, stored(classes, "classes")
+    return fps, stored(classes, "classes", distinct.count())
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -260,7 +262,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     gives an empty result. Other columns are ignored.
     """
     fps, classes = _grouped(docs, shingle, max_bits)
-    ids = stored(classes.groupBy("component").agg(F.min("first_id").alias("component_id")), "ids")
+    ids = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    ids = stored(ids, "ids", classes.count())
     classes = classes.join(ids, "component").select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
@@ -276,19 +279,27 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     fps, classes = _grouped(docs, shingle, max_bits)
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th")
     # per fingerprint first, stored, so that the join can split a hot one
-    best = stored(fps.groupBy("fp").agg(F.min(row).alias("row")), "best")
+    best = stored(fps.groupBy("fp").agg(F.min(row).alias("row")), "best", classes.count())
     best = best.join(classes, "fp").groupBy("component").agg(F.min("row").alias("row"))
     best = best.select(F.col("row.doc_id").alias("_id"), F.col("row._th").alias("_hash"))
     # keys decide: only those of rows that go or repeat are looked up where the texts are
     keys = fps.groupBy(F.col("doc_id").alias("_id"), F.col("_th").alias("_hash")).agg(F.count("*").alias("n"))
-    keys = stored(keys, "keys")
+    keys = stored(keys, "keys", fps.count())
     same_key = keys["_id"].eqNullSafe(F.col("b._id")) & (keys["_hash"] == F.col("b._hash"))
-    gone = stored(keys.join(stored(best, "first").alias("b"), same_key, "left_anti").select("_id", "_hash"), "gone")
-    repeated = stored(keys.where("n > 1").select("_id", "_hash"), "repeated")
+    best = stored(best, "first", classes.count())
+    most = keys.count()
+    gone = stored(keys.join(best.alias("b"), same_key, "left_anti").select("_id", "_hash"), "gone", most)
+    repeated = stored(keys.where("n > 1").select("_id", "_hash"), "repeated", most)
+    marks = _marks(gone.unionByName(repeated))
     own_id = F.col("doc_id").cast("long")
     own_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("_row"), own_id.alias("_own"), own_hash.alias("_th"))
+    place, bit = _mark("_own", "_th")
+    marked = rows.withColumns({"_place": place, "_bit": bit}).join(F.broadcast(marks), "_place", "left")
+    # texts move only where the marks leave it open whether their row goes or repeats
+    found = F.coalesce(F.getbit("_bits", "_bit"), F.lit(0)) == 1
+    sure, rows = marked.where(~found).select("_row"), marked.where(found).select("_row", "_own", "_th")
 
     def in_(found: DataFrame):
         return rows["_own"].eqNullSafe(found["_id"]) & (rows["_th"] == found["_hash"])
@@ -298,8 +309,26 @@ def representatives(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
         once = kept.join(repeated, in_(repeated), "left_anti").select("_row")
         several = kept.join(repeated, in_(repeated), "left_semi").groupBy("_own", "_th").agg(F.min("_row").alias("_row"))
         kept = once.unionByName(several.select("_row"))
+    kept = sure.unionByName(kept.select("_row"))
     return kept.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
+def _mark(key: str, text_hash: str):
+    """The place among ``MARK_PLACES``, and the bit there, that mark a row's key."""
+    h = F.xxhash64(key, text_hash)
+    bit = F.shiftrightunsigned(h, 32).bitwiseAND(63).cast("int")
+    return F.pmod(h, F.lit(MARK_PLACES)).alias("_place"), bit.alias("_bit")
+
+
+def _marks(keys: DataFrame) -> DataFrame:
+    """(_place, _bits): 64 marks a place, set for all keys (_id, _hash) and by chance for few others.
+
+    At most ``MARK_PLACES`` rows at any number of keys, so every task can have them all.
+    """
+    marks = keys.select(*_mark("_id", "_hash")).distinct()
+    marks = marks.groupBy("_place").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    return stored(marks, "marks", min(keys.count(), MARK_PLACES))
+
+
 def hex_digits(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -11,9 +11,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from apptflow.llm import decontaminate, packing, queries, simhash, substrings
-from apptflow.llm.common import Words, keyed, plain
+from apptflow.llm.common import Words, components, keyed, plain, stored
 
 ODD = [None, "", " \n\t", "a", "A", "é", "word", "x " * 3000, "x " * 3000, "y" * 40_000]
 
@@ -263,6 +264,63 @@ def test_each_group_keeps_one_row_whatever_its_ids_are(make_docs):
     assert got == sorted([(None, a), (None, b), (7, c), (3, d), (9, e)], key=repr)
 
 
+def shuffled_rows(df) -> int:
+    """Rows that the exchanges of a collected frame have written."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        written = node.metrics().get("shuffleRecordsWritten")
+        total += written.get().value() if written.isDefined() else 0
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+    return total
+
+
+def test_texts_that_stay_for_sure_are_not_shuffled(spark, make_docs):
+    """Also where the keys of the rows that go are too many for a broadcast."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(400)]
+    rows = [*enumerate(texts), *((1000 + k, texts[k]) for k in range(40)), (5, texts[5])]
+    docs = stored(make_docs(rows), "docs")  # its own exchange is not in the plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = simhash.representatives(docs)
+        got = sorted((r.doc_id, r.text) for r in kept.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == list(enumerate(texts))
+    # of 441 rows 42 are in question
+    assert 0 < shuffled_rows(kept) < 400
+
+
+def test_marks_miss_no_key_at_any_number_of_places(spark, make_docs, monkeypatch):
+    """Marks that others share cost a look-up, not a row."""
+    monkeypatch.setattr(simhash, "MARK_PLACES", 1)
+    test_each_group_keeps_one_row_whatever_its_ids_are(make_docs)
+
+
+def test_tables_of_few_rows_get_few_files(spark):
+    """Rounds that store small tables do not write one file a shuffle partition."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        links = spark.range(1, 500).select((F.col("id") - F.col("id") % 10).alias("f"), F.col("id").alias("g"))
+        found = components(links, "f", "g")
+        files = found.inputFiles()
+        got = {r.node: r.component for r in found.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 10 for i in range(500)}
+    assert len(files) == 1
+
+
 def test_simhash_of_an_empty_table(make_docs):
     assert simhash.near_duplicates(make_docs([])).collect() == []
 
