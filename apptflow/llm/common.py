@@ -63,6 +63,14 @@ def keyed(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 # ------------------------------------------------------------------ text batches
 
 
+def give_back() -> None:
+    """Hands memory that this process holds but does not use back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def lean(batch: Callable) -> Callable:
     """``batch`` for ``mapInArrow``, handing back at a task's end the memory it has used.
 
@@ -73,10 +81,7 @@ def lean(batch: Callable) -> Callable:
         try:
             yield from batch(parts)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
-            if trim is not None:
-                trim(0)
+            give_back()
 
     return run
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 import re
 import sys
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from apptflow.llm.common import chunks, lean, plain
+from apptflow.llm.common import chunks, give_back, lean, plain
 
 #: labelled rows per language that the model is fitted on, and how many words and n-grams of
 #: them it holds, dealt out to the languages in equal parts
@@ -127,13 +127,6 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     words: dict[str, Counter] = {g: Counter() for g in langs}
     for text, lang in zip(texts, labels, strict=True):
         words[lang].update(words_of(text.lower()))
-    grams: dict[str, Counter] = {g: Counter() for g in langs}
-    for lang in langs:
-        for word, n in words[lang].items():
-            marked = f"^{word}$"
-            for size in range(1, ORDER + 1):
-                for i in range(len(marked) - size + 1):
-                    grams[lang][marked[i : i + size]] += n
 
     def rows(counts: dict[str, Counter], most: int, least: int) -> tuple[dict[str, int], np.ndarray]:
         total = Counter()
@@ -150,15 +143,17 @@ def fit(texts: list[str], labels: list[str]) -> Model:
         return {w: i for i, w in enumerate(kept)}, np.log((have + 0.1) / (size + 0.1 * max(1, len(kept))))
 
     word_rows, word_table = rows(words, MAX_WORDS, 2)
-    # n-grams are compared within their length
-    by_size: dict[int, dict[str, Counter]] = defaultdict(dict)
-    for lang in langs:
-        for size in range(1, ORDER + 1):
-            by_size[size][lang] = Counter({g: n for g, n in grams[lang].items() if len(g) == size})
+    # n-grams are compared within their length; those of one length at a time are held
     gram_rows: dict[str, int] = {}
     tables = []
     for size in range(1, ORDER + 1):
-        names, log_p = rows(by_size[size], MAX_GRAMS // ORDER, 1 if size < 3 else 3)
+        grams: dict[str, Counter] = {g: Counter() for g in langs}
+        for lang in langs:
+            for word, n in words[lang].items():
+                marked = f"^{word}$"
+                for i in range(len(marked) - size + 1):
+                    grams[lang][marked[i : i + size]] += n
+        names, log_p = rows(grams, MAX_GRAMS // ORDER, 1 if size < 3 else 3)
         gram_rows |= {g: i + len(gram_rows) for g, i in names.items()}
         tables.append(log_p)
     gram_table = np.concatenate(tables) if tables else np.zeros((0, len(langs)))
@@ -190,8 +185,12 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     # a firm bound, should many rows share an id
     sample = sample.orderBy("_o", "text").limit(2 * sample_rows * len(counts)).select("text", "lang")
     got = sample.toArrow()
-    texts = got.column("text").to_pylist()
-    return fit(texts, got.column("lang").to_pylist())
+    texts, labels = got.column("text").to_pylist(), got.column("lang").to_pylist()
+    del got
+    model = fit(texts, labels)
+    del texts, labels
+    give_back()
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
